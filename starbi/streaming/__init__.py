@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload being rebuilt is batch only — every input is a whole-table
+read and no query keeps state across arrivals — so there is no Structured
+Streaming job here.  A rerun of the batch star build (``mode("overwrite")``)
+is the way new raw data enters the star.
+"""
