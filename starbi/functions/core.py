@@ -64,10 +64,22 @@ def parse_ts(c, dtype=None, fmt: str = TS_FORMAT) -> Column:
     return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
 
 
+def _ntz_seconds(a, b) -> Column:
+    """Seconds from ``a`` to ``b`` for wall-clock (TIMESTAMP_NTZ) values.
+
+    Built from calendar days and time of day, which do not depend on the
+    session time zone (``timestamp_diff`` would first convert both sides to
+    instants in that zone and gain or lose an hour across a DST change)."""
+    def sod(t):
+        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    days = F.datediff(F.to_date(b), F.to_date(a)).cast("long")
+    return days * SECONDS_PER_DAY + (sod(b) - sod(a))
+
+
 def floor_days(start, end) -> Column:
     """Whole days from ``start`` to ``end``, rounded toward -infinity
     (``-1 hour`` is ``-1`` day, ``+23 hours`` is ``0``)."""
-    secs = F.timestamp_diff("SECOND", _c(start), _c(end))
+    secs = _ntz_seconds(_c(start), _c(end))
     day = F.lit(SECONDS_PER_DAY)
     return ((secs - F.pmod(secs, day)) / day).cast("int")
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starbi.operators import etl
 from starbi.session import checkpoint_dir
+from starbi.sources.writers import write_star_table
 
 STAR_TABLES = ("dim_customer", "dim_product", "dim_seller", "dim_order",
                "dim_date", "fact_order_items")
@@ -69,18 +70,6 @@ def _table_name(tag: str, name: str) -> str:
     return f"starbi_{tag}_{name}"
 
 
-def _write(spark: SparkSession, df: DataFrame, path: str, table: str,
-           buckets: int | None) -> DataFrame:
-    if buckets:
-        # One task per bucket writes one file per bucket.
-        (df.repartition(buckets, BUCKET_KEY).write.mode("overwrite")
-         .format("parquet").bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY)
-         .option("path", path).saveAsTable(table))
-        return spark.table(table)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
                      buckets: int | None = None, tag: str = "star") -> Star:
     """Run the ETL and persist the star under ``path``; return the star read
@@ -92,7 +81,8 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
 
     def put(name, df):
         b = buckets if name in BUCKETED else None
-        out[name] = _write(spark, df, f"{path}/{name}", _table_name(tag, name), b)
+        out[name] = write_star_table(spark, df, f"{path}/{name}", _table_name(tag, name),
+                                     buckets=b, bucket_key=BUCKET_KEY)
 
     put("dim_order", etl.build_dim_order(raw["orders"], raw["reviews"], raw["payments"]))
     put("fact_order_items", etl.build_fact(raw["items"], out["dim_order"]))
@@ -116,15 +106,15 @@ def star_for(spark: SparkSession, sf_dir: str, persist: bool = True) -> Star:
     """
     from starbi.sources.testdata import load_raw_from_testdata
 
-    raw = load_raw_from_testdata(spark, sf_dir)
     if not persist:
-        return build_star(raw)
+        return build_star(load_raw_from_testdata(spark, sf_dir))
     app = spark.sparkContext.applicationId
     key = (app, sf_dir.rstrip("/"))
     with _LOCK:
         star = _CACHE.get(key)
         if star is not None:
             return star
+        raw = load_raw_from_testdata(spark, sf_dir)
         tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:10]
         path = f"{checkpoint_dir(spark).rstrip('/')}/starbi-star/{tag}"
         star = materialize_star(spark, raw, path, tag=tag)
