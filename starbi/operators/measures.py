@@ -16,7 +16,7 @@ open and this is the choice made here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starbi.functions import ratio
@@ -37,20 +37,45 @@ _ATTRS = {
 }
 
 
-def _attach(star: Star, items: DataFrame, attrs: list[str]) -> DataFrame:
+_ITEM_KEYS = {"dim_product": "product_id", "dim_seller": "seller_id"}
+
+
+def _attach(star: Star, rows: DataFrame, attrs: list[str]) -> DataFrame:
     by_table: dict[tuple[str, str], list[str]] = {}
     for a in attrs:
         if a not in _ATTRS:
             raise ValueError(f"unknown attribute {a!r}; known: {sorted(_ATTRS)}")
-        table, key, col = _ATTRS[a]
+        table, key, _ = _ATTRS[a]
         by_table.setdefault((table, key), []).append(a)
     for (table, key), names in by_table.items():
         dim = star[table].select(key, *[F.col(_ATTRS[n][2]).alias(n) for n in names])
         if table == "dim_date":
             # one row per calendar day: size bounded by the calendar
             dim = F.broadcast(dim)
-        items = items.join(dim, key)
-    return items
+        rows = rows.join(dim, key)
+    return rows
+
+
+def _order_rows(star: Star, attrs: list[str]) -> DataFrame:
+    """The fact reduced to one row per order (per order and product/seller
+    when an item attribute is asked for), with the order's on-time flag and
+    rating.  On the persisted star this reduction and the ``dim_order``
+    join both run on the ``order_id`` bucketing, without a shuffle; only
+    the reduced rows meet the larger dimensions."""
+    item_keys = sorted({_ITEM_KEYS[_ATTRS[a][0]] for a in attrs
+                        if _ATTRS[a][0] in _ITEM_KEYS})
+    rows = (star.fact.groupBy("order_id", "customer_id", "date_key", *item_keys)
+            .agg(F.sum("total_item_value").alias("_rev")))
+    o = star.dim_order.select("order_id", "on_time", "review_score")
+    return rows.join(o, "order_id", "left")
+
+
+def _filtered(star: Star, by: list[str], slicers: dict) -> DataFrame:
+    attrs = sorted(set(by) | set(slicers))
+    rows = _attach(star, _order_rows(star, attrs), attrs)
+    for attr, values in slicers.items():
+        rows = rows.where(F.col(attr).isin(list(values)))
+    return rows
 
 
 def measures_by(star: Star, by=("year",), slicers: dict | None = None) -> DataFrame:
@@ -58,19 +83,15 @@ def measures_by(star: Star, by=("year",), slicers: dict | None = None) -> DataFr
     group of ``by`` after applying ``slicers`` ({attribute: [values]})."""
     by = [by] if isinstance(by, str) else list(by)
     slicers = dict(slicers or {})
-    items = _attach(star, star.fact.select("order_id", "date_key", "customer_id",
-                                           "product_id", "seller_id", "total_item_value"),
-                    sorted(set(by) | set(slicers)))
-    for attr, values in slicers.items():
-        items = items.where(F.col(attr).isin(list(values)))
-    per_order = (items.groupBy(*by, "order_id")
-                 .agg(F.sum("total_item_value").alias("_rev")))
-    o = star.dim_order.select("order_id", "on_time", "review_score")
-    g = (per_order.join(o, "order_id", "left")
-         .groupBy(*by)
-         .agg(F.sum("_rev").alias("_rev"), F.count(F.lit(1)).alias("pedidos"),
-              F.sum("on_time").alias("_ot"), F.count("on_time").alias("_otn"),
-              F.sum("review_score").alias("_rs"), F.count("review_score").alias("_rsn")))
+    rows = _filtered(star, by, slicers)
+    # one row per (group, order): an order counts once in each group it touches
+    per_order = rows.groupBy(*by, "order_id").agg(
+        F.sum("_rev").alias("_rev"), F.max("on_time").alias("on_time"),
+        F.max("review_score").alias("review_score"))
+    g = per_order.groupBy(*by).agg(
+        F.sum("_rev").alias("_rev"), F.count(F.lit(1)).alias("pedidos"),
+        F.sum("on_time").alias("_ot"), F.count("on_time").alias("_otn"),
+        F.sum("review_score").alias("_rs"), F.count("review_score").alias("_rsn"))
     return g.select(*by,
                     F.col("_rev").cast("double").alias("receita_total"),
                     F.col("pedidos").cast("long").alias("pedidos"),
@@ -81,23 +102,23 @@ def measures_by(star: Star, by=("year",), slicers: dict | None = None) -> DataFr
 
 def measure_mom_calendar(star: Star, slicers: dict | None = None) -> DataFrame:
     """M-1, M-6, M-7 per month: revenue, revenue of the previous *calendar*
-    month (null when that month has no dates in the calendar — unlike LAG,
-    which takes the previous month present) and the MoM ratio."""
+    month (null when that month has no dates in the calendar or no revenue —
+    unlike LAG, which takes the previous month present) and the MoM ratio.
+
+    Revenue is reduced per day before meeting the calendar; the previous
+    month is a RANGE frame of exactly one month index back over the
+    month-level rows (bounded by the calendar), so no self-join is needed."""
     slicers = dict(slicers or {})
-    items = _attach(star, star.fact.select("order_id", "date_key", "customer_id",
-                                           "product_id", "seller_id", "total_item_value"),
-                    sorted(set(slicers) | {"year_month"}))
-    for attr, values in slicers.items():
-        items = items.where(F.col(attr).isin(list(values)))
-    monthly = (items.groupBy("year_month").agg(F.sum("total_item_value").alias("rev"))
-               .withColumn("_m", F.to_date(F.concat("year_month", F.lit("-01")))))
-    # months present in the calendar (dates of any order), with or without revenue
-    months = (star.dim_date.select("year_month").distinct()
-              .withColumn("_m", F.to_date(F.concat("year_month", F.lit("-01")))))
-    cur = months.join(monthly.select("_m", "rev"), "_m", "left")
-    prev = cur.select(F.add_months("_m", 1).alias("_m"), F.col("rev").alias("prev_rev"))
-    # both sides hold one row per calendar month
-    out = cur.join(F.broadcast(prev), "_m", "left")
+    daily = (_filtered(star, [], slicers) if slicers else star.fact) \
+        .groupBy("date_key").agg(F.sum("_rev" if slicers else "total_item_value").alias("rev"))
+    cal = F.broadcast(star.dim_date.select("date_key", "year_month"))
+    ym = F.col("year_month")
+    month_index = F.substring(ym, 1, 4).cast("int") * 12 + F.substring(ym, 6, 2).cast("int")
+    monthly = (cal.join(daily, "date_key", "left")
+               .groupBy("year_month", month_index.alias("_mi"))
+               .agg(F.sum("rev").alias("rev")))
+    prev_month = Window.orderBy("_mi").rangeBetween(-1, -1)
+    out = monthly.withColumn("prev_rev", F.sum("rev").over(prev_month))
     return out.select(
         "year_month",
         F.col("rev").cast("double").alias("receita_total"),
