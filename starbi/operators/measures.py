@@ -57,13 +57,17 @@ def _attach(star: Star, rows: DataFrame, attrs: list[str]) -> DataFrame:
 
 
 def _order_rows(star: Star, attrs: list[str]) -> DataFrame:
-    """The fact reduced to one row per order (per order and product/seller
-    when an item attribute is asked for), with the order's on-time flag and
-    rating.  On the persisted star this reduction and the ``dim_order``
-    join both run on the ``order_id`` bucketing, without a shuffle; only
-    the reduced rows meet the larger dimensions."""
+    """One row per order (per order and product/seller when an item
+    attribute is asked for) with its revenue, on-time flag and rating.
+    Order-level groupings read the order-grain summary directly; item-level
+    ones reduce the fact per (order, item key) and attach the order
+    attributes through one order-grain join."""
     item_keys = sorted({_ITEM_KEYS[_ATTRS[a][0]] for a in attrs
                         if _ATTRS[a][0] in _ITEM_KEYS})
+    if not item_keys:
+        return star.order_totals.select("order_id", "customer_id", "date_key",
+                                        F.col("total_item_value").alias("_rev"),
+                                        "on_time", "review_score")
     rows = (star.fact.groupBy("order_id", "customer_id", "date_key", *item_keys)
             .agg(F.sum("total_item_value").alias("_rev")))
     o = star.dim_order.select("order_id", "on_time", "review_score")
@@ -109,8 +113,9 @@ def measure_mom_calendar(star: Star, slicers: dict | None = None) -> DataFrame:
     month is a RANGE frame of exactly one month index back over the
     month-level rows (bounded by the calendar), so no self-join is needed."""
     slicers = dict(slicers or {})
-    daily = (_filtered(star, [], slicers) if slicers else star.fact) \
-        .groupBy("date_key").agg(F.sum("_rev" if slicers else "total_item_value").alias("rev"))
+    src = (_filtered(star, [], slicers) if slicers
+           else star.order_totals.select("date_key", F.col("total_item_value").alias("_rev")))
+    daily = src.groupBy("date_key").agg(F.sum("_rev").alias("rev"))
     cal = F.broadcast(star.dim_date.select("date_key", "year_month"))
     ym = F.col("year_month")
     month_index = F.substring(ym, 1, 4).cast("int") * 12 + F.substring(ym, 6, 2).cast("int")

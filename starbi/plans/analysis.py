@@ -3,11 +3,13 @@ notebook queries (N1, N3–N5) as DataFrame plans over a :class:`Star`.
 
 Plan shape used throughout:
 
-* Item-grain measures are first reduced to one row per order
-  (``groupBy(order_id, …)``) and only then joined to ``dim_order``.  The
-  reduction combines map-side, so a huge order never travels whole, and on
-  the persisted star both sides are bucketed by ``order_id``: the reduction
-  and the join run without any shuffle.
+* Order-level questions read the order-grain summary
+  (``Star.order_totals``: item sums per order with the order's status and
+  purchase date), written once by the ETL.  They never join the item-grain
+  fact to ``dim_order``; the reduction that builds the summary combines
+  map-side, so a huge order never travels whole.
+* Item-level questions (category, seller) reduce items per product or
+  seller before the dimension join.
 * Joins to small dimensions are left to the planner (it broadcasts from
   measured sizes); only ``dim_date`` — bounded by the number of calendar
   days — and the five-row band table are broadcast explicitly.
@@ -59,13 +61,14 @@ def _delivered_orders(star: Star, *cols: str) -> DataFrame:
             .select("order_id", *cols))
 
 
-def _order_totals(star: Star, *keys: str) -> DataFrame:
-    """One row per order (and any per-order keys) with its item sums."""
-    return (star.fact.groupBy("order_id", *keys)
-            .agg(F.sum("price").alias("_price"),
-                 F.sum("freight_value").alias("_freight"),
-                 F.sum("total_item_value").alias("_total"),
-                 F.count(F.lit(1)).alias("_items")))
+def _delivered_order_totals(star: Star) -> DataFrame:
+    """One row per delivered order with its item sums (order-grain summary;
+    columns order_id, customer_id, date_key, purchase_date, _price,
+    _freight, _total)."""
+    t = star.order_totals.where(F.col("order_status") == DELIVERED)
+    return t.select("order_id", "customer_id", "date_key", "purchase_date",
+                    F.col("price").alias("_price"), F.col("freight_value").alias("_freight"),
+                    F.col("total_item_value").alias("_total"))
 
 
 def _delivered_items(star: Star) -> DataFrame:
@@ -76,7 +79,7 @@ def _delivered_items(star: Star) -> DataFrame:
 def q01_overview(star: Star) -> DataFrame:
     """Orders, product / freight / total revenue and average ticket of
     delivered orders (one row, also over empty input)."""
-    t = _order_totals(star).join(_delivered_orders(star), "order_id")
+    t = _delivered_order_totals(star)
     agg = t.agg(F.count_distinct("order_id").alias("pedidos"),
                 F.sum("_price").alias("p"), F.sum("_freight").alias("fr"),
                 F.sum("_total").alias("tot"))
@@ -99,9 +102,10 @@ def monthly_revenue(star: Star, months: tuple[str, str] | None = None,
                     delivered_only: bool = True) -> DataFrame:
     """Revenue per ``year_month`` (exact decimal), optionally within an
     inclusive ``yyyy-MM`` range."""
-    t = _order_totals(star, "date_key")
     if delivered_only:
-        t = t.join(_delivered_orders(star), "order_id")
+        t = _delivered_order_totals(star)
+    else:
+        t = star.order_totals.select("date_key", F.col("total_item_value").alias("_total"))
     d = star.dim_date.select("date_key", "year_month")
     if months:
         d = d.where(F.col("year_month").between(*months))
@@ -204,8 +208,7 @@ def customer_base(star: Star) -> DataFrame:
     """Per person (customer_unique_id) over delivered orders: last purchase
     date, distinct orders and total value.  Orders are reduced first, so the
     customer join sees one row per order."""
-    orders = (_order_totals(star, "customer_id")
-              .join(_delivered_orders(star, "purchase_date"), "order_id"))
+    orders = _delivered_order_totals(star)
     people = star.dim_customer.select("customer_id", "customer_unique_id")
     return (orders.join(people, "customer_id")
             .groupBy("customer_unique_id")

@@ -2,6 +2,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from starbi.operators.measures import measure_mom_calendar, measures_by
 from starbi.plans.star import Star
 from starbi.plans.analysis import q02_monthly_mom
@@ -10,6 +12,7 @@ from starbi.plans.analysis import q02_monthly_mom
 def _star(spark, orders, items, dates):
     o = spark.createDataFrame(orders, "order_id long, customer_id long, order_status string, "
                               "on_time int, review_score int")
+    o = o.withColumn("purchase_date", F.lit(None).cast("date"))
     f = spark.createDataFrame(items, "order_id long, product_id long, seller_id long, "
                               "customer_id long, date_key int, total_item_value decimal(18,2)")
     d = spark.createDataFrame(dates, "date_key int, year int, year_month string")
