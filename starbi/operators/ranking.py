@@ -30,8 +30,8 @@ def distributed_ntile(df: DataFrame, k: int, value: str, tiebreak: str,
     ``tiebreak`` must make the order total (a unique id).  Steps:
 
     1. ``repartitionByRange`` on the full sort key ``(value, tiebreak)``:
-       Spark samples the key and cuts it into ``num_ranges`` contiguous
-       ranges.  The key is unique, so even a value shared by a third of the
+       Spark samples the key and cuts it into contiguous ranges
+       (``num_ranges``, or as many as AQE sizes from the data).  The key is unique, so even a value shared by a third of the
        rows is split over many ranges.  The range index is stamped on each
        row and the result is checkpointed to the shared checkpoint folder,
        so the assignment is fixed (re-execution or a lost executor cannot
@@ -45,14 +45,15 @@ def distributed_ntile(df: DataFrame, k: int, value: str, tiebreak: str,
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    if num_ranges is None:
-        num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(df.sparkSession)
     keys = _sort_keys(value, tiebreak, descending)
 
-    ranged = (df.repartitionByRange(max(1, num_ranges), *keys)
-              .withColumn("_rng", F.spark_partition_id())
+    # Without an explicit count AQE may merge neighbouring ranges into
+    # partitions of its advisory size; merged ranges stay contiguous and in
+    # order, so the partition index is still a valid range index.
+    by_range = (df.repartitionByRange(*keys) if num_ranges is None
+                else df.repartitionByRange(max(1, num_ranges), *keys))
+    ranged = (by_range.withColumn("_rng", F.spark_partition_id())
               .checkpoint(eager=True))
 
     sizes = ranged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_cnt"))

@@ -327,7 +327,8 @@ def kpi_delay_vs_rating(star: Star) -> DataFrame:
     with no order is kept with a null rating (the reference would raise)."""
     b = _band_stats(star, BAND_LABELS_SHORT)
     bands = _band_table(star.dim_order.sparkSession, BAND_LABELS_SHORT)
-    return (F.broadcast(bands).join(b, "faixa", "left")
+    # the stats have one row per band (a five-way CASE): a proven bound
+    return (bands.join(F.broadcast(b), "faixa", "left")
             .select("faixa", ratio("_rs", "_rn").alias("nota"), "ord").orderBy("ord"))
 
 
@@ -335,7 +336,7 @@ def nb_delay_bands(star: Star) -> DataFrame:
     """N4: orders and rounded mean rating per band, fixed band order."""
     b = _band_stats(star, BAND_LABELS_SHORT)
     bands = _band_table(star.dim_order.sparkSession, BAND_LABELS_SHORT)
-    return (F.broadcast(bands).join(b, "faixa", "left")
+    return (bands.join(F.broadcast(b), "faixa", "left")
             .select("faixa", F.coalesce("pedidos", F.lit(0)).cast("long").alias("pedidos"),
                     hround("_rs", "_rn", 2).alias("nota_media"), "ord").orderBy("ord"))
 
