@@ -101,17 +101,15 @@ def kpi_headline(star: Star) -> DataFrame:
 def monthly_revenue(star: Star, months: tuple[str, str] | None = None,
                     delivered_only: bool = True) -> DataFrame:
     """Revenue per ``year_month`` (exact decimal), optionally within an
-    inclusive ``yyyy-MM`` range."""
+    inclusive ``yyyy-MM`` range.  The order summary carries the calendar
+    month of each order and is stored one folder per month, so a month
+    range is a partition filter on the scan."""
+    t = star.order_totals
     if delivered_only:
-        t = _delivered_order_totals(star)
-    else:
-        t = star.order_totals.select("date_key", F.col("total_item_value").alias("_total"))
-    d = star.dim_date.select("date_key", "year_month")
-    if months:
-        d = d.where(F.col("year_month").between(*months))
-    # dim_date has one row per calendar day present: size bounded by the calendar
-    return (t.join(F.broadcast(d), "date_key")
-            .groupBy("year_month").agg(F.sum("_total").alias("receita")))
+        t = t.where(F.col("order_status") == DELIVERED)
+    ym = F.col("year_month")
+    t = t.where(ym.between(*months) if months else ym.isNotNull())
+    return t.groupBy("year_month").agg(F.sum("total_item_value").alias("receita"))
 
 
 def _with_lag(monthly: DataFrame) -> DataFrame:
