@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbi.operators import etl
-from starbi.session import checkpoint_dir
+from starbi.session import application_id, checkpoint_dir
 from starbi.sources.writers import write_clustered, write_star_table
 
 STAR_TABLES = ("dim_customer", "dim_product", "dim_seller", "dim_order",
@@ -156,7 +156,7 @@ def star_for(spark: SparkSession, sf_dir: str, persist: bool = True) -> Star:
 
     if not persist:
         return build_star(load_raw_from_testdata(spark, sf_dir))
-    app = spark.sparkContext.applicationId
+    app = application_id(spark)
     key = (app, sf_dir.rstrip("/"), spark.conf.get(BUCKETS_CONF, "0") or "0")
     with _LOCK:
         star = _CACHE.get(key)

@@ -43,29 +43,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has none
+        return None
+
+
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", "starbi-app")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
-    Reads ``spark.checkpoint.dir`` (or the directory already set on the
-    SparkContext).  Only when neither is set — local tests — a private
-    folder is created and registered.
+    Reads the directory already set on the SparkContext or
+    ``spark.checkpoint.dir``.  Only a local-mode session without either
+    (tests) gets a private temporary folder; on a cluster a machine-local
+    folder would be wrong, so a missing setting is an error there.
     """
     with _LOCK:
-        sc = spark.sparkContext
-        d = sc.getCheckpointDir()
+        sc = _context(spark)
+        d = sc.getCheckpointDir() if sc is not None else None
         if d:
             return d
         conf = spark.conf.get("spark.checkpoint.dir", None)
         if not conf:
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not str(master).startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             conf = tempfile.mkdtemp(prefix="starbi-ckpt-")
-        sc.setCheckpointDir(conf)
-        d = sc.getCheckpointDir() or conf
-        return d
-
-
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the checkpoint folder, unique to this application."""
-    base = checkpoint_dir(spark).rstrip("/")
-    app = spark.sparkContext.applicationId
-    return "/".join([base, "starbi", app, *[p.strip("/") for p in parts]])
-
+        if sc is not None:
+            sc.setCheckpointDir(conf)
+            return sc.getCheckpointDir() or conf
+        return conf
