@@ -16,6 +16,7 @@ from starbi.operators import measures, quality
 from starbi.plans import analysis as A
 from starbi.plans import oracle_sql as O
 from starbi.plans.star import Star, star_for
+from starbi.sources.testdata import load_raw_from_testdata
 
 TEST_MONTHS = O.TEST_MONTHS
 MEASURE_SLICE = {"year": [1997, 1998]}
@@ -69,6 +70,18 @@ _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
 }
 
 
+# audits over the raw tables: (spark, sf_dir) -> DataFrame, oracle SQL
+_RAW_SPEC: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
+    "audit_dropped_items": (
+        lambda spark, sf: quality.audit_dropped_items(load_raw_from_testdata(spark, sf)["items"],
+                                                      star_for(spark, sf).dim_order),
+        O.AUDIT_DROPPED_ITEMS),
+    "audit_raw_timestamps": (
+        lambda spark, sf: quality.audit_raw_timestamps(load_raw_from_testdata(spark, sf)["orders"]),
+        O.AUDIT_RAW_TIMESTAMPS),
+}
+
+
 def _runner(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(star_for(spark, sf_dir))
@@ -76,8 +89,12 @@ def _runner(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], Da
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _runner(fn) for name, (fn, _) in _SPEC.items()}
+    out = {name: _runner(fn) for name, (fn, _) in _SPEC.items()}
+    out.update({name: fn for name, (fn, _) in _RAW_SPEC.items()})
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _SPEC.items() if sql is not None}
+    out = {name: sql for name, (_, sql) in _SPEC.items() if sql is not None}
+    out.update({name: sql for name, (_, sql) in _RAW_SPEC.items()})
+    return out

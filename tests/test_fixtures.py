@@ -140,3 +140,18 @@ def test_repeat_buyers_two_ids_one_person(spark):
     rows = {r.tipo_cliente: (r.clientes, r.pct_clientes, r.receita, r.pct_receita)
             for r in A.q10_repeat_customers(st).collect()}
     assert rows == {"Recorrente": (1, 50.0, 40.0, 40.0), "Unico": (1, 50.0, 60.0, 60.0)}
+
+
+def test_raw_timestamp_audit(spark):
+    rows = [("2018-01-01 10:00:00",), ("2018-01-03",), ("bad",), ("",), (None,)]
+    o = spark.createDataFrame(rows, "order_purchase_timestamp string")
+    r = quality.audit_raw_timestamps(o).collect()
+    assert [(x.coluna, x.preenchidos, x.convertidos, x.falhas) for x in r] == \
+        [("order_purchase_timestamp", 3, 1, 2)]
+
+
+def test_dropped_items_audit(spark):
+    items = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "order_id long")
+    orders = spark.createDataFrame([(1, D(2018, 1, 1)), (2, None)], "order_id long, purchase_date date")
+    got = {r.destino: r.itens for r in quality.audit_dropped_items(items, orders).collect()}
+    assert got == {"mantido": 2, "pedido_sem_data": 1, "pedido_ausente": 2}

@@ -1,5 +1,4 @@
 """Measures on hand-written stars: order grain and calendar MoM (M-4/M-5, T7, T22)."""
-import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
