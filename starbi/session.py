@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.bucketing.enabled": "true",
+    # remove reliable-checkpoint files once their DataFrames are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
