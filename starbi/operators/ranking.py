@@ -103,3 +103,37 @@ def topk_rank(df: DataFrame, k: int, value: str, tiebreak,
     greater, all of which are among the selected rows)."""
     w = Window.orderBy(F.col(value).desc_nulls_last())
     return _top(df, k, value, tiebreak).withColumn(out, F.rank().over(w).cast("int"))
+
+
+# Largest row count ranked inside one task by a plain window (settable per
+# session); above it the distributed form is used.
+SINGLE_TASK_MAX_ROWS_CONF = "starbi.ntile.singleTaskMaxRows"
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def ntiles(df: DataFrame, k: int, specs: list[tuple[str, str, bool]], tiebreak: str,
+           single_task_max_rows: int | None = None) -> DataFrame:
+    """Several ``NTILE(k)`` columns, one per ``(out, value, descending)``.
+
+    The input is checkpointed once and counted exactly.  When the count is
+    at most ``single_task_max_rows`` the tiles come from plain windows (one
+    task sorts a row set whose size was just checked); beyond it each tile
+    uses :func:`distributed_ntile`, reading the checkpoint instead of
+    recomputing the input.  Both give identical results.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    if single_task_max_rows is None:
+        single_task_max_rows = int(spark.conf.get(SINGLE_TASK_MAX_ROWS_CONF,
+                                                  str(SINGLE_TASK_MAX_ROWS)))
+    base = df.checkpoint(eager=True)
+    n = base.count()
+    out = base
+    for name, value, descending in specs:
+        if n <= single_task_max_rows:
+            # size checked above: at most single_task_max_rows rows in one task
+            w = Window.orderBy(*_sort_keys(value, tiebreak, descending))
+            out = out.withColumn(name, F.ntile(k).over(w).cast("int"))
+        else:
+            out = distributed_ntile(out, k, value, tiebreak, descending=descending, out=name)
+    return out

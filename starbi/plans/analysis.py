@@ -15,8 +15,10 @@ Plan shape used throughout:
   days — and the five-row band table are broadcast explicitly.
 * Windows without PARTITION BY only ever see aggregated rows whose count is
   bounded by the calendar or by a taxonomy (months, categories, payment
-  types, two buyer types).  Per-customer ranking uses the distributed
-  operators of :mod:`starbi.operators.ranking`.
+  types, two buyer types).  Per-customer quartiles use
+  :func:`starbi.operators.ranking.ntiles`: a plain window only after an
+  exact count proves the row set small, the distributed exact NTILE
+  otherwise.
 * ROUND is computed exactly from integer numerators/denominators
   (:func:`starbi.functions.hround`), money is exact DECIMAL until the final
   DOUBLE projection.
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starbi.functions import cents, hround, ratio
-from starbi.operators.ranking import distributed_ntile, topk_dense_rank
+from starbi.operators.ranking import ntiles, topk_dense_rank
 from starbi.plans.star import Star
 
 DELIVERED = "delivered"
@@ -220,12 +222,10 @@ def q05_rfm_scores(star: Star, recency: str = "reference") -> DataFrame:
     recency quartile by last purchase DESC (the newest buyers get r=1, as
     the reference does); ``"recent_high"`` gives the newest buyers r=4.
     Ties are broken by customer_unique_id."""
-    base = customer_base(star)
     uid = "customer_unique_id"
-    s = distributed_ntile(base, 4, "ultima_compra", uid,
-                          descending=(recency == "reference"), out="r_score")
-    s = distributed_ntile(s, 4, "frequencia", uid, out="f_score")
-    s = distributed_ntile(s, 4, "valor", uid, out="m_score")
+    s = ntiles(customer_base(star), 4, [("r_score", "ultima_compra", recency == "reference"),
+                                        ("f_score", "frequencia", False),
+                                        ("m_score", "valor", False)], uid)
     return s.select(uid, "ultima_compra", F.col("frequencia").cast("long").alias("frequencia"),
                     _dbl("valor").alias("valor"), "r_score", "f_score", "m_score")
 
@@ -249,11 +249,8 @@ def _segments(scored: DataFrame) -> DataFrame:
 
 def q05_rfm_segments(star: Star, recency: str = "reference") -> DataFrame:
     """Q5: segment sizes and mean (rounded-per-customer) value."""
-    base = customer_base(star)
-    uid = "customer_unique_id"
-    s = distributed_ntile(base, 4, "ultima_compra", uid,
-                          descending=(recency == "reference"), out="r_score")
-    s = distributed_ntile(s, 4, "valor", uid, out="m_score")
+    s = ntiles(customer_base(star), 4, [("r_score", "ultima_compra", recency == "reference"),
+                                        ("m_score", "valor", False)], "customer_unique_id")
     # money is exact to the cent, so ROUND(valor, 2) is valor itself
     return _segments(s.withColumn("_v", F.col("valor")))
 
@@ -261,10 +258,8 @@ def q05_rfm_segments(star: Star, recency: str = "reference") -> DataFrame:
 def nb_rfm_segments(star: Star) -> DataFrame:
     """N5: the notebook's variant (two scores, mean over unrounded value;
     identical numbers because money is exact to the cent)."""
-    base = customer_base(star)
-    uid = "customer_unique_id"
-    s = distributed_ntile(base, 4, "ultima_compra", uid, descending=True, out="r_score")
-    s = distributed_ntile(s, 4, "valor", uid, out="m_score")
+    s = ntiles(customer_base(star), 4, [("r_score", "ultima_compra", True),
+                                        ("m_score", "valor", False)], "customer_unique_id")
     return _segments(s.withColumn("_v", F.col("valor")))
 
 

@@ -64,3 +64,14 @@ def test_topk_ranks(spark):
     # the k rows are the largest values, ties by id
     want = sorted(rows, key=lambda r: (-r[1], r[0]))[:10]
     assert sorted((r.id, r.v) for r in top) == sorted(want)
+
+
+def test_ntiles_both_paths_agree(spark):
+    from starbi.operators.ranking import ntiles
+    rnd = random.Random(11)
+    rows = [(f"u{i:05d}", rnd.choice([None, 1, 2, 3, 3, 3, 9]), rnd.randint(0, 50)) for i in range(777)]
+    df = spark.createDataFrame(rows, "id string, a long, b long")
+    specs = [("ta", "a", True), ("tb", "b", False)]
+    small = {r.id: (r.ta, r.tb) for r in ntiles(df, 4, specs, "id", single_task_max_rows=10**6).collect()}
+    dist = {r.id: (r.ta, r.tb) for r in ntiles(df, 4, specs, "id", single_task_max_rows=0).collect()}
+    assert small == dist and len(small) == 777
