@@ -56,30 +56,27 @@ def _attach(star: Star, rows: DataFrame, attrs: list[str]) -> DataFrame:
     return rows
 
 
-def _order_rows(star: Star, attrs: list[str]) -> DataFrame:
-    """One row per order (per order and product/seller when an item
-    attribute is asked for) with its revenue, on-time flag and rating.
-    Order-level groupings read the order-grain summary directly; item-level
-    ones reduce the fact per (order, item key) and attach the order
-    attributes through one order-grain join."""
-    item_keys = sorted({_ITEM_KEYS[_ATTRS[a][0]] for a in attrs
-                        if _ATTRS[a][0] in _ITEM_KEYS})
-    if not item_keys:
-        return star.order_totals.select("order_id", "customer_id", "date_key",
+def _rows(star: Star, attrs: list[str], slicers: dict) -> tuple[DataFrame, bool]:
+    """Rows carrying revenue and the requested attributes, sliced.
+
+    Order-level attributes only: the order-grain summary (one row per order,
+    with its on-time flag and rating).  An item attribute (category, seller
+    state) needs the item rows.  Calendar attributes come from a broadcast
+    of the calendar, and slicer predicates on a dimension column are pushed
+    into that dimension's side of its join, so sliced-out rows are dropped
+    before any shuffle."""
+    item_level = any(_ATTRS[a][0] in _ITEM_KEYS for a in attrs)
+    if item_level:
+        base = star.fact.select("order_id", "customer_id", "date_key", "product_id", "seller_id",
+                                F.col("total_item_value").alias("_rev"))
+    else:
+        base = star.order_totals.select("order_id", "customer_id", "date_key",
                                         F.col("total_item_value").alias("_rev"),
                                         "on_time", "review_score")
-    rows = (star.fact.groupBy("order_id", "customer_id", "date_key", *item_keys)
-            .agg(F.sum("total_item_value").alias("_rev")))
-    o = star.dim_order.select("order_id", "on_time", "review_score")
-    return rows.join(o, "order_id", "left")
-
-
-def _filtered(star: Star, by: list[str], slicers: dict) -> DataFrame:
-    attrs = sorted(set(by) | set(slicers))
-    rows = _attach(star, _order_rows(star, attrs), attrs)
+    rows = _attach(star, base, attrs)
     for attr, values in slicers.items():
         rows = rows.where(F.col(attr).isin(list(values)))
-    return rows
+    return rows, item_level
 
 
 def measures_by(star: Star, by=("year",), slicers: dict | None = None) -> DataFrame:
@@ -87,11 +84,16 @@ def measures_by(star: Star, by=("year",), slicers: dict | None = None) -> DataFr
     group of ``by`` after applying ``slicers`` ({attribute: [values]})."""
     by = [by] if isinstance(by, str) else list(by)
     slicers = dict(slicers or {})
-    rows = _filtered(star, by, slicers)
+    rows, item_level = _rows(star, sorted(set(by) | set(slicers)), slicers)
     # one row per (group, order): an order counts once in each group it touches
-    per_order = rows.groupBy(*by, "order_id").agg(
-        F.sum("_rev").alias("_rev"), F.max("on_time").alias("on_time"),
-        F.max("review_score").alias("review_score"))
+    if item_level:
+        per_order = (rows.groupBy(*by, "order_id").agg(F.sum("_rev").alias("_rev"))
+                     .join(star.dim_order.select("order_id", "on_time", "review_score"),
+                           "order_id", "left"))
+    else:
+        per_order = rows.groupBy(*by, "order_id").agg(
+            F.sum("_rev").alias("_rev"), F.max("on_time").alias("on_time"),
+            F.max("review_score").alias("review_score"))
     g = per_order.groupBy(*by).agg(
         F.sum("_rev").alias("_rev"), F.count(F.lit(1)).alias("pedidos"),
         F.sum("on_time").alias("_ot"), F.count("on_time").alias("_otn"),
@@ -113,7 +115,7 @@ def measure_mom_calendar(star: Star, slicers: dict | None = None) -> DataFrame:
     month is a RANGE frame of exactly one month index back over the
     month-level rows (bounded by the calendar), so no self-join is needed."""
     slicers = dict(slicers or {})
-    src = (_filtered(star, [], slicers) if slicers
+    src = (_rows(star, sorted(slicers), slicers)[0] if slicers
            else star.order_totals.select("date_key", F.col("total_item_value").alias("_rev")))
     daily = src.groupBy("date_key").agg(F.sum("_rev").alias("rev"))
     cal = F.broadcast(star.dim_date.select("date_key", "year_month"))
