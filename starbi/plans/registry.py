@@ -2,7 +2,8 @@
 
 Every entry reads the test tables under ``sf_dir`` through the raw
 adapter, builds (once per application and folder) the persisted star, and
-runs one question over the whole star.
+runs one question over the whole star; results are returned in
+engine-neutral column types (:func:`portable`).
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from starbi.operators import measures, quality
 from starbi.plans import analysis as A
@@ -21,12 +24,23 @@ from starbi.sources.testdata import load_raw_from_testdata
 TEST_MONTHS = O.TEST_MONTHS
 MEASURE_SLICE = {"year": [1997, 1998]}
 
+# Lead-time, flag and score columns of dim_order hold NULLs; the reference
+# stores them as REAL, and so does this comparison view.
+DIM_ORDER_REAL = ("delivery_days", "delay_days", "on_time", "review_score", "max_installments")
+
+
+def _dim_order_view(star: Star) -> DataFrame:
+    d = star.dim_order
+    return d.select(*[F.col(c).cast("double").alias(c) if c in DIM_ORDER_REAL else F.col(c)
+                      for c in d.columns])
+
+
 # name -> (function of the star, oracle SQL or None)
 _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
     "etl_dim_customer": (lambda s: s.dim_customer, O._etl("dim_customer")),
     "etl_dim_product": (lambda s: s.dim_product, O._etl("dim_product")),
     "etl_dim_seller": (lambda s: s.dim_seller, O._etl("dim_seller")),
-    "etl_dim_order": (lambda s: s.dim_order, O._etl("dim_order")),
+    "etl_dim_order": (_dim_order_view, O._etl("dim_order")),
     "etl_dim_date": (lambda s: s.dim_date, O._etl("dim_date")),
     "etl_fact_order_items": (lambda s: s.fact_order_items, O._etl("fact_order_items")),
     "quality_report": (quality.quality_report, O.QUALITY_REPORT),
@@ -82,15 +96,39 @@ _RAW_SPEC: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
 }
 
 
+def portable(df: DataFrame) -> DataFrame:
+    """Result columns in engine-neutral types: money (exact to the cent) as
+    DOUBLE, the reference's declared REAL; dates and wall-clock timestamps
+    as ISO text, the form in which the reference stores them.  The
+    persisted star keeps DECIMAL / DATE / TIMESTAMP."""
+    cols = []
+    for f in df.schema.fields:
+        t, c = f.dataType, F.col(f"`{f.name}`")
+        if isinstance(t, DecimalType):
+            c = c.cast("double")
+        elif isinstance(t, DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(t, (TimestampNTZType, TimestampType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def _runner(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(star_for(spark, sf_dir))
+        return portable(fn(star_for(spark, sf_dir)))
+    return run
+
+
+def _raw_runner(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(fn(spark, sf_dir))
     return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _runner(fn) for name, (fn, _) in _SPEC.items()}
-    out.update({name: fn for name, (fn, _) in _RAW_SPEC.items()})
+    out.update({name: _raw_runner(fn) for name, (fn, _) in _RAW_SPEC.items()})
     return out
 
 
