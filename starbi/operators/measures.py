@@ -4,14 +4,15 @@ A measure is a function of the filter context: ``measures_by`` takes the
 grouping columns and optional slicers (year, state, category, …) and
 returns one row per group.
 
-Grain: revenue and order count are item-grain sums over the fact;
-on-time rate and rating are order-grain averages, so the fact is first
-reduced to one row per (group, order) — an order with three items in a
-group counts once in that group.  The order-grain columns then come from
-``dim_order`` through one join on ``order_id`` (bucketed on the persisted
-star).  When the grouping holds an item attribute (category) one order may
-count in several groups, each once; the dashboard guide leaves that case
-open and this is the choice made here.
+Grain: revenue and order count are item-grain sums over the fact; on-time
+rate and rating are order-grain averages, so rows are first reduced to one
+per (group, order) — an order with three items in a group counts once in
+that group.  Order-level groupings read the order-grain summary, which
+already carries the on-time flag and rating; item-level ones (category,
+seller state) attach them through one join on ``order_id`` after the
+reduction.  When the grouping holds an item attribute one order may count
+in several groups, each once; the dashboard guide leaves that case open and
+this is the choice made here.
 """
 
 from __future__ import annotations
