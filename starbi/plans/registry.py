@@ -106,9 +106,10 @@ def portable(df: DataFrame) -> DataFrame:
         t, c = f.dataType, F.col(f"`{f.name}`")
         if isinstance(t, DecimalType):
             c = c.cast("double")
-        elif isinstance(t, DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(t, (TimestampNTZType, TimestampType)):
+        elif isinstance(t, (DateType, TimestampNTZType)):
+            # ISO text: yyyy-MM-dd / yyyy-MM-dd HH:mm:ss, no time zone involved
+            c = c.cast("string")
+        elif isinstance(t, TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)
