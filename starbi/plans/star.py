@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,24 +115,32 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
     """Run the ETL and persist the star under ``path`` (optionally with the
     two order-grain tables bucketed by ``order_id``); return the star read
     back from storage."""
-    # dim_order is written first; the fact and the calendar are derived from
-    # the written copy (it has three consumers)
+    # Independent tables are written by concurrent jobs (Spark schedules
+    # their tasks side by side).  dim_order comes first in its wave; the
+    # fact and the calendar are derived from the written copy (it has three
+    # consumers), and the order summary from the written fact.
     out: dict[str, DataFrame] = {}
 
-    def put(name, df):
+    def put(name, build):
         b = buckets if name in BUCKETED else None
-        out[name] = write_star_table(spark, df, f"{path}/{name}", _table_name(tag, name),
+        out[name] = write_star_table(spark, build(), f"{path}/{name}", _table_name(tag, name),
                                      buckets=b, bucket_key=BUCKET_KEY)
 
-    # rows clustered by status inside each file: the frequent status filter
-    # skips row groups through Parquet statistics
-    put("dim_order", etl.build_dim_order(raw["orders"], raw["reviews"], raw["payments"])
-        .sortWithinPartitions("order_status"))
-    put("fact_order_items", etl.build_fact(raw["items"], out["dim_order"]))
-    put("dim_date", etl.build_dim_date(out["dim_order"].select("purchase_date")))
-    put("dim_customer", etl.build_dim_customer(raw["customers"]))
-    put("dim_product", etl.build_dim_product(raw["products"], raw["cat"]))
-    put("dim_seller", etl.build_dim_seller(raw["sellers"]))
+    def wave(jobs):
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(put, n, fn) for n, fn in jobs]:
+                f.result()
+
+    wave([("dim_order", lambda: etl.build_dim_order(raw["orders"], raw["reviews"],
+                                                    raw["payments"])
+           # rows clustered by status inside each file: the frequent status
+           # filter skips row groups through Parquet statistics
+           .sortWithinPartitions("order_status")),
+          ("dim_customer", lambda: etl.build_dim_customer(raw["customers"])),
+          ("dim_product", lambda: etl.build_dim_product(raw["products"], raw["cat"])),
+          ("dim_seller", lambda: etl.build_dim_seller(raw["sellers"]))])
+    wave([("fact_order_items", lambda: etl.build_fact(raw["items"], out["dim_order"])),
+          ("dim_date", lambda: etl.build_dim_date(out["dim_order"].select("purchase_date")))])
     # order summary: one folder per month (month-range reports prune
     # folders), rows clustered by status inside each file
     totals = write_clustered(
