@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbi.operators import etl
-from starbi.session import application_id, checkpoint_dir
+from starbi.session import application_id, checkpoint_dir, describe_jobs
 from starbi.sources.writers import write_clustered, write_star_table
 
 STAR_TABLES = ("dim_customer", "dim_product", "dim_seller", "dim_order",
@@ -122,6 +122,7 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
     out: dict[str, DataFrame] = {}
 
     def put(name, build):
+        describe_jobs(spark, f"star build: {name}")
         b = buckets if name in BUCKETED else None
         out[name] = write_star_table(spark, build(), f"{path}/{name}", _table_name(tag, name),
                                      buckets=b, bucket_key=BUCKET_KEY)
@@ -143,10 +144,12 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
           ("dim_date", lambda: etl.build_dim_date(out["dim_order"].select("purchase_date")))])
     # order summary: one folder per month (month-range reports prune
     # folders), rows clustered by status inside each file
+    describe_jobs(spark, "star build: order_totals")
     totals = write_clustered(
         spark, derive_order_totals(out["fact_order_items"], out["dim_order"], out["dim_date"]),
         f"{path}/order_totals", partition_by="year_month", cluster_by=("order_status",),
         unique_key="order_id")
+    describe_jobs(spark, None)
     return Star(**out, order_totals_table=totals)
 
 

@@ -82,3 +82,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(conf)
             return sc.getCheckpointDir() or conf
         return conf
+
+
+def describe_jobs(spark: SparkSession, text: str | None) -> None:
+    """Label the jobs this thread submits (shown in event logs)."""
+    sc = _context(spark)
+    if sc is not None:
+        sc.setJobDescription(text)
