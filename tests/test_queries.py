@@ -83,3 +83,11 @@ def test_cross_consistency(spark):
     n4 = [r.pedidos for r in _rows(spark, "nb_delay_bands")]
     assert sorted(q7.values()) == sorted(p for p in n4 if p)
     assert _rows(spark, "q05_rfm_segments") == _rows(spark, "nb_rfm_segments")
+
+
+def test_results_use_engine_neutral_types(spark):
+    # money as DOUBLE, dates as text: identical through any client conversion
+    for name, q in E.queries().items():
+        for f in q(spark, SF_SMALL).schema.fields:
+            t = f.dataType.simpleString()
+            assert not t.startswith(("decimal", "date", "timestamp")), (name, f.name, t)
