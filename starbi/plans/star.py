@@ -63,6 +63,23 @@ def derive_order_totals(fact: DataFrame, dim_order: DataFrame, dim_date: DataFra
     return per_order.join(attrs, "order_id").join(months, "date_key", "left")
 
 
+def derive_item_totals(fact: DataFrame, dim_order: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Item sums per (product, order status) and per (seller, order status),
+    from the same item-grain join of the fact to ``dim_order`` that the
+    category and seller questions need — done once by the ETL instead of by
+    every question.  Multiplicities equal that join's, and distinct orders
+    are counted per (seller, status), so the questions' numbers are exact."""
+    j = (fact.select("order_id", "product_id", "seller_id", "total_item_value")
+         .join(dim_order.select("order_id", "order_status"), "order_id"))
+    per_product = (j.groupBy("product_id", "order_status")
+                   .agg(F.sum("total_item_value").alias("total_item_value"),
+                        F.count(F.lit(1)).alias("items")))
+    per_seller = (j.groupBy("seller_id", "order_status")
+                  .agg(F.count_distinct("order_id").alias("orders"),
+                       F.sum("total_item_value").alias("total_item_value")))
+    return per_product, per_seller
+
+
 @dataclass
 class Star:
     dim_customer: DataFrame
@@ -74,6 +91,8 @@ class Star:
     # auxiliary summary (not one of the six model tables): written by the
     # ETL when the star is materialized, derived on the fly otherwise
     order_totals_table: DataFrame | None = None
+    product_totals_table: DataFrame | None = None
+    seller_totals_table: DataFrame | None = None
 
     @property
     def fact(self) -> DataFrame:
@@ -85,6 +104,18 @@ class Star:
             return self.order_totals_table
         return derive_order_totals(self.fact_order_items, self.dim_order, self.dim_date)
 
+    @property
+    def product_totals(self) -> DataFrame:
+        if self.product_totals_table is not None:
+            return self.product_totals_table
+        return derive_item_totals(self.fact_order_items, self.dim_order)[0]
+
+    @property
+    def seller_totals(self) -> DataFrame:
+        if self.seller_totals_table is not None:
+            return self.seller_totals_table
+        return derive_item_totals(self.fact_order_items, self.dim_order)[1]
+
     def tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in STAR_TABLES}
 
@@ -142,15 +173,30 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
           ("dim_seller", lambda: etl.build_dim_seller(raw["sellers"]))])
     wave([("fact_order_items", lambda: etl.build_fact(raw["items"], out["dim_order"])),
           ("dim_date", lambda: etl.build_dim_date(out["dim_order"].select("purchase_date")))])
-    # order summary: one folder per month (month-range reports prune
-    # folders), rows clustered by status inside each file
-    describe_jobs(spark, "star build: order_totals")
-    totals = write_clustered(
-        spark, derive_order_totals(out["fact_order_items"], out["dim_order"], out["dim_date"]),
-        f"{path}/order_totals", partition_by="year_month", cluster_by=("order_status",),
-        unique_key="order_id")
+    aux: dict[str, DataFrame] = {}
+
+    def put_totals():
+        # order summary: one folder per month (month-range reports prune
+        # folders), rows clustered by status inside each file
+        describe_jobs(spark, "star build: order_totals")
+        aux["order"] = write_clustered(
+            spark, derive_order_totals(out["fact_order_items"], out["dim_order"], out["dim_date"]),
+            f"{path}/order_totals", partition_by="year_month", cluster_by=("order_status",),
+            unique_key="order_id")
+
+    def put_item_totals(i, name):
+        describe_jobs(spark, f"star build: {name}")
+        df = derive_item_totals(out["fact_order_items"], out["dim_order"])[i]
+        aux[name] = write_star_table(spark, df, f"{path}/{name}")
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for f in [pool.submit(put_totals), pool.submit(put_item_totals, 0, "product_totals"),
+                  pool.submit(put_item_totals, 1, "seller_totals")]:
+            f.result()
     describe_jobs(spark, None)
-    return Star(**out, order_totals_table=totals)
+    return Star(**out, order_totals_table=aux["order"],
+                product_totals_table=aux["product_totals"],
+                seller_totals_table=aux["seller_totals"])
 
 
 _CACHE: dict[tuple, Star] = {}
