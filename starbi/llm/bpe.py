@@ -28,6 +28,7 @@ import base64
 import hashlib
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -264,6 +265,16 @@ class Codec:
             yield stream.feed(b"".join(map(tokens.__getitem__, ids[i:i + DECODE_BLOCK])))
         yield stream.close()
 
+    def digests(self, ids: list[int]) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of the comma-joined ids and of the decoded bytes."""
+        listed, decoded = hashlib.sha256(), hashlib.sha256()
+        for i in range(0, len(ids), DECODE_BLOCK):
+            listed.update(("," if i else "").encode()
+                          + ",".join(map(str, ids[i:i + DECODE_BLOCK])).encode())
+        for piece in self.decode_stream(ids):
+            decoded.update(piece.encode("utf-8"))
+        return len(ids), listed.hexdigest(), decoded.hexdigest()
+
 
 _CODECS: dict[tuple[str, str], Codec] = {}
 
@@ -319,19 +330,23 @@ class Tokenizer:
 
         @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
         def digests(texts: pd.Series) -> pd.DataFrame:
-            codec, out = _codec(data.value, pattern), []
-            for t in texts:
-                ids = codec.encode(t)
-                listed, decoded = hashlib.sha256(), hashlib.sha256()
-                for i in range(0, len(ids), DECODE_BLOCK):
-                    listed.update(("," if i else "").encode()
-                                  + ",".join(map(str, ids[i:i + DECODE_BLOCK])).encode())
-                for piece in codec.decode_stream(ids):
-                    decoded.update(piece.encode("utf-8"))
-                out.append((len(ids), listed.hexdigest(), decoded.hexdigest()))
-            return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            codec = _codec(data.value, pattern)
+            return pd.DataFrame([codec.digests(codec.encode(t)) for t in texts],
+                                columns=["n_tokens", "ids_sha256", "decoded_sha256"])
         return digests(text)
 
+    def encoded(self, text: Column) -> Column:
+        """struct: the ids, and what ``round_trip`` gives."""
+        data, pattern = self.data, self.pattern
+
+        @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        def whole(texts: pd.Series) -> pd.DataFrame:
+            codec = _codec(data.value, pattern)
+            rows = [codec.encode(t) for t in texts]
+            return pd.DataFrame([(np.array(r, np.int32), *codec.digests(r)) for r in rows],
+                                columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+        return whole(text)
+
 
 def round_trip_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:

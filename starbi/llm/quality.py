@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
-A text is a bag of hashed features: every word and the character n-grams (3 to
-5) of ``<word>``.  Each feature has a learned vector; a document is the mean of
+A text is a bag of hashed features: every word, the character n-grams (3 to 5)
+of ``<word>``, and the word n-grams (2 to 5) that repeat one word, which share
+a bucket for each n.  Each feature has a learned vector; a document is the mean of
 its features' vectors, and a softmax layer on the mean gives the class
 probabilities.  Vectors and layer are trained together by numpy stochastic
 gradient descent on labelled documents.
@@ -47,6 +48,8 @@ SAMPLE_ROWS = 4000
 HELD_OUT_MODULUS = 5
 THRESHOLD = 0.3
 _WORD = re.compile(r"\S+")
+#: buckets of the n-grams that repeat one word: the first four
+REPEAT_BUCKETS = np.arange(4)
 #: bound of the words whose features one Python worker remembers
 MEMO = 200_000
 
@@ -55,14 +58,32 @@ def word_features(word: str) -> np.ndarray:
     """Bucket numbers of a word and of the 3- to 5-grams of ``<word>``."""
     s = f"<{word}>"
     grams = [s, *(s[i:i + n] for n in (3, 4, 5) for i in range(len(s) - n + 1) if n < len(s))]
-    return np.array([zlib.crc32(g.encode("utf-8")) % BUCKETS for g in grams], np.int32)
+    own = BUCKETS - len(REPEAT_BUCKETS)
+    return np.array([len(REPEAT_BUCKETS) + zlib.crc32(g.encode("utf-8")) % own for g in grams],
+                    np.int32)
+
+
+def repeats(words: list[str]) -> list[int]:
+    """How many word n-grams (n = 2 to 5) consist of one word repeated, per n.
+    They share one bucket for each n, whatever the word."""
+    run, found = 1, [0, 0, 0, 0]
+    for before, word in zip(words, words[1:]):
+        if word == before:
+            run += 1
+            for n in range(min(run, 5) - 1):
+                found[n] += 1
+        else:
+            run = 1
+    return found
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
+    words = _WORD.findall(text or "")
     total = np.zeros(BUCKETS, np.int32)
-    for word, n in Counter(_WORD.findall(text or "")).items():
+    for word, n in Counter(words).items():
         np.add.at(total, word_features(word), n)
+    total[REPEAT_BUCKETS] += repeats(words)
     at = np.flatnonzero(total).astype(np.int32)
     return at, total[at]
 
@@ -151,8 +172,10 @@ def score_column(model: Model, spark, text: Column) -> Column:
         for i, text in enumerate(texts):
             if len(memo) > MEMO:
                 memo.clear()
-            total, features = 0.0, 0
-            for word in _WORD.findall(text or ""):
+            words = _WORD.findall(text or "")
+            again = repeats(words)
+            total, features = float(share[REPEAT_BUCKETS] @ again), sum(again)
+            for word in words:
                 known = memo.get(word)
                 if known is None:
                     at = word_features(word)
