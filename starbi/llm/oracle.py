@@ -38,4 +38,63 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS B
 FROM doc AS d LEFT JOIN hit_words AS h USING (r) LEFT JOIN hit_items AS i USING (r)
 """
 
-ORACLE: dict[str, str] = {"op8_decontamination": OP8}
+OP3 = rf"""
+WITH page AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), {_LETTERS}) AS host,
+         regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+rule(h, p, v) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+best AS (
+  SELECT page.*, (
+    SELECT arg_max(struct_pack(r := h || p, v := v), length(h || p)) FROM rule
+    WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS b
+  FROM page)
+SELECT page_id, host, path, b.r AS rule,
+       coalesce(b.v, CASE WHEN list_has_any(string_split_regex(host, '[.-]'),
+                ['ads', 'adult', 'bets', 'casino', 'pills', 'spam'])
+                THEN 'block' ELSE 'allow' END) AS verdict
+FROM best
+"""
+
+OP6 = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker,
+         replace(coalesce(text, ''), '<|im_', '<\|im_') AS body FROM conversations),
+viewer AS (SELECT DISTINCT conv_id, speaker AS viewer FROM said WHERE speaker <> 'system'),
+line AS (
+  SELECT conv_id, viewer, turn, s.speaker, body,
+         '<|im_start|>' || CASE WHEN s.speaker = 'system' THEN 'system'
+           WHEN s.speaker = viewer THEN 'assistant'
+           ELSE 'user name=' || regexp_replace(s.speaker, '[^A-Za-z0-9_-]', '_', 'g') END
+           || chr(10) AS head
+  FROM said AS s JOIN viewer USING (conv_id)),
+placed AS (
+  SELECT *, length(head) + length(body) + 11 AS n, sum(length(head) + length(body) + 11) OVER (
+           PARTITION BY conv_id, viewer ORDER BY turn NULLS FIRST, speaker, body
+           ROWS UNBOUNDED PRECEDING) - (length(head) + length(body) + 11) AS pos
+  FROM line),
+cut AS (SELECT *, pos // 65536 AS part, min(pos) OVER (PARTITION BY conv_id, viewer, pos // 65536) AS o
+        FROM placed)
+SELECT conv_id, viewer AS speaker, CAST(part AS BIGINT) AS part, count(*) AS n_turns,
+       string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text,
+       coalesce(string_agg(CAST(CAST(pos - o + length(head) AS BIGINT) AS VARCHAR) || ':' ||
+                           CAST(CAST(pos - o + n - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY pos)
+                FILTER (speaker = viewer), '') AS masks
+FROM cut GROUP BY conv_id, viewer, part
+"""
+
+OP9 = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+rec AS (
+  SELECT page_id, body, strlen(body) AS n, max(page_id) OVER (PARTITION BY body) AS newest FROM page)
+SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> newest THEN newest END AS refers_to
+FROM rec
+"""
+
+ORACLE: dict[str, str] = {"op3_url_filter": OP3, "op6_chat_perspectives": OP6,
+                          "op8_decontamination": OP8, "op9_warc": OP9}

@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starbi.llm import bpe, decontam, quality, secrets, simhash
+from starbi.llm import (bpe, brown, chat, ctph, decontam, quality, secrets, simhash, urlfilter,
+                        warc)
 from starbi.llm.common import read_table
 
+#: parts of host labels that put a host on the block list
+BLOCKED_HOST_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -23,20 +27,47 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts with one of the blocked words as a part of a label are listed."""
+    pages = read_table(spark, sf_dir, "pages")
+    words = "|".join(BLOCKED_HOST_WORDS)
+    listed = (pages.select(urlfilter.host(F.col("url")).alias("host")).distinct()
+              .where(F.col("host").rlike(f"(^|[.-])({words})([.-]|$)")))
+    return urlfilter.filter_urls(pages, listed).drop("listed")
+
+
+def op4_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"),
                             read_table(spark, sf_dir, "labels"))
 
 
+def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.perspectives(read_table(spark, sf_dir, "conversations"))
+    return rows.withColumn("masks", chat.mask_text(F.col("masks")))
+
+
+def op7_ctph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctph.against_next(read_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.verdicts(read_table(spark, sf_dir, "documents"),
                              read_table(spark, sf_dir, "benchmark")).drop("h")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archive(*warc.write_archive(read_table(spark, sf_dir, "pages")))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_simhash, op5_quality, op8_decontamination,
+    f.__name__: f for f in (op1_byte_bpe, op2_simhash, op3_url_filter, op4_brown_lm, op5_quality,
+                            op6_chat_perspectives, op7_ctph, op8_decontamination, op9_warc,
                             op10_secrets)}
