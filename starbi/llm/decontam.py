@@ -37,6 +37,8 @@ RAREST = 2
 #: a table of benchmark terms or windows of at most this many rows may be
 #: broadcast; a larger one is joined by a shuffle
 BROADCAST_ROWS = 200_000
+#: the term of the posting at a document's end (no word holds it)
+END = "\n"
 #: a word before lower-casing: the class of the lower-cased word and A-Z
 _WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -59,10 +61,6 @@ def words(col: str) -> Column:
     return F.transform(_raw_words(col), _lower)
 
 
-def n_words(col: str) -> Column:
-    return F.regexp_count(_text(col), F.lit(_WORDS)).cast("long")
-
-
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, h, text: a document's key is its id and its text's hash."""
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(_text(text_col)).alias("h"),
@@ -81,9 +79,13 @@ def _bounded(df: DataFrame) -> DataFrame:
 def positional_index(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """Stored postings (term, id, h, pos) of the words in ``terms`` (column
-    term, distinct) over all documents; files are sorted by term."""
+    term, distinct) over all documents; files are sorted by term.  Each row's
+    end is a posting too, of the term ``END`` at the number of its words."""
+    terms = stored(terms.union(docs.sparkSession.createDataFrame([(END,)], "term string")),
+                   "decontam-terms")
     rows = (_keyed(docs, id_col, text_col)
-            .select("id", "h", F.posexplode(_raw_words("text")).alias("pos", "word")))
+            .select("id", "h", F.posexplode(F.concat(_raw_words("text"), F.array(F.lit(END))))
+                    .alias("pos", "word")))
     postings = (rows.select("id", "h", "pos", _lower(F.col("word")).alias("term"))
                 .join(_bounded(terms), "term").select("term", "id", "h", "pos"))
     return stored(postings.sortWithinPartitions("term"), "decontam-index")
@@ -126,11 +128,10 @@ def candidates(index: DataFrame, wins: DataFrame, rarest: int = RAREST) -> DataF
     return met.where("met = shiftleft(1, slots) - 1").select("id", "h", "win", "start")
 
 
-def phrase_matches(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id",
+def phrase_matches(docs: DataFrame, index: DataFrame, wins: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """Stored (id, h, win, start, len): every exact occurrence of a window."""
-    terms = stored(wins.select(F.explode("words").alias("term")).distinct(), "decontam-terms")
-    index = positional_index(docs, terms, id_col, text_col)
+    """Stored (id, h, win, start, len): every exact occurrence of a window in the
+    documents, of which ``index`` holds the postings of all the windows' terms."""
     found = stored(candidates(index, wins), "decontam-candidates")
     per_doc = (found.join(wins, "win")
                .groupBy("id", "h").agg(F.collect_list(F.struct("win", "start", "words")).alias("c")))
@@ -168,7 +169,9 @@ def verdicts(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str
              text_col: str = "text") -> DataFrame:
     """(id, h, n_words, n_hit, n_items, items_sha256, contaminated) of every row."""
     wins, of_items = windows(items, size)
-    hits = phrase_matches(docs, wins, id_col, text_col)
+    terms = wins.select(F.explode("words").alias("term")).distinct()
+    index = positional_index(docs, terms, id_col, text_col)
+    hits = phrase_matches(docs, index, wins, id_col, text_col)
     # union of the match intervals: what each adds beyond all that began before
     spans = hits.select("id", "h", "start", (F.col("start") + F.col("len")).alias("end")).distinct()
     before = (Window.partitionBy("id", "h").orderBy("start", "end")
@@ -182,7 +185,7 @@ def verdicts(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str
     stats = n_hit.join(found.withColumnsRenamed({"id": "id2", "h": "h2"}),
                        F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2")), "left") \
         .select("id", "h", "n_hit", "items")
-    d = _keyed(docs, id_col, text_col).select("id", "h", n_words("text").alias("n_words"))
+    d = index.where(F.col("term") == END).select("id", "h", F.col("pos").cast("long").alias("n_words"))
     items_col = F.coalesce("items", F.array().cast("array<string>"))
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return (d.join(stats, _same(d, stats), "left")
