@@ -36,6 +36,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -73,7 +74,7 @@ def shape(word: bytes) -> int:
 
 
 def _rows(seen: Counter) -> pd.DataFrame:
-    return pd.DataFrame({"word": [w.decode("utf-8") for w in seen],
+    return pd.DataFrame({"word": pd.Series([w.decode("utf-8") for w in seen], dtype=object),
                          "n": np.fromiter(seen.values(), np.int64, len(seen))})
 
 
@@ -217,16 +218,24 @@ class BrownModel:
         self.denominator = member.T @ amounts + EMISSION * (member.T @ types + 1)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          modulus: int = HELD_OUT_MODULUS, remainder: int = HELD_OUT_REMAINDER) -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity)
-    of every row, learning from the rows that are not held out."""
-    spark = docs.sparkSession
+@dataclass
+class LanguageModel:
+    """A fitted model: the count table (word, n), its totals, and what is small
+    enough for the driver: the known words' codes and counts, units and classes."""
+
+    counts: DataFrame
+    tokens: int
+    types: int
+    units: Units
+    lexicon: Lexicon
+    known: np.ndarray
+    classes: BrownModel
+
+
+def fit(training: DataFrame) -> LanguageModel:
+    """From all rows of ``training`` (column text)."""
+    spark = training.sparkSession
     workers_see_package(spark)
-    held = F.coalesce(crc_remainder(id_col, modulus) == remainder, F.lit(False))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                       held.alias("held_out"))
-    training = rows.where("not held_out").select("text")
     counts = stored(training.mapInPandas(_count_words, "word string, n long")
                     .groupBy("word").agg(F.sum("n").alias("n")), "brown-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -234,14 +243,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = [w.encode("utf-8") for w in top["word"]]
     units = Units(known[:UNITS])
     lexicon = Lexicon(known, units)
-
-    unit_map = spark.sparkContext.broadcast(units)
+    shared = spark.sparkContext.broadcast(units)
 
     def per_unit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = unit_map.value.size
+        size = shared.value.size
         types, amounts = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
-            at = [unit_map.value.of(w.encode("utf-8")) for w in batch["word"]]
+            at = [shared.value.of(w.encode("utf-8")) for w in batch["word"]]
             np.add.at(types, at, 1)
             np.add.at(amounts, at, batch["n"].to_numpy())
         some = np.flatnonzero(types)
@@ -253,13 +261,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     types, amounts = np.zeros(units.size), np.zeros(units.size)
     types[of_units["unit"].to_numpy(np.int64)] = of_units["types"]
     amounts[of_units["unit"].to_numpy(np.int64)] = of_units["amount"]
-    model = BrownModel(count_bigrams(training, lexicon), types, amounts)
+    classes = BrownModel(count_bigrams(training, lexicon), types, amounts)
+    return LanguageModel(counts, n, v, units, lexicon, top["n"].to_numpy(np.float64), classes)
 
-    known_n = top["n"].to_numpy(np.float64)
-    base = np.log10((known_n + 1) / (n + v + 1))
-    emit = np.log10((known_n + EMISSION) / model.denominator[model.of[lexicon.unit]]) \
-        if len(known) else np.zeros(0)
-    shared = spark.sparkContext.broadcast((lexicon, model, base, emit))
+
+def log_probabilities(docs: DataFrame, lm: LanguageModel) -> DataFrame:
+    """Columns of ``docs`` but text, and n_tokens, n_known, base_score, score."""
+    spark = docs.sparkSession
+    base = np.log10((lm.known + 1) / (lm.tokens + lm.types + 1))
+    emit = np.log10((lm.known + EMISSION) / lm.classes.denominator[lm.classes.of[lm.lexicon.unit]]) \
+        if len(lm.known) else np.zeros(0)
+    shared = spark.sparkContext.broadcast((lm.lexicon, lm.classes, base, emit))
+    keep = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lex, brown, base, emit = shared.value
@@ -278,29 +291,41 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             moves + float(emit[known].sum()),
                             [w.decode("utf-8") for w in seen], list(seen.values()),
                             [where[w] for w in seen]))
-            yield pd.concat([batch[["row", "id", "held_out"]].reset_index(drop=True), pd.DataFrame(
-                out, columns=["n_tokens", "known", "base", "score", "words", "times", "classes"])],
-                axis=1)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    partial = stored(rows.withColumn("row", F.monotonically_increasing_id()).mapInPandas(
-        local, f"row long, id {kind}, held_out boolean, n_tokens long, known long, base double, "
-               "score double, words array<string>, times array<long>, classes array<int>"),
-        "brown-partial")
-    rare = partial.select("row", F.explode(F.arrays_zip("words", "times", "classes")).alias("r")) \
-        .select("row", F.col("r.words").alias("word"), "r.times", "r.classes")
-    below = F.get(F.array(*[F.lit(float(x)) for x in model.denominator]), F.col("classes"))
+            yield pd.concat([batch.drop(columns="text").reset_index(drop=True), pd.DataFrame(
+                out, columns=["n_tokens", "__known", "__base", "__score", "__words", "__times",
+                              "__classes"])], axis=1)
+
+    partial = stored(docs.withColumn("__row", F.monotonically_increasing_id()).mapInPandas(
+        local, ", ".join([*keep, "__row long, n_tokens long, __known long, __base double, "
+                          "__score double, __words array<string>, __times array<long>, "
+                          "__classes array<int>"])), "brown-partial")
+    rare = partial.select("__row", F.explode(F.arrays_zip("__words", "__times", "__classes"))
+                          .alias("r")).select("__row", F.col("r.__words").alias("word"),
+                                              F.col("r.__times").alias("times"),
+                                              F.col("r.__classes").alias("class"))
+    below = F.get(F.array(*[F.lit(float(x)) for x in lm.classes.denominator]), F.col("class"))
     c = F.coalesce("n", F.lit(0))
-    found = rare.join(counts, "word", "left").groupBy("row").agg(
+    found = rare.join(lm.counts, "word", "left").groupBy("__row").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known2"),
-        F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("base2"),
+        F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(lm.tokens + lm.types + 1)))).alias("base2"),
         F.sum(F.col("times") * F.log10((c + EMISSION) / below)).alias("score2"))
-    whole = partial.drop("words", "times", "classes").join(found, "row", "left")
+    whole = partial.drop("__words", "__times", "__classes").join(found, "__row", "left")
 
     def added(name):
-        return F.col(name) + F.coalesce(f"{name}2", F.lit(0))
-    return whole.select(
-        F.col("id").alias(id_col), "held_out", "n_tokens", added("known").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), added("base").alias("base_score"),
-        added("score").alias("score")).withColumn(
-        "perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+        return F.col(f"__{name}") + F.coalesce(f"{name}2", F.lit(0))
+    return whole.select(*[f"`{f.name}`" for f in docs.schema if f.name != "text"], "n_tokens",
+                        added("known").alias("n_known"), added("base").alias("base_score"),
+                        added("score").alias("score"))
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          modulus: int = HELD_OUT_MODULUS, remainder: int = HELD_OUT_REMAINDER) -> DataFrame:
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity)
+    of every row, learning from the rows that are not held out."""
+    held = F.coalesce(crc_remainder(id_col, modulus) == remainder, F.lit(False))
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"), held.alias("held_out"))
+    lm = fit(rows.where("not held_out").select("text"))
+    return log_probabilities(rows, lm).select(
+        id_col, "held_out", "n_tokens", "n_known", F.lit(lm.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
