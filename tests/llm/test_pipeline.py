@@ -1,0 +1,124 @@
+import random
+import re
+
+import duckdb
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+import corpus_pipeline
+from llm.helpers import DOC_SCHEMA, ordered, prose
+from llm.test_bpe import TIKTOKEN
+from llm.test_decontam import brute as brute_decontam
+from llm.test_secrets import brute_base
+from llm.test_simhash import brute_rows
+from starbi.llm import quality, secrets
+from starbi.llm.oracle import ORACLE
+from starbi.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+
+
+def plain(df):
+    """Rows as text, whatever stands for a missing number."""
+    rows = df[sorted(df.columns)].astype(object).values.tolist()
+    return sorted([str(None) if pd.isna(x) else str(x).removesuffix(".0") for x in r] for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    got, want = QUERIES[name](spark, SF).toPandas(), con.execute(ORACLE[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert plain(got) == plain(want)
+
+
+def test_all_ten_and_the_pipeline_are_registered():
+    numbers = {int(m[1]) for k in E.queries() if (m := re.match(r"op(\d+)_", k))}
+    assert numbers == set(range(1, 11)) and "pipeline" in E.queries()
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory, docs):
+    rng = random.Random(12)
+    items = [(0, prose(rng, 30)), (1, prose(rng, 8))]
+    rows = [tuple(r) for r in docs.collect()]
+    for i in range(100, 220):
+        words = prose(rng, 60)
+        if i % 3 == 0:
+            words = " ".join(w + "%%%" for w in words.split())
+        rows.append((i, words, "en", "s", len(words)))
+    for i in range(220, 240):  # contaminated, copies, secrets
+        words = [prose(rng, 20) + " " + items[0][1], rows[-3][1], prose(rng, 20) + " token = abcdef123456"][i % 3]
+        rows.append((i, words, "en", "s", len(words)))
+    at = str(tmp_path_factory.mktemp("corpus"))
+    documents = spark.createDataFrame(rows, DOC_SCHEMA).withColumn("fingerprint", F.lit(1))
+    documents.write.parquet(f"{at}/documents.parquet")
+    labels = [(i, int(i % 3 != 0)) for i in range(100, 220)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    return at, items
+
+
+def test_each_stage_against_brute_force(spark, corpus):
+    at, items = corpus
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+
+    def step(name, df):
+        out = stages[name](spark, df, at)
+        rows = out.collect()
+        return spark.createDataFrame(rows, out.schema), rows
+
+    labels = spark.read.parquet(f"{at}/labels.parquet")
+    scored = {r.doc_id: r.predicted for r in quality.classify(docs, labels).collect()}
+    kept, rows = step("quality", docs)
+    assert kept.columns == columns and 0 < len(rows) < docs.count()
+    assert all(scored[r.doc_id] == 1 for r in rows if r.doc_id not in (None, 3))
+    gone = {r.doc_id for r in docs.collect()} - {r.doc_id for r in rows}
+    assert {i for i in range(102, 220, 3)} <= gone  # every document of symbols
+
+    groups = brute_rows(rows)
+    unique, deduped = step("near_dedup", kept)
+    want = {g[0] for g in groups if g[0] is None or g[0] == g[2]}
+    assert unique.columns == columns and {r.doc_id for r in deduped} == want
+    assert len(deduped) < len(rows)
+
+    judged = brute_decontam([(r.doc_id, r.text) for r in deduped if len(r.text or "") < 20_000], items)
+    bad = {j[0] for j in judged if j[5]}
+    clean, rows = step("decontamination", unique)
+    assert bad and clean.columns == columns
+    assert {r.doc_id for r in rows} == {r.doc_id for r in deduped} - bad
+
+    masked, after = step("secrets", clean)
+    assert ordered(after) == ordered(
+        tuple(t if c == "text" else len(t) if c == "n_chars" and t != r.text else r[c] for c in columns)
+        for r in rows for t in [secrets.redact_text(r.text)])
+    assert all(brute_base(r.text) == [] for r in after)
+
+    _, ids = step("bpe", masked)
+    assert ordered((r.doc_id, r.ids) for r in ids) == ordered(
+        (r.doc_id, TIKTOKEN.encode_ordinary(r.text or "")) for r in after)
+
+
+def test_run_applies_all_stages(spark, corpus):
+    at, _ = corpus
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, at)
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    assert ordered(corpus_pipeline.run(spark, at).collect()) == ordered(docs.collect())
+
+
+def test_empty_tables(spark, corpus, no_docs, tmp_path):
+    at = str(tmp_path)
+    source, _ = corpus
+    no_docs.write.parquet(f"{at}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{source}/{t}.parquet").limit(0).write.parquet(f"{at}/{t}.parquet")
+    assert corpus_pipeline.run(spark, at).count() == 0
