@@ -8,6 +8,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from starbi.plans import registry  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
 
@@ -18,10 +19,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, name):
     from verify_oracle import compare
     rep = compare(spark, SF_SMALL, [name], verbose=False)[name]
@@ -87,7 +90,7 @@ def test_cross_consistency(spark):
 
 def test_results_use_engine_neutral_types(spark):
     # money as DOUBLE, dates as text: identical through any client conversion
-    for name, q in E.queries().items():
+    for name, q in registry.queries().items():
         for f in q(spark, SF_SMALL).schema.fields:
             t = f.dataType.simpleString()
             assert not t.startswith(("decimal", "date", "timestamp")), (name, f.name, t)
