@@ -9,70 +9,142 @@ keeping the work spread out.
 
 from __future__ import annotations
 
+import datetime
+import json
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from starbi.session import checkpoint_dir
 
+# Sort keys sampled per score, and the boundaries kept of them: a located
+# range then holds about one row in 512.
+SAMPLE_ROWS = 8192
+BOUNDARIES = 511
+_VALUE = "decimal(38,6)"
 
-def _sort_keys(value: str, tiebreak: str, descending: bool) -> list[Column]:
-    v = F.col(value)
-    # SQL default null placement: first when ascending, last when descending.
-    ov = v.desc_nulls_last() if descending else v.asc_nulls_first()
-    return [ov, F.col(tiebreak).asc_nulls_first()]
 
+def _number(df: DataFrame, value: str) -> Column:
+    """A date or number as an exact decimal of the same order."""
+    c = F.col(value)
+    if isinstance(df.schema[value].dataType, DateType):
+        c = F.unix_date(c)
+    return c.cast(_VALUE)
 
-def distributed_ntile(df: DataFrame, k: int, value: str, tiebreak: str,
-                      descending: bool = False, out: str = "ntile",
-                      num_ranges: int | None = None) -> DataFrame:
-    """Exact ``NTILE(k) OVER (ORDER BY value [DESC], tiebreak)`` for every row.
-
-    ``tiebreak`` must make the order total (a unique id).  Steps:
-
-    1. ``repartitionByRange`` on the full sort key ``(value, tiebreak)``:
-       Spark samples the key and cuts it into contiguous ranges
-       (``num_ranges``, or as many as AQE sizes from the data).  The key is unique, so even a value shared by a third of the
-       rows is split over many ranges.  The range index is stamped on each
-       row and the result is checkpointed to the shared checkpoint folder,
-       so the assignment is fixed (re-execution or a lost executor cannot
-       re-sample it differently).
-    2. Rows per range -> running offsets (one row per range, broadcast;
-       the size is bounded by ``num_ranges``).
-    3. Global position = offset + ``row_number`` inside the range (a window
-       partitioned by range index: balanced tasks).
-    4. NTILE from the position: with ``b = n div k`` and ``r = n mod k``,
-       the first ``r`` tiles hold ``b + 1`` rows, the rest ``b``.
+
+def _literal(keys: list[tuple], id_type: str) -> Column:
+    """Sort keys as one array literal (``from_json`` of a literal is folded)."""
+    rows = [{"a": a, "v": None if v is None else str(v),
+             "i": i.isoformat() if isinstance(i, datetime.date) else i} for a, v, i in keys]
+    # text for the numbers: JSON numbers would lose decimal digits
+    text = F.from_json(F.lit(json.dumps(rows)), f"array<struct<a:int,v:string,i:{id_type}>>")
+    return F.transform(text, lambda x: F.struct(x["a"].alias("a"), x["v"].cast(_VALUE).alias("v"),
+                                                x["i"].alias("i")))
+
+
+def _sort_key(row) -> tuple:
+    """Python order of a key equal to Spark's (nulls first inside a struct)."""
+    a, v, i = row
+    return a, (v is not None, v or Decimal(0)), (i is not None, i if i is not None else 0)
+
+
+def _below(key: Column, bounds: Column, count: int) -> Column:
+    """How many of the ``count`` ascending bounds are smaller than ``key``:
+    a binary search, one comparison per bit."""
+    bits = max(1, count).bit_length()
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= count) & (F.get(bounds, at + step - 1) < key), at + step).otherwise(at))
+
+
+def _at_or_below(key: Column, bounds: Column) -> Column:
+    return F.size(F.filter(bounds, lambda x: x <= key))
+
+
+def ntiles(df: DataFrame, k: int, specs: list[tuple[str, str, bool]], tiebreak: str) -> DataFrame:
+    """Several exact ``NTILE(k) OVER (ORDER BY value [DESC], tiebreak)`` columns,
+    one per ``(out, value, descending)``.
+
+    ``tiebreak`` must make the order total (a unique id).  A tile is known from
+    the k - 1 rows at which tiles begin, so only those are sought:
+
+    1. The input is checkpointed once to the shared folder and counted.
+    2. About ``SAMPLE_ROWS`` rows, chosen by a hash of the id, give up to
+       ``BOUNDARIES`` boundaries per score on the full key (value, id); a value
+       shared by a third of the rows is cut by the id.
+    3. One pass counts the rows between boundaries (combined in each task; a
+       few hundred rows per score reach the driver).
+    4. One pass ranks, inside the few ranges that hold a tile's first row, the
+       rows of that range, and picks those k - 1 keys.
+    5. The tile of a row is one more than the number of those keys at or below
+       its own: a projection, no shuffle.
+
+    The sample decides only how even the ranges are; the result is exact.  Nulls
+    come first in ascending and last in descending order, as in SQL.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    checkpoint_dir(df.sparkSession)
-    keys = _sort_keys(value, tiebreak, descending)
-
-    # Without an explicit count AQE may merge neighbouring ranges into
-    # partitions of its advisory size; merged ranges stay contiguous and in
-    # order, so the partition index is still a valid range index.
-    by_range = (df.repartitionByRange(*keys) if num_ranges is None
-                else df.repartitionByRange(max(1, num_ranges), *keys))
-    ranged = (by_range.withColumn("_rng", F.spark_partition_id())
-              .checkpoint(eager=True))
-
-    sizes = ranged.groupBy("_rng").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_rng",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias("_n"))
-
-    pos = (ranged.join(F.broadcast(offsets), "_rng")
-           .withColumn("_rn", F.col("_off") + F.row_number().over(
-               Window.partitionBy("_rng").orderBy(*keys))))
-    tile = F.expr(
-        f"""CASE
-              WHEN _rn <= (_n % {k}) * (_n div {k} + 1)
-                THEN (_rn - 1) div (_n div {k} + 1) + 1
-              ELSE (_n % {k}) + (_rn - 1 - (_n % {k}) * (_n div {k} + 1)) div (_n div {k}) + 1
-            END""")
-    return pos.withColumn(out, tile.cast("int")).drop("_rng", "_off", "_n", "_rn")
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    base = df.checkpoint(eager=True)
+    n = base.count()
+    id_type = base.schema[tiebreak].dataType.simpleString()
+    starts = [j * (n // k) + min(j, n % k) for j in range(1, k)]  # 0-based first rows of tiles
+    starts = [s for s in starts if s < n]
+
+    def key(value: str, descending: bool) -> Column:
+        v = _number(base, value)
+        return F.struct((v.isNull().cast("int") if descending else F.lit(0)).alias("a"),
+                        (-v if descending else v).cast(_VALUE).alias("v"),
+                        F.col(tiebreak).alias("i"))
+
+    keys = [key(value, descending) for _, value, descending in specs]
+    if not starts:  # k = 1, or no rows
+        return base.select("*", *[F.lit(1).alias(name) for name, _, _ in specs])
+    every = max(1, n // SAMPLE_ROWS)
+    sampled = base.where(F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(every)) == 0) \
+        .select(*[c.alias(f"k{j}") for j, c in enumerate(keys)]).collect()
+    bounds = []
+    for j in range(len(specs)):
+        ordered = sorted((tuple(r[f"k{j}"]) for r in sampled), key=_sort_key)
+        step = max(1, len(ordered) // (BOUNDARIES + 1))
+        bounds.append(ordered[step::step][:BOUNDARIES])
+    tagged = base.select(F.explode(F.array(*[
+        F.struct(F.lit(j).alias("spec"),
+                 (_below(c, _literal(b, id_type), len(b)) if b else F.lit(0)).alias("range"),
+                 c.alias("key")) for j, (c, b) in enumerate(zip(keys, bounds))])).alias("t")) \
+        .select("t.spec", "t.range", "t.key")
+    sizes = {(r["spec"], r["range"]): r["count"]
+             for r in tagged.groupBy("spec", "range").count().collect()}
+    wanted = []  # (spec, range, place inside the range) of each tile's first row
+    for j in range(len(specs)):
+        before, left = 0, list(starts)
+        for number in sorted(r for s, r in sizes if s == j):
+            size = sizes[j, number]
+            while left and left[0] < before + size:
+                wanted.append((j, number, left.pop(0) - before + 1))
+            before += size
+    inside = F.struct("spec", "range").isin(
+        [F.struct(F.lit(j).alias("spec"), F.lit(r).alias("range"))
+         for j, r in sorted({w[:2] for w in wanted})])
+    place = F.row_number().over(Window.partitionBy("spec", "range").orderBy("key"))
+    picked = tagged.where(inside).withColumn("place", place).where(
+        F.struct("spec", "range", "place").isin(
+            [F.struct(F.lit(j).alias("spec"), F.lit(r).alias("range"), F.lit(p).alias("place"))
+             for j, r, p in wanted])).select("spec", "key").collect()
+    out = []
+    for j, ((name, _, _), c) in enumerate(zip(specs, keys)):
+        cuts = sorted((tuple(r["key"]) for r in picked if r["spec"] == j), key=_sort_key)
+        out.append((_at_or_below(c, _literal(cuts, id_type)) + 1).alias(name))
+    return base.select("*", *out)
+
+
+def distributed_ntile(df: DataFrame, k: int, value: str, tiebreak: str,
+                      descending: bool = False, out: str = "ntile") -> DataFrame:
+    """:func:`ntiles` of a single value."""
+    return ntiles(df, k, [(out, value, descending)], tiebreak)
 
 
 def _top(df: DataFrame, k: int, value: str, tiebreak) -> DataFrame:
@@ -95,45 +167,3 @@ def topk_dense_rank(df: DataFrame, k: int, value: str, tiebreak,
     """
     w = Window.orderBy(F.col(value).desc_nulls_last())
     return _top(df, k, value, tiebreak).withColumn(out, F.dense_rank().over(w).cast("int"))
-
-
-def topk_rank(df: DataFrame, k: int, value: str, tiebreak,
-              out: str = "rank") -> DataFrame:
-    """Like :func:`topk_dense_rank` with ``RANK()`` (1 + rows strictly
-    greater, all of which are among the selected rows)."""
-    w = Window.orderBy(F.col(value).desc_nulls_last())
-    return _top(df, k, value, tiebreak).withColumn(out, F.rank().over(w).cast("int"))
-
-
-# Largest row count ranked inside one task by a plain window (settable per
-# session); above it the distributed form is used.
-SINGLE_TASK_MAX_ROWS_CONF = "starbi.ntile.singleTaskMaxRows"
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
-def ntiles(df: DataFrame, k: int, specs: list[tuple[str, str, bool]], tiebreak: str,
-           single_task_max_rows: int | None = None) -> DataFrame:
-    """Several ``NTILE(k)`` columns, one per ``(out, value, descending)``.
-
-    The input is checkpointed once and counted exactly.  When the count is
-    at most ``single_task_max_rows`` the tiles come from plain windows (one
-    task sorts a row set whose size was just checked); beyond it each tile
-    uses :func:`distributed_ntile`, reading the checkpoint instead of
-    recomputing the input.  Both give identical results.
-    """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    if single_task_max_rows is None:
-        single_task_max_rows = int(spark.conf.get(SINGLE_TASK_MAX_ROWS_CONF,
-                                                  str(SINGLE_TASK_MAX_ROWS)))
-    base = df.checkpoint(eager=True)
-    n = base.count()
-    out = base
-    for name, value, descending in specs:
-        if n <= single_task_max_rows:
-            # size checked above: at most single_task_max_rows rows in one task
-            w = Window.orderBy(*_sort_keys(value, tiebreak, descending))
-            out = out.withColumn(name, F.ntile(k).over(w).cast("int"))
-        else:
-            out = distributed_ntile(out, k, value, tiebreak, descending=descending, out=name)
-    return out

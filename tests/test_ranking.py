@@ -1,11 +1,14 @@
 """Distributed exact NTILE and top-k ranks against Spark's plain windows."""
+import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starbi.operators.ranking import distributed_ntile, topk_dense_rank, topk_rank
+from starbi.operators import ranking
+from starbi.operators.ranking import distributed_ntile, ntiles, topk_dense_rank
 
 
 def _plain(df, k, desc):
@@ -13,10 +16,18 @@ def _plain(df, k, desc):
     return df.withColumn("t", F.ntile(k).over(Window.orderBy(v, F.col("id"))))
 
 
-def _check(spark, rows, k, desc, num_ranges=5):
+@pytest.fixture(autouse=True, params=[7, ranking.BOUNDARIES])
+def boundaries(request, monkeypatch):
+    """Few and many ranges; few sampled rows in the first case."""
+    monkeypatch.setattr(ranking, "BOUNDARIES", request.param)
+    if request.param == 7:
+        monkeypatch.setattr(ranking, "SAMPLE_ROWS", 20)
+
+
+def _check(spark, rows, k, desc):
     df = spark.createDataFrame(rows, "id string, v long")
-    got = {r.id: r.t for r in distributed_ntile(df, k, "v", "id", descending=desc, out="t",
-                                                num_ranges=num_ranges).collect()}
+    got = {r.id: r.t for r in distributed_ntile(df, k, "v", "id", descending=desc,
+                                                out="t").collect()}
     want = {r.id: r.t for r in _plain(df, k, desc).collect()}
     assert got == want
 
@@ -43,10 +54,10 @@ def test_ntile_hot_value_is_split(spark):
     # a third of the rows share one value; ranges still balance on (v, id)
     rows = [(f"h{i:05d}", 1) for i in range(1500)] + [(f"x{i:05d}", i) for i in range(3000)]
     df = spark.createDataFrame(rows, "id string, v long")
-    out = distributed_ntile(df, 4, "v", "id", out="t", num_ranges=8)
+    out = distributed_ntile(df, 4, "v", "id", out="t")
     sizes = [r["count"] for r in out.groupBy("t").count().collect()]
     assert sorted(sizes) == [1125, 1125, 1125, 1125]
-    _check(spark, rows, 4, False, num_ranges=8)
+    _check(spark, rows, 4, False)
 
 
 def test_topk_ranks(spark):
@@ -57,21 +68,28 @@ def test_topk_ranks(spark):
     full = {r.id: r.dr for r in df.withColumn(
         "dr", F.dense_rank().over(Window.orderBy(F.col("v").desc()))).collect()}
     assert len(top) == 10 and all(full[r.id] == r.dr for r in top)
-    top = topk_rank(df, 10, "v", "id", out="rk").collect()
-    full = {r.id: r.rk for r in df.withColumn(
-        "rk", F.rank().over(Window.orderBy(F.col("v").desc()))).collect()}
-    assert all(full[r.id] == r.rk for r in top)
     # the k rows are the largest values, ties by id
     want = sorted(rows, key=lambda r: (-r[1], r[0]))[:10]
     assert sorted((r.id, r.v) for r in top) == sorted(want)
 
 
-def test_ntiles_both_paths_agree(spark):
-    from starbi.operators.ranking import ntiles
+def test_ntiles_of_several_scores(spark):
     rnd = random.Random(11)
-    rows = [(f"u{i:05d}", rnd.choice([None, 1, 2, 3, 3, 3, 9]), rnd.randint(0, 50)) for i in range(777)]
-    df = spark.createDataFrame(rows, "id string, a long, b long")
-    specs = [("ta", "a", True), ("tb", "b", False)]
-    small = {r.id: (r.ta, r.tb) for r in ntiles(df, 4, specs, "id", single_task_max_rows=10**6).collect()}
-    dist = {r.id: (r.ta, r.tb) for r in ntiles(df, 4, specs, "id", single_task_max_rows=0).collect()}
-    assert small == dist and len(small) == 777
+    days = [dt.date(2018, 1, 1) + dt.timedelta(days=i) for i in range(40)] + [None]
+    rows = [(f"u{i:05d}", rnd.choice([None, 1, 2, 3, 3, 3, 9]), rnd.choice(days),
+             Decimal(rnd.randint(-50, 50)) / 100) for i in range(777)]
+    df = spark.createDataFrame(rows, "id string, a long, b date, c decimal(18,2)")
+    specs = [("ta", "a", True), ("tb", "b", False), ("tc", "c", True)]
+    got = {r.id: (r.ta, r.tb, r.tc) for r in ntiles(df, 4, specs, "id").collect()}
+    want = df
+    for out, v, desc in specs:
+        order = F.col(v).desc_nulls_last() if desc else F.col(v).asc_nulls_first()
+        want = want.withColumn(out, F.ntile(4).over(Window.orderBy(order, "id")))
+    assert got == {r.id: (r.ta, r.tb, r.tc) for r in want.collect()}
+
+
+def test_no_task_gets_all_rows(spark):
+    """A score's tiles come from a projection of the checkpointed rows."""
+    df = spark.createDataFrame([(f"u{i:05d}", i % 5) for i in range(2000)], "id string, v long")
+    plan = distributed_ntile(df, 4, "v", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
