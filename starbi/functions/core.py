@@ -24,10 +24,10 @@ MONTH_NAMES_PT = ["Jan", "Fev", "Mar", "Abr", "Mai", "Jun",
 # Raw timestamp text format of the order table.
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-SECONDS_PER_DAY = 86400
-# Whitespace removed at both ends of a text value (Java regex class; \s
-# already covers space, \t, \n, \x0B, \f and \r).
-_EDGE_WS = r"^\s+|\s+$"
+# The code points that Python's str.strip removes, as a Java
+# regex class.
+_SPACE = (r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_EDGE_WS = rf"\A{_SPACE}+|{_SPACE}+\z"
 
 
 def _c(c) -> Column:
@@ -50,7 +50,7 @@ def title_case(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Remove leading and trailing whitespace (``trim`` only removes spaces)."""
+    """Remove leading and trailing Unicode whitespace (``trim`` only removes spaces)."""
     return F.regexp_replace(_c(c), _EDGE_WS, "")
 
 
@@ -64,24 +64,21 @@ def parse_ts(c, dtype=None, fmt: str = TS_FORMAT) -> Column:
     return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
 
 
-def _ntz_seconds(a, b) -> Column:
-    """Seconds from ``a`` to ``b`` for wall-clock (TIMESTAMP_NTZ) values.
-
-    Built from calendar days and time of day, which do not depend on the
-    session time zone (``timestamp_diff`` would first convert both sides to
-    instants in that zone and gain or lose an hour across a DST change)."""
-    def sod(t):
-        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
-    days = F.datediff(F.to_date(b), F.to_date(a)).cast("long")
-    return days * SECONDS_PER_DAY + (sod(b) - sod(a))
-
-
 def floor_days(start, end) -> Column:
     """Whole days from ``start`` to ``end``, rounded toward -infinity
-    (``-1 hour`` is ``-1`` day, ``+23 hours`` is ``0``)."""
-    secs = _ntz_seconds(_c(start), _c(end))
-    day = F.lit(SECONDS_PER_DAY)
-    return ((secs - F.pmod(secs, day)) / day).cast("int")
+    (``-1 hour`` is ``-1`` day, ``+23 hours`` is ``0``), to the microsecond.
+
+    Wall-clock (TIMESTAMP_NTZ) values: calendar days, less one if the end's
+    time of day comes before the start's.  No session time zone is involved
+    (``timestamp_diff`` would first convert both sides to instants and gain or
+    lose an hour across a DST change)."""
+    a, b = _c(start), _c(end)
+
+    def time_of_day(t):
+        second = F.date_part(F.lit("SECOND"), t)  # with its fraction
+        return (F.hour(t) * 3600 + F.minute(t) * 60).cast("decimal(18,6)") + second
+    days = F.datediff(F.to_date(b), F.to_date(a))
+    return (days - (time_of_day(b) < time_of_day(a)).cast("int")).cast("int")
 
 
 def date_key(d) -> Column:
@@ -119,8 +116,10 @@ def hround(num, den, scale: int) -> Column:
     n = _c(num).cast(DecimalType(38, 0))
     d = F.when(_c(den) != 0, _c(den)).cast(DecimalType(38, 0))
     p = 10 ** scale
-    q = int_div(F.abs(n) * F.lit(2 * p) + d, d * F.lit(2))
-    signed = F.when(n < 0, -q).otherwise(q)
+    size = F.abs(d)
+    q = int_div(F.abs(n) * F.lit(2 * p) + size, size * F.lit(2))
+    # sizes are rounded, the sign is that of the quotient
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
     return signed.cast("double") / F.lit(float(p))
 
 

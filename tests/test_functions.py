@@ -79,3 +79,37 @@ def test_hround_exact_half_up(spark):
     for s in (1, 2):
         got = [r[0] for r in df.select(hround("n", "d", s)).collect()]
         assert got == [_half_up(int(n), int(d), s) for n, d in rows]
+
+
+def test_hround_of_every_sign(spark):
+    rnd = random.Random(5)
+    rows = [(-100, 50), (50, -100), (100, -300), (7, -9), (-7, -9), (0, -3), (5, 0), (1, None)]
+    rows += [(rnd.randint(-10**6, 10**6), rnd.choice([-1, 1]) * rnd.randint(1, 999))
+             for _ in range(400)]
+    df = spark.createDataFrame(rows, "n long, d long")
+    got = df.select("n", "d", hround("n", "d", 1).alias("r")).collect()
+    for r in got:
+        if not r.d:
+            assert r.r is None
+            continue
+        exact = decimal.Decimal(r.n) / decimal.Decimal(r.d)
+        want = exact.quantize(decimal.Decimal("0.1"), rounding=decimal.ROUND_HALF_UP)
+        assert r.r == float(want), r
+
+
+def test_strip_unicode_space(spark):
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    rows = [(f"{s}são{s}paulo{s}{s}",) for s in spaces] + [("\xa0x\u200b",), ("",), ("\u3000",)]
+    got = spark.createDataFrame(rows, "c string").select("c", strip_ws("c").alias("o")).collect()
+    assert all(r.o == r.c.strip() for r in got)
+
+
+def test_floor_days_to_the_microsecond(spark):
+    rnd = random.Random(6)
+    a = dt.datetime(2018, 1, 1, 10, 0, 0, 300)
+    deltas = [dt.timedelta(hours=23, minutes=59, seconds=59.2), dt.timedelta(microseconds=-1),
+              dt.timedelta(days=1, microseconds=-1)]
+    deltas += [dt.timedelta(microseconds=rnd.randint(-4 * 10**11, 4 * 10**11)) for _ in range(200)]
+    df = spark.createDataFrame([(a, a + d) for d in deltas], "a timestamp_ntz, b timestamp_ntz")
+    got = [r[0] for r in df.select(floor_days("a", "b")).collect()]
+    assert got == [d // dt.timedelta(days=1) for d in deltas]
