@@ -13,7 +13,6 @@ Layout
 ``operators``  ETL builders, distributed ranking (exact NTILE, top-k dense
                rank), quality / integrity audits, BI measures.
 ``plans``      the star pipeline and every analytical query.
-``streaming``  intentionally empty: the workload is batch only.
 """
 
 from starbi.plans.star import Star, build_star, star_for  # noqa: F401

@@ -10,15 +10,13 @@ Plan shape used throughout:
   map-side, so a huge order never travels whole.
 * Item-level questions (category, seller) reduce items per product or
   seller before the dimension join.
-* Joins to small dimensions are left to the planner (it broadcasts from
-  measured sizes); only ``dim_date`` — bounded by the number of calendar
-  days — and the five-row band table are broadcast explicitly.
+* Joins to dimensions are left to the planner (it broadcasts from measured
+  sizes); only the five-row band table is broadcast explicitly.
 * Windows without PARTITION BY only ever see aggregated rows whose count is
   bounded by the calendar or by a taxonomy (months, categories, payment
   types, two buyer types).  Per-customer quartiles use
-  :func:`starbi.operators.ranking.ntiles`: a plain window only after an
-  exact count proves the row set small, the distributed exact NTILE
-  otherwise.
+  :func:`starbi.operators.ranking.ntiles`, which seeks only the keys at which
+  quartiles begin.
 * ROUND is computed exactly from integer numerators/denominators
   (:func:`starbi.functions.hround`), money is exact DECIMAL until the final
   DOUBLE projection.
@@ -60,10 +58,10 @@ def _dbl(c) -> F.Column:
 
 def _delivered_order_totals(star: Star) -> DataFrame:
     """One row per delivered order with its item sums (order-grain summary;
-    columns order_id, customer_id, date_key, purchase_date, _price,
+    columns order_id, customer_id, date_key, purchase_date, first_row, _price,
     _freight, _total)."""
     t = star.order_totals.where(F.col("order_status") == DELIVERED)
-    return t.select("order_id", "customer_id", "date_key", "purchase_date",
+    return t.select("order_id", "customer_id", "date_key", "purchase_date", "first_row",
                     F.col("price").alias("_price"), F.col("freight_value").alias("_freight"),
                     F.col("total_item_value").alias("_total"))
 
@@ -73,7 +71,7 @@ def q01_overview(star: Star) -> DataFrame:
     """Orders, product / freight / total revenue and average ticket of
     delivered orders (one row, also over empty input)."""
     t = _delivered_order_totals(star)
-    agg = t.agg(F.count_distinct("order_id").alias("pedidos"),
+    agg = t.agg(F.coalesce(F.sum("first_row"), F.lit(0)).cast("long").alias("pedidos"),
                 F.sum("_price").alias("p"), F.sum("_freight").alias("fr"),
                 F.sum("_total").alias("tot"))
     return agg.select(
@@ -146,21 +144,29 @@ def nb_monthly_mom_tail(star: Star, months: tuple[str, str] = KPI_MONTHS,
 
 
 # ------------------------------------------------------------- Q3 / Q4 / C2
-def category_revenue(star: Star, delivered_only: bool = True) -> DataFrame:
-    """Revenue and item count per English category, from the per-(product,
-    status) item sums the ETL writes: one row per product and status meets
-    the product dimension, and no question re-joins the item-grain fact."""
-    t = star.product_totals
-    if delivered_only:
-        t = t.where(F.col("order_status") == DELIVERED)
-    per_product = t.groupBy("product_id").agg(
-        F.sum("total_item_value").alias("r"), F.sum("items").alias("n"))
+def _per_category(star: Star, per_product: DataFrame, how: str = "inner") -> DataFrame:
     return (per_product.join(star.dim_product.select("product_id", "category_en"),
-                             "product_id")
+                             "product_id", how)
             .groupBy("category_en")
             .agg(F.sum("r").alias("receita"), F.sum("n").alias("itens")))
 
 
+def category_revenue(star: Star) -> DataFrame:
+    """Revenue and item count of delivered orders per English category, from the
+    per-(product, status) item sums the ETL writes: one row per product meets
+    the product dimension, and no question re-joins the item-grain fact."""
+    t = star.product_totals.where(F.col("order_status") == DELIVERED)
+    return _per_category(star, t.groupBy("product_id").agg(
+        F.sum("total_item_value").alias("r"), F.sum("items").alias("n")))
+
+
+def category_revenue_all(star: Star) -> DataFrame:
+    """The same over the fact alone: no order row is joined, so neither a
+    repeated nor a missing one changes the sums."""
+    return _per_category(star, star.fact.groupBy("product_id").agg(
+        F.sum("total_item_value").alias("r"), F.count(F.lit(1)).alias("n")))
+
+
 def q03_top_categories(star: Star, k: int = 10) -> DataFrame:
     c = category_revenue(star)
     # one row per category (a taxonomy, not a data-sized set)
@@ -187,7 +193,7 @@ def kpi_top_categories(star: Star, k: int = 10) -> DataFrame:
 def q04_pareto(star: Star) -> DataFrame:
     """Cumulative revenue share by category, over all order statuses.
     RANGE frame: categories with equal revenue share one cumulative value."""
-    c = category_revenue(star, delivered_only=False)
+    c = category_revenue_all(star)
     running = Window.orderBy(F.col("receita").desc()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
     c = (c.withColumn("cum", F.sum("receita").over(running))

@@ -8,6 +8,7 @@ engine-neutral column types (:func:`portable`).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -19,20 +20,48 @@ from starbi.operators import measures, quality
 from starbi.plans import analysis as A
 from starbi.plans import oracle_sql as O
 from starbi.plans.star import Star, star_for
-from starbi.sources.testdata import load_raw_from_testdata
+from starbi.plans.sql import catalog_inventory, register_views
+from starbi.session import checkpoint_dir, remove_at_exit
+from starbi.sources.readers import audit_raw_numbers, load_star
+from starbi.sources.testdata import load_raw_from_testdata, raw_as_text
+from starbi.sources.writers import write_star_csv, write_star_table
 
 TEST_MONTHS = O.TEST_MONTHS
 MEASURE_SLICE = {"year": [1997, 1998]}
 
-# Lead-time, flag and score columns of dim_order hold NULLs; the reference
-# stores them as REAL, and so does this comparison view.
-DIM_ORDER_REAL = ("delivery_days", "delay_days", "on_time", "review_score", "max_installments")
+MOM_SLICE = {"year": [1997], "state": ["BRAZIL", "CANADA", "CHINA"]}
 
 
-def _dim_order_view(star: Star) -> DataFrame:
-    d = star.dim_order
-    return d.select(*[F.col(c).cast("double").alias(c) if c in DIM_ORDER_REAL else F.col(c)
-                      for c in d.columns])
+def _catalog(star: Star) -> DataFrame:
+    """S-3: the model tables listed from the session's catalog."""
+    register_views(star, "starbi_")
+    listed = catalog_inventory(star.fact.sparkSession, "starbi_")
+    return listed.select(F.regexp_replace("name", "^starbi_", "").alias("name"), "c").orderBy("name")
+
+
+def _folder(spark: SparkSession, label: str) -> str:
+    path = f"{checkpoint_dir(spark).rstrip('/')}/starbi-io/{label}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
+    return path
+
+
+def _through_csv(star: Star) -> DataFrame:
+    """K-1 and S-5: the fact after the CSV export and back (text keys as numbers)."""
+    spark = star.fact.sparkSession
+    path = _folder(spark, "csv")
+    write_star_csv(star.tables(), path)
+    fact = load_star(spark, path, "csv").fact
+    return fact.select([F.col(c).cast(star.fact.schema[c].dataType).alias(c) for c in fact.columns])
+
+
+def _through_parquet(star: Star) -> DataFrame:
+    """K-2, K-3 and S-5: dim_order after a write, a rebuild over it, and back."""
+    spark = star.fact.sparkSession
+    path = _folder(spark, "parquet")
+    for _ in range(2):
+        for name, df in star.tables().items():
+            write_star_table(spark, df, f"{path}/{name}")
+    return load_star(spark, path).dim_order
 
 
 # name -> (function of the star, oracle SQL or None)
@@ -40,7 +69,7 @@ _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
     "etl_dim_customer": (lambda s: s.dim_customer, O._etl("dim_customer")),
     "etl_dim_product": (lambda s: s.dim_product, O._etl("dim_product")),
     "etl_dim_seller": (lambda s: s.dim_seller, O._etl("dim_seller")),
-    "etl_dim_order": (_dim_order_view, O._etl("dim_order")),
+    "etl_dim_order": (lambda s: s.dim_order, O._etl("dim_order")),
     "etl_dim_date": (lambda s: s.dim_date, O._etl("dim_date")),
     "etl_fact_order_items": (lambda s: s.fact_order_items, O._etl("fact_order_items")),
     "quality_report": (quality.quality_report, O.QUALITY_REPORT),
@@ -77,7 +106,14 @@ _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
     "measures_by_category_sliced": (
         partial(measures.measures_by, by=("category_en",), slicers=MEASURE_SLICE),
         O.measures_by(("category_en",), MEASURE_SLICE)),
+    "measures_total": (measures.measures_total, O.measures_by(())),
     "measure_mom_calendar": (measures.measure_mom_calendar, O.MEASURE_MOM_CALENDAR),
+    "measure_mom_sliced": (partial(measures.measure_mom_calendar, slicers=MOM_SLICE),
+                           O.measure_mom({"state": MOM_SLICE["state"]}, "year = 1997")),
+    "audit_schema": (quality.audit_schema, O.AUDIT_SCHEMA),
+    "catalog_inventory": (lambda s: _catalog(s), O.TABLE_INVENTORY),
+    "io_csv_roundtrip": (lambda s: _through_csv(s), O._etl("fact_order_items")),
+    "io_parquet_roundtrip": (lambda s: _through_parquet(s), O._etl("dim_order")),
     "audit_pk": (quality.audit_pk, O.AUDIT_PK),
     "audit_fk": (quality.audit_fk, O.AUDIT_FK),
     "audit_domain": (quality.audit_domain, O.AUDIT_DOMAIN),
@@ -93,20 +129,23 @@ _RAW_SPEC: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "audit_raw_timestamps": (
         lambda spark, sf: quality.audit_raw_timestamps(load_raw_from_testdata(spark, sf)["orders"]),
         O.AUDIT_RAW_TIMESTAMPS),
+    "audit_raw_numbers": (
+        lambda spark, sf: audit_raw_numbers(raw_as_text(load_raw_from_testdata(spark, sf))),
+        O.AUDIT_RAW_NUMBERS),
 }
 
 
-def portable(df: DataFrame) -> DataFrame:
+def portable(df: DataFrame, dates: bool = False) -> DataFrame:
     """Result columns in engine-neutral types: money (exact to the cent) as
-    DOUBLE, the reference's declared REAL; dates and wall-clock timestamps
-    as ISO text, the form in which the reference stores them.  The
-    persisted star keeps DECIMAL / DATE / TIMESTAMP."""
+    DOUBLE, the reference's declared REAL; wall-clock timestamps, and dates
+    unless ``dates`` keeps them, as ISO text.  The persisted star keeps
+    DECIMAL / DATE / TIMESTAMP."""
     cols = []
     for f in df.schema.fields:
         t, c = f.dataType, F.col(f"`{f.name}`")
         if isinstance(t, DecimalType):
             c = c.cast("double")
-        elif isinstance(t, (DateType, TimestampNTZType)):
+        elif isinstance(t, TimestampNTZType) or isinstance(t, DateType) and not dates:
             # ISO text: yyyy-MM-dd / yyyy-MM-dd HH:mm:ss, no time zone involved
             c = c.cast("string")
         elif isinstance(t, TimestampType):
@@ -115,9 +154,10 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _runner(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _runner(fn: Callable[[Star], DataFrame],
+            dates: bool = False) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(fn(star_for(spark, sf_dir)))
+        return portable(fn(star_for(spark, sf_dir)), dates)
     return run
 
 
@@ -128,7 +168,8 @@ def _raw_runner(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = {name: _runner(fn) for name, (fn, _) in _SPEC.items()}
+    out = {name: _runner(fn, dates=name.startswith(("etl_", "io_")))
+           for name, (fn, _) in _SPEC.items()}
     out.update({name: _raw_runner(fn) for name, (fn, _) in _RAW_SPEC.items()})
     return out
 

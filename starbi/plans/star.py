@@ -26,58 +26,61 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starbi.operators import etl
-from starbi.session import application_id, checkpoint_dir, describe_jobs
+from starbi.session import application_id, checkpoint_dir, describe_jobs, remove_at_exit
 from starbi.sources.writers import write_clustered, write_star_table
 
 STAR_TABLES = ("dim_customer", "dim_product", "dim_seller", "dim_order",
                "dim_date", "fact_order_items")
+# written beside the six tables by the ETL
+SUMMARIES = ("item_totals", "order_totals", "product_totals", "seller_totals")
 BUCKETED = ("dim_order", "fact_order_items")
 BUCKET_KEY = "order_id"
 # session setting that turns on order_id bucketing for star_for (0 = off)
 BUCKETS_CONF = "starbi.star.buckets"
 
+_SUMS = ("price", "freight_value", "total_item_value", "items")
 
-def derive_order_totals(fact: DataFrame, dim_order: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Order-grain summary: the fact's item sums per order with the order
-    attributes most questions filter or group on (status, purchase date,
-    on-time flag, rating) and the calendar month of its date key.
-
-    The reduction combines map-side (a huge order never travels whole) and
-    the join is between two order-grain inputs, with the same multiplicities
-    as joining the fact to ``dim_order`` and grouping, so results equal the
-    item-grain join.  ``year_month`` comes from the calendar through a left
-    join (null for a date key missing from it)."""
-    per_order = (fact.groupBy("order_id", "customer_id", "date_key")
-                 .agg(F.sum("price").alias("price"),
-                      F.sum("freight_value").alias("freight_value"),
-                      F.sum("total_item_value").alias("total_item_value"),
-                      F.count(F.lit(1)).alias("items")))
-    attrs = dim_order.select("order_id", "order_status", "purchase_date", "on_time",
-                             "review_score")
-    # one row per calendar day: size bounded by the calendar
-    months = F.broadcast(dim_date.select("date_key", "year_month"))
-    return per_order.join(attrs, "order_id").join(months, "date_key", "left")
-
-
-def derive_item_totals(fact: DataFrame, dim_order: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Item sums per (product, order status) and per (seller, order status),
-    from the same item-grain join of the fact to ``dim_order`` that the
-    category and seller questions need — done once by the ETL instead of by
-    every question.  Multiplicities equal that join's, and distinct orders
-    are counted per (seller, status), so the questions' numbers are exact."""
-    j = (fact.select("order_id", "product_id", "seller_id", "total_item_value")
-         .join(dim_order.select("order_id", "order_status"), "order_id"))
-    per_product = (j.groupBy("product_id", "order_status")
-                   .agg(F.sum("total_item_value").alias("total_item_value"),
-                        F.count(F.lit(1)).alias("items")))
-    per_seller = (j.groupBy("seller_id", "order_status")
-                  .agg(F.count_distinct("order_id").alias("orders"),
-                       F.sum("total_item_value").alias("total_item_value")))
-    return per_product, per_seller
+
+def derive_item_totals(fact: DataFrame, dim_order: DataFrame) -> DataFrame:
+    """The one item-grain join behind all summaries: the fact's sums per (order,
+    product, seller), combined map-side, with the attributes of the order's
+    ``dim_order`` rows.  Multiplicities are those of joining the fact itself,
+    so questions that join ``dim_order`` get the same numbers from the sums."""
+    keys = ["order_id", "customer_id", "date_key", "product_id", "seller_id"]
+    per = fact.groupBy(*keys).agg(
+        F.sum("price").alias("price"), F.sum("freight_value").alias("freight_value"),
+        F.sum("total_item_value").alias("total_item_value"), F.count(F.lit(1)).alias("items"))
+    return per.join(dim_order.select("order_id", "order_status", "purchase_date"), "order_id")
+
+
+def derive_order_totals(items: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Order-grain sums from :func:`derive_item_totals`, with the calendar month
+    (null for a date key that the calendar lacks).  ``first_row`` is 1 on one
+    row per order and status: distinct orders are its sum, without a shuffle."""
+    keys = ["order_id", "customer_id", "date_key", "order_status", "purchase_date"]
+    per_order = items.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+    nth = F.row_number().over(Window.partitionBy("order_id", "order_status")
+                              .orderBy("purchase_date", "date_key", "customer_id"))
+    months = dim_date.select("date_key", "year_month")
+    return (per_order.withColumn("first_row", (nth == 1).cast("int"))
+            .join(months, "date_key", "left"))
+
+
+def derive_product_totals(items: DataFrame) -> DataFrame:
+    """Item sums per (product, order status)."""
+    return items.groupBy("product_id", "order_status").agg(
+        F.sum("total_item_value").alias("total_item_value"), F.sum("items").alias("items"))
+
+
+def derive_seller_totals(items: DataFrame) -> DataFrame:
+    """Item sums and distinct orders per (seller, order status)."""
+    return items.groupBy("seller_id", "order_status").agg(
+        F.count_distinct("order_id").alias("orders"),
+        F.sum("total_item_value").alias("total_item_value"))
 
 
 @dataclass
@@ -88,8 +91,9 @@ class Star:
     dim_order: DataFrame
     dim_date: DataFrame
     fact_order_items: DataFrame
-    # auxiliary summary (not one of the six model tables): written by the
-    # ETL when the star is materialized, derived on the fly otherwise
+    # summaries (not model tables): written by the ETL when the star is
+    # materialized, derived on the fly otherwise
+    item_totals_table: DataFrame | None = None
     order_totals_table: DataFrame | None = None
     product_totals_table: DataFrame | None = None
     seller_totals_table: DataFrame | None = None
@@ -98,23 +102,29 @@ class Star:
     def fact(self) -> DataFrame:
         return self.fact_order_items
 
+    @property
+    def item_totals(self) -> DataFrame:
+        if self.item_totals_table is not None:
+            return self.item_totals_table
+        return derive_item_totals(self.fact_order_items, self.dim_order)
+
     @property
     def order_totals(self) -> DataFrame:
         if self.order_totals_table is not None:
             return self.order_totals_table
-        return derive_order_totals(self.fact_order_items, self.dim_order, self.dim_date)
+        return derive_order_totals(self.item_totals, self.dim_date)
 
     @property
     def product_totals(self) -> DataFrame:
         if self.product_totals_table is not None:
             return self.product_totals_table
-        return derive_item_totals(self.fact_order_items, self.dim_order)[0]
+        return derive_product_totals(self.item_totals)
 
     @property
     def seller_totals(self) -> DataFrame:
         if self.seller_totals_table is not None:
             return self.seller_totals_table
-        return derive_item_totals(self.fact_order_items, self.dim_order)[1]
+        return derive_seller_totals(self.item_totals)
 
     def tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in STAR_TABLES}
@@ -173,30 +183,31 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
           ("dim_seller", lambda: etl.build_dim_seller(raw["sellers"]))])
     wave([("fact_order_items", lambda: etl.build_fact(raw["items"], out["dim_order"])),
           ("dim_date", lambda: etl.build_dim_date(out["dim_order"].select("purchase_date")))])
-    aux: dict[str, DataFrame] = {}
-
-    def put_totals():
-        # order summary: one folder per month (month-range reports prune
-        # folders), rows clustered by status inside each file
+    # the item-grain join once, written; the other summaries reduce it
+    describe_jobs(spark, "star build: item_totals")
+    items = write_star_table(spark, derive_item_totals(out["fact_order_items"], out["dim_order"]),
+                             f"{path}/item_totals")
+    aux: dict[str, DataFrame] = {"item_totals": items}
+
+    def put_order_totals():
+        # one folder per month (month-range reports prune folders), rows
+        # clustered by status inside each file
         describe_jobs(spark, "star build: order_totals")
-        aux["order"] = write_clustered(
-            spark, derive_order_totals(out["fact_order_items"], out["dim_order"], out["dim_date"]),
-            f"{path}/order_totals", partition_by="year_month", cluster_by=("order_status",),
-            unique_key="order_id")
+        aux["order_totals"] = write_clustered(
+            spark, derive_order_totals(items, out["dim_date"]), f"{path}/order_totals",
+            partition_by="year_month", cluster_by=("order_status",), unique_key="order_id")
 
-    def put_item_totals(i, name):
+    def put_summary(name, df):
         describe_jobs(spark, f"star build: {name}")
-        df = derive_item_totals(out["fact_order_items"], out["dim_order"])[i]
         aux[name] = write_star_table(spark, df, f"{path}/{name}")
 
     with ThreadPoolExecutor(max_workers=3) as pool:
-        for f in [pool.submit(put_totals), pool.submit(put_item_totals, 0, "product_totals"),
-                  pool.submit(put_item_totals, 1, "seller_totals")]:
+        for f in [pool.submit(put_order_totals),
+                  pool.submit(put_summary, "product_totals", derive_product_totals(items)),
+                  pool.submit(put_summary, "seller_totals", derive_seller_totals(items))]:
             f.result()
     describe_jobs(spark, None)
-    return Star(**out, order_totals_table=aux["order"],
-                product_totals_table=aux["product_totals"],
-                seller_totals_table=aux["seller_totals"])
+    return Star(**out, **{f"{name}_table": df for name, df in aux.items()})
 
 
 _CACHE: dict[tuple, Star] = {}
@@ -206,16 +217,18 @@ _LOCK = threading.Lock()
 def star_for(spark: SparkSession, sf_dir: str, persist: bool = True) -> Star:
     """The star for the test tables under ``sf_dir``.
 
-    With ``persist`` (default) the ETL runs once per application and input
-    folder and writes the star to the session's checkpoint folder; later
-    calls reuse the written tables.  Without it the lazy star is returned.
+    With ``persist`` (default) the ETL runs once per application and state of
+    the input files (their lengths and times) and writes the star to the
+    session's checkpoint folder, which the application removes when it ends;
+    later calls reuse the written tables.  Without it the lazy star is returned.
     """
-    from starbi.sources.testdata import load_raw_from_testdata
+    from starbi.sources.testdata import input_mark, load_raw_from_testdata
 
     if not persist:
         return build_star(load_raw_from_testdata(spark, sf_dir))
     app = application_id(spark)
-    key = (app, sf_dir.rstrip("/"), spark.conf.get(BUCKETS_CONF, "0") or "0")
+    key = (app, sf_dir.rstrip("/"), spark.conf.get(BUCKETS_CONF, "0") or "0",
+           input_mark(spark, sf_dir))
     with _LOCK:
         star = _CACHE.get(key)
         if star is not None:
@@ -224,6 +237,7 @@ def star_for(spark: SparkSession, sf_dir: str, persist: bool = True) -> Star:
         tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:10]
         path = f"{checkpoint_dir(spark).rstrip('/')}/starbi-star/{tag}"
         buckets = int(spark.conf.get(BUCKETS_CONF, "0") or 0) or None
+        remove_at_exit(spark, path)
         star = materialize_star(spark, raw, path, buckets=buckets, tag=tag)
         _CACHE[key] = star
         return star

@@ -75,7 +75,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf = spark.conf.get("spark.checkpoint.dir", None)
         if not conf:
             master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-            if not str(master).startswith("local"):
+            if str(master) != "local" and not str(master).startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             conf = tempfile.mkdtemp(prefix="starbi-ckpt-")
         if sc is not None:
@@ -84,6 +84,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return conf
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the application's JVM remove ``path`` when it ends."""
+    sc = _context(spark)
+    if sc is not None:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def describe_jobs(spark: SparkSession, text: str | None) -> None:
     """Label the jobs this thread submits (shown in event logs)."""
     sc = _context(spark)
