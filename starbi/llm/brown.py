@@ -198,9 +198,9 @@ def count_bigrams(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
         yield pd.DataFrame({"cell": at, "n": total[at]})
 
     cells = (training.mapInPandas(count, "cell long, n long")
-             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
+             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
     table = np.zeros(lexicon.size * lexicon.size)
-    table[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.float64)
+    table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     return table.reshape(lexicon.size, lexicon.size)
 
 
@@ -239,8 +239,8 @@ def fit(training: DataFrame) -> LanguageModel:
     counts = stored(training.mapInPandas(_count_words, "word string, n long")
                     .groupBy("word").agg(F.sum("n").alias("n")), "brown-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).toPandas()  # bounded
-    known = [w.encode("utf-8") for w in top["word"]]
+    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()  # bounded
+    known = [w.encode("utf-8") for w in top["word"].to_pylist()]
     units = Units(known[:UNITS])
     lexicon = Lexicon(known, units)
     shared = spark.sparkContext.broadcast(units)
@@ -257,12 +257,12 @@ def fit(training: DataFrame) -> LanguageModel:
 
     of_units = (counts.mapInPandas(per_unit, "unit long, types long, amount long")
                 .groupBy("unit").agg(F.sum("types").alias("types"), F.sum("amount").alias("amount"))
-                .toPandas())  # one row per unit
+                .toArrow())  # one row per unit
     types, amounts = np.zeros(units.size), np.zeros(units.size)
-    types[of_units["unit"].to_numpy(np.int64)] = of_units["types"]
-    amounts[of_units["unit"].to_numpy(np.int64)] = of_units["amount"]
+    types[of_units["unit"].to_numpy()] = of_units["types"].to_numpy()
+    amounts[of_units["unit"].to_numpy()] = of_units["amount"].to_numpy()
     classes = BrownModel(count_bigrams(training, lexicon), types, amounts)
-    return LanguageModel(counts, n, v, units, lexicon, top["n"].to_numpy(np.float64), classes)
+    return LanguageModel(counts, n, v, units, lexicon, top["n"].to_numpy().astype(np.float64), classes)
 
 
 def log_probabilities(docs: DataFrame, lm: LanguageModel) -> DataFrame:

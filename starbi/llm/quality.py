@@ -136,21 +136,22 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
               .distinct()
               .orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample_rows))
 
-    @F.pandas_udf("at array<int>, n array<int>")
+    @F.pandas_udf("at binary, n binary")
     def bags(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([bag(t) for t in texts], columns=["at", "n"])
+        # packed: 16-bit bucket numbers and 32-bit counts
+        return pd.DataFrame([(at.astype(np.uint16).tobytes(), n.tobytes())
+                             for at, n in map(bag, texts)], columns=["at", "n"])
 
     # at most sample_rows ids: a side of bounded size
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows = (text.join(F.broadcast(chosen), "_id").select("_id", "_label", bags("_text").alias("b"))
-            .select("_id", "_label", "b.at", "b.n").toPandas())
-    model = Model()
-    if len(rows) == 0:
-        return model
-    rows["_text_mark"] = [zlib.crc32(np.asarray(a, np.int32).tobytes()) for a in rows["at"]]
-    rows = rows.sort_values(["_id", "_label", "_text_mark"], kind="stable")
-    return model.fit([(np.asarray(a, np.int32), np.asarray(n, np.int32))
-                      for a, n in zip(rows["at"], rows["n"])], rows["_label"].tolist())
+            .select("_id", "_label", "b.at", "b.n").toArrow())
+    order = sorted(range(len(rows)), key=lambda i: tuple(
+        rows[c][i].as_py() for c in ("_id", "_label", "at", "n")))
+    packed = [(np.frombuffer(rows["at"][i].as_buffer(), np.uint16),
+               np.frombuffer(rows["n"][i].as_buffer(), np.int32)) for i in order]
+    labels = rows["_label"].to_pylist()
+    return Model().fit(packed, [labels[i] for i in order]) if packed else Model()
 
 
 _WORDS: dict[bytes, dict[str, tuple[float, int]]] = {}
