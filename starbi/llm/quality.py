@@ -1,9 +1,10 @@
 """Quality classifier: supervised subword embeddings.
 
-A text is a bag of hashed features: every word, the character n-grams (3 to 5)
-of ``<word>``, and the word n-grams (2 to 5) that repeat one word, which share
-a bucket for each n.  Each feature has a learned vector; a document is the mean of
-its features' vectors, and a softmax layer on the mean gives the class
+A text is a bag of hashed features: its words (split at ASCII white space), the
+character n-grams (3 to 5) of each word with one white space at either side,
+and the word n-grams (2 to 5) that repeat one word, which share a bucket for
+each n.  Each feature has a learned vector; a document is the mean of its
+features' vectors, and a softmax layer on the mean gives the class
 probabilities.  Vectors and layer are trained together by numpy stochastic
 gradient descent on labelled documents.
 
@@ -28,9 +29,7 @@ read, so further columns cannot clash.
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -47,43 +46,68 @@ RATE = 0.5
 SAMPLE_ROWS = 4000
 HELD_OUT_MODULUS = 5
 THRESHOLD = 0.3
-_WORD = re.compile(r"\S+")
-#: buckets of the n-grams that repeat one word: the first four
-REPEAT_BUCKETS = np.arange(4)
-#: bound of the words whose features one Python worker remembers
-MEMO = 200_000
-
-
-def word_features(word: str) -> np.ndarray:
-    """Bucket numbers of a word and of the 3- to 5-grams of ``<word>``."""
-    s = f"<{word}>"
-    grams = [s, *(s[i:i + n] for n in (3, 4, 5) for i in range(len(s) - n + 1) if n < len(s))]
-    own = BUCKETS - len(REPEAT_BUCKETS)
-    return np.array([len(REPEAT_BUCKETS) + zlib.crc32(g.encode("utf-8")) % own for g in grams],
-                    np.int32)
-
-
-def repeats(words: list[str]) -> list[int]:
-    """How many word n-grams (n = 2 to 5) consist of one word repeated, per n.
-    They share one bucket for each n, whatever the word."""
-    run, found = 1, [0, 0, 0, 0]
-    for before, word in zip(words, words[1:]):
-        if word == before:
-            run += 1
-            for n in range(min(run, 5) - 1):
-                found[n] += 1
-        else:
-            run = 1
-    return found
+#: texts are read in blocks of so many characters, cut at white space
+BLOCK = 1 << 20
+#: buckets of the word n-grams (n = 2 to 5) that repeat one word, whatever the word
+REPEATS = 4
+#: odd multipliers of the hashes
+_ODD = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
+_POWERS = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def _bucket(hashed: np.ndarray) -> np.ndarray:
+    """The upper bits of a 32-bit mix, as bucket numbers above the repeats'."""
+    hashed = (hashed ^ (hashed >> np.uint32(15))) * _ODD[1]
+    return REPEATS + (hashed >> np.uint32(8)) % np.uint32(BUCKETS - REPEATS)
+
+
+def _blocks(text: str):
+    at = 0
+    while len(text) - at > BLOCK:
+        cut = max(text.rfind(" ", at, at + BLOCK), text.rfind("\n", at, at + BLOCK))
+        end = cut if cut > at else at + BLOCK
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def _block_features(text: str) -> np.ndarray:
+    points = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = (points == 32) | ((points >= 9) & (points <= 13))
+    points = np.where(blank, np.uint32(32), points)
+    n, found = len(points), []
+    # character n-grams that hold white space at their ends only
+    hashed, inside = points[:n - 1] * _ODD[0], np.zeros(n - 1, bool)
+    for k in range(1, 5):
+        m = n - k
+        hashed = hashed[:m] + points[k:] * _ODD[k]
+        if k > 1:
+            inside = inside[:m] | blank[k - 1:n - 1]
+            found.append(_bucket(hashed + np.uint32(k))[~inside])
+    # whole words, hashed by their characters' places
+    word = np.flatnonzero(~blank)
+    if len(word):
+        first = np.flatnonzero(np.diff(word, prepend=-2) > 1)
+        sizes = np.diff(first, append=len(word))
+        place = np.arange(len(word)) - np.repeat(first, sizes)
+        hashes = np.add.reduceat(points[word] * _POWERS[place & 255], first)
+        found.append(_bucket((hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)))
+        same = hashes[1:] == hashes[:-1]
+        for order in range(REPEATS):  # n-grams of one word: runs of equal neighbours
+            found.append(np.full(int(same.sum()), order, np.uint32))
+            same = same[1:] & same[:-1]
+    return np.concatenate(found)
+
+
+def features(text: str | None) -> np.ndarray:
+    """Bucket numbers of all features of a text, repeats included."""
+    parts = [_block_features(b) for b in _blocks(text)] if text else []
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
-    words = _WORD.findall(text or "")
-    total = np.zeros(BUCKETS, np.int32)
-    for word, n in Counter(words).items():
-        np.add.at(total, word_features(word), n)
-    total[REPEAT_BUCKETS] += repeats(words)
+    total = np.bincount(features(text), minlength=BUCKETS).astype(np.int32)
     at = np.flatnonzero(total).astype(np.int32)
     return at, total[at]
 
@@ -154,38 +178,19 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     return Model().fit(packed, [labels[i] for i in order]) if packed else Model()
 
 
-_WORDS: dict[bytes, dict[str, tuple[float, int]]] = {}
-
-
 def score_column(model: Model, spark, text: Column) -> Column:
     """double: probability of class 1 of a text column."""
     workers_see_package(spark)
     margins, bias = model.margins()
     shared = spark.sparkContext.broadcast(margins)  # BUCKETS doubles: half a megabyte
-    key = zlib.crc32(margins.tobytes())
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         share, out = shared.value, np.empty(len(texts))
-        if key not in _WORDS:
-            _WORDS.clear()
-        memo = _WORDS.setdefault(key, {})
-        for i, text in enumerate(texts):
-            if len(memo) > MEMO:
-                memo.clear()
-            words = _WORD.findall(text or "")
-            again = repeats(words)
-            total, features = float(share[REPEAT_BUCKETS] @ again), sum(again)
-            for word in words:
-                known = memo.get(word)
-                if known is None:
-                    at = word_features(word)
-                    known = memo[word] = (float(share[at].sum()), len(at))
-                total += known[0]
-                features += known[1]
-            margin = bias + (total / features if features else 0.0)
-            out[i] = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
-        return pd.Series(out)
+        for i, t in enumerate(texts):
+            at = features(t)
+            out[i] = bias + (share[at].mean() if len(at) else 0.0)
+        return pd.Series(1 / (1 + np.exp(-np.clip(out, -500, 500))))
     return score(text)
 
 

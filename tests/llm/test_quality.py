@@ -4,7 +4,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from starbi.llm import quality
-from llm.helpers import prose
+from llm.helpers import awkward_texts, prose
 
 
 def labelled(spark, n=260):
@@ -52,10 +52,29 @@ def test_scores_are_the_models_softmax(spark):
         assert abs(r.s - p[1] / p.sum()) < 1e-9
 
 
-def test_repeats():
-    assert quality.repeats(["a"] * 5) == [4, 3, 2, 1]
-    assert quality.repeats(["a", "b", "b", "a"]) == [1, 0, 0, 0]
-    assert quality.repeats([]) == [0, 0, 0, 0]
+def slow_features(text):
+    """Sizes of the feature groups, counted one by one."""
+    words = (text or "").encode().split()
+    words = [w.decode() for w in words]
+    grams = sum(max(0, len(w) + 2 - n + 1) for w in words for n in (3, 4, 5))
+    runs = [sum(len(set(words[i:i + n])) == 1 for i in range(len(words) - n + 1)) for n in (2, 3, 4, 5)]
+    return grams + len(words), runs
+
+
+def test_features():
+    for t in [*awkward_texts(), "a a a a a", "b\tb \n b c", "日本 日本"]:
+        total, runs = slow_features(t)
+        at = quality.features(t)
+        assert [int((at == k).sum()) for k in range(4)] == runs
+        assert int((at >= 4).sum()) == total
+        assert at.max(initial=0) < quality.BUCKETS
+
+
+def test_long_texts_are_read_whole(monkeypatch):
+    text = " ".join(f"w{i % 7}x{i % 11}" for i in range(3000))
+    whole = sorted(quality.features(text).tolist())
+    monkeypatch.setattr(quality, "BLOCK", 1000)
+    assert sorted(quality.features(text).tolist()) == whole
 
 
 def test_awkward_cases(spark, docs, crowded, no_docs):
