@@ -52,7 +52,9 @@ def _attach(star: Star, rows: DataFrame, attrs: list[str], slicers: dict) -> Dat
     by_table: dict[tuple[str, str], list[str]] = {}
     for a in attrs:
         by_table.setdefault((_table(a), _ATTRS[a][1]), []).append(a)
-    for (table, key), names in by_table.items():
+    # sliced dimensions first: they drop rows before the other joins
+    for (table, key), names in sorted(by_table.items(),
+                                      key=lambda t: not any(n in slicers for n in t[1])):
         dim = star[table].select(key, *[F.col(_ATTRS[n][2]).alias(n) for n in names])
         sliced = [n for n in names if n in slicers]
         for n in sliced:
