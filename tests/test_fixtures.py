@@ -155,3 +155,25 @@ def test_dropped_items_audit(spark):
     orders = spark.createDataFrame([(1, D(2018, 1, 1)), (2, None)], "order_id long, purchase_date date")
     got = {r.destino: r.itens for r in quality.audit_dropped_items(items, orders).collect()}
     assert got == {"mantido": 2, "pedido_sem_data": 1, "pedido_ausente": 2}
+
+
+def test_rfm_of_nine_people(spark):
+    """Equal dates and values are cut by the person's id; two customer ids of one
+    person count together; tiles of 3, 2, 2 and 2; the newest buyer has r = 1."""
+    days = [D(2018, 1, 1)] * 4 + [D(2018, 2, 1)] * 3 + [D(2018, 3, 1), D(2018, 4, 1)]
+    values = [10, 10, 10, 10, 20, 20, 30, 40, 50]
+    orders = [_order(i, cust=i, day=d) for i, d in enumerate(days)] + [_order(9, cust=9, day=days[0])]
+    customers = [(i, f"P{i}", "SP") for i in range(9)] + [(9, "P0", "SP")]
+    items = [(i, 1, 1, M(f"{v}.00")) for i, v in enumerate(values)] + [(9, 1, 1, M("35.00"))]
+    st = make_star(spark, orders, items, customers=customers)
+    rows = {r.customer_unique_id: r for r in A.q05_rfm_scores(st).collect()}
+    assert {p: r.r_score for p, r in rows.items()} == {
+        "P8": 1, "P7": 1, "P4": 1, "P5": 2, "P6": 2, "P0": 3, "P1": 3, "P2": 4, "P3": 4}
+    assert rows["P0"].valor == 45.0 and rows["P0"].frequencia == 2 and rows["P0"].f_score == 4
+    assert {p: r.m_score for p, r in rows.items()} == {
+        "P1": 1, "P2": 1, "P3": 1, "P4": 2, "P5": 2, "P6": 3, "P7": 3, "P0": 4, "P8": 4}
+    high = {r.customer_unique_id: r.r_score
+            for r in A.q05_rfm_scores(st, recency="recent_high").collect()}
+    assert high["P8"] == 4 and high["P0"] == 1
+    sizes = sorted(r.clientes for r in A.q05_rfm_segments(st).collect())
+    assert sum(sizes) == 9
