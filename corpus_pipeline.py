@@ -44,10 +44,9 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, token ids, their number, and the digests of the ids
     and of the decoded bytes."""
-    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    rows = docs.select("doc_id", "lang", "source", tokenizer.encoded(F.col("text")).alias("e"))
-    return rows.select("doc_id", "lang", "source", "e.ids", "e.n_tokens", "e.ids_sha256",
-                       "e.decoded_sha256")
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN,
+                              bpe.WORD_CUTS)
+    return tokenizer.encode_rows(docs.select("doc_id", "lang", "source", "text"))
 
 
 STAGES = [("quality", quality_stage), ("near_dedup", near_dedup_stage),

@@ -26,22 +26,34 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from starbi.llm.common import workers_see_package
 
 #: bounds of what one Python worker keeps; they change speed only
-MAX_MOVES = 500_000
-MAX_PAIRS = 500_000
-MAX_WORDS = 200_000
+MAX_MOVES = 700_000
+MAX_PAIRS = 100_000
+MAX_WORDS = 120_000
 MEMO_CHARS = 48
+SLICE_ROWS = 128
+#: Places where a text may be cut before the pre-tokenizer pattern is applied,
+#: for patterns of public_tokenizers.PATTERN's shape: white space before a word
+#: keeps its last space for the word, and no match holds white space elsewhere.
+#: (White space is the Unicode property; ``re`` alone would add U+001C..U+001F.)
+WORD_CUTS = (r" ?[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+(?![\S\x1c-\x1f])|[^\S\x1c-\x1f]+")
 DECODE_BLOCK = 1 << 16
+TOKEN_BITS = 22
+LIVE = -1
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -58,14 +70,12 @@ class MergeTransducer:
     ends at the new position.
     """
 
-    TOKEN_BITS = 22
-
     def __init__(self, ranks: dict[bytes, int], max_moves: int = MAX_MOVES):
-        if max(ranks.values(), default=0) >= (1 << self.TOKEN_BITS):
+        if max(ranks.values(), default=0) >= (1 << TOKEN_BITS):
             raise ValueError("ranks of more than 22 bits")
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
-        self.width = {i: len(t) for t, i in ranks.items()}
+        self.width = [len(self.tokens.get(i, b"")) for i in range(max(ranks.values(), default=-1) + 1)]
         self.max_moves = max_moves
         self._child: dict[int, int] = {}  # node * 256 + byte -> node
         self._token, self._depth, self._inner = [-1], [0], [True]
@@ -81,16 +91,18 @@ class MergeTransducer:
                     self._depth.append(self._depth[step >> 8] + 1)
                     self._inner.append(False)
             self._token[node] = token
-        # past this many undecided bytes, what all live boundaries share is emitted
-        self.lookahead = 4 * max(self.width.values(), default=1)
+        # after every so many bytes, what all live boundaries share is emitted
+        self.lookahead = 4 * max(self.width, default=1)
         self._pairs: dict[int, bool] = {}
         self._split: dict[int, tuple[int, ...] | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        start = (0, -1)
-        self._states, self._number = [start], {start: 0}
-        self._moves: dict[int, int] = {}  # state * 256 + byte -> next state, token
+        # A state is the dictionary of its transitions: byte -> (next state,
+        # token); under LIVE it holds its tuple of live boundaries.
+        self._start = {LIVE: (0, -1)}
+        self._states = {(0, -1): self._start}
+        self._count = 0  # transitions
 
     def merged(self, data: bytes, below: int = 1 << 60) -> list[int]:
         """Rank-ordered merging of a short byte string by the merges that rank
@@ -133,17 +145,17 @@ class MergeTransducer:
             else:
                 until, y = y + 1, b[0]
 
-    def _move(self, state: int, byte: int) -> int:
+    def _move(self, state: dict, byte: int) -> tuple[dict, int]:
         """The transition of ``state`` on ``byte``: live boundaries whose bytes
         still begin a token stay, and the token that ends here opens a new one."""
-        live, key, ending = self._states[state], [], -1
+        live, key, ending = state[LIVE], [], -1
         for k in range(0, len(live), 2):
             node = self._child.get(live[k] << 8 | byte, -1)
             if node < 0:
                 continue
             token = self._token[node]
             if ending < 0 <= token:
-                pair = live[k + 1] << self.TOKEN_BITS | token
+                pair = live[k + 1] << TOKEN_BITS | token
                 ok = self._pairs.get(pair)
                 if ok is None:
                     if len(self._pairs) >= MAX_PAIRS:
@@ -157,26 +169,26 @@ class MergeTransducer:
             raise ValueError(f"no token ends at byte {byte:#x}: the vocabulary lacks a byte")
         key += 0, ending
         key = tuple(key)
-        number = self._number.get(key)
-        if number is None:
-            number = self._number[key] = len(self._states)
-            self._states.append(key)
-        move = self._moves[state << 8 | byte] = number << self.TOKEN_BITS | ending
+        following = self._states.get(key)
+        if following is None:
+            following = self._states[key] = {LIVE: key}
+        move = state[byte] = (following, ending)
+        self._count += 1
         return move
 
     def _chain(self, ends: list[int], at: int) -> list[int]:
         """Tokens that lead to position ``at``, from the last token of each prefix."""
-        out = []
+        out, width = [], self.width
         while at:
-            out.append(token := ends[at - 1])
-            at -= self.width[token]
+            token = ends[at - 1]
+            out.append(token)
+            at -= width[token]
         out.reverse()
         return out
 
-    def _decided(self, ends: list[int], state: int) -> list[int]:
+    def _decided(self, ends: list[int], state: dict) -> list[int]:
         """The tokens that the chains to all live boundaries share."""
-        live = self._states[state]
-        chains = [self._chain(ends, len(ends) - self._depth[node]) for node in live[::2]]
+        chains = [self._chain(ends, len(ends) - self._depth[node]) for node in state[LIVE][::2]]
         shared = 0
         while shared < min(map(len, chains)) and len({c[shared] for c in chains}) == 1:
             shared += 1
@@ -184,24 +196,20 @@ class MergeTransducer:
 
     def encode(self, data: bytes) -> list[int]:
         """The ids of one pre-token, read byte by byte."""
-        if len(self._moves) > self.max_moves:
+        if self._count > self.max_moves:
             self._reset()
         out: list[int] = []
         ends: list[int] = []
-        known, move, bits, mask = self._moves.get, self._move, self.TOKEN_BITS, (1 << self.TOKEN_BITS) - 1
-        state, ahead = 0, self.lookahead
-        for byte in data:
-            step = known(state << 8 | byte)
-            if step is None:
-                step = move(state, byte)
-            state = step >> bits
-            ends.append(step & mask)
-            if len(ends) == ahead:
+        state, move, put = self._start, self._move, ends.append
+        for i in range(0, len(data), self.lookahead):
+            for byte in data[i:i + self.lookahead]:
+                state, token = state.get(byte) or move(state, byte)
+                put(token)
+            if i + self.lookahead < len(data):
                 tokens = self._decided(ends, state)
                 out += tokens
                 del ends[:sum(self.width[t] for t in tokens)]
-                ahead = len(ends) + self.lookahead
-        return out + self._chain(ends, len(ends))
+        return out + self._chain(ends, len(ends)) if out else self._chain(ends, len(ends))
 
 
 class Utf8Stream:
@@ -236,55 +244,77 @@ class Utf8Stream:
 
 
 class Codec:
-    """Pre-tokenizer pattern + transducer + decoder."""
+    """Pre-tokenizer pattern + transducer + decoder.  ``cuts``: a pattern of
+    ``re`` whose matches the pre-tokenizer pattern may be applied to one by one
+    (``WORD_CUTS``); without it, it is applied to whole texts."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cuts: str | None = None):
         self.machine = MergeTransducer(ranks)
-        self._find = regex.compile(pattern).findall
+        self._pieces = regex.compile(pattern).findall
+        self._find = re.compile(cuts).findall if cuts else self._pieces
+        self._cut = bool(cuts)
+        size = max(ranks.values(), default=-1) + 1
+        self._bytes = [self.machine.tokens.get(i, b"") for i in range(size)]
+        self._decimal = [str(i) for i in range(size)]
         # ids of words seen lately, in two generations: a full one ages, and
         # words that come again move to the young one
         self._memo: dict[str, tuple[int, ...]] = {}
         self._aged: dict[str, tuple[int, ...]] = {}
 
-    def _word(self, piece: str) -> tuple[int, ...]:
-        ids = self._aged.get(piece) or tuple(self.machine.encode(piece.encode("utf-8")))
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        ids = self._memo.get(piece) or self._aged.get(piece) \
+            or tuple(self.machine.encode(piece.encode("utf-8")))
         if len(piece) <= MEMO_CHARS:
             self._memo[piece] = ids
         return ids
 
+    def _word(self, word: str) -> tuple[int, ...]:
+        ids = self._aged.get(word)
+        if ids is None:
+            pieces = self._pieces(word) if self._cut else (word,)
+            if len(pieces) == 1:
+                return self._piece(word)
+            ids = tuple(chain.from_iterable(map(self._piece, pieces)))
+        if len(word) <= MEMO_CHARS:
+            self._memo[word] = ids
+        return ids
+
     def encode(self, text: str | None) -> list[int]:
         if len(self._memo) >= MAX_WORDS:
             self._memo, self._aged = {}, self._memo
         known, word = self._memo.get, self._word
-        return list(chain.from_iterable(known(p) or word(p) for p in self._find(text or "")))
+        out: list[int] = []
+        for w in self._find(text or ""):
+            out += known(w) or word(w)
+        return out
 
     def decode_stream(self, ids):
         """Text of a sequence of ids, block by block."""
-        stream, tokens = Utf8Stream(), self.machine.tokens
+        stream, token = Utf8Stream(), self._bytes.__getitem__
         for i in range(0, len(ids), DECODE_BLOCK):
-            yield stream.feed(b"".join(map(tokens.__getitem__, ids[i:i + DECODE_BLOCK])))
+            yield stream.feed(b"".join(map(token, ids[i:i + DECODE_BLOCK])))
         yield stream.close()
 
     def digests(self, ids: list[int]) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the comma-joined ids and of the decoded bytes."""
-        listed, decoded = hashlib.sha256(), hashlib.sha256()
+        listed, decoded, decimal = hashlib.sha256(), hashlib.sha256(), self._decimal.__getitem__
         for i in range(0, len(ids), DECODE_BLOCK):
             listed.update(("," if i else "").encode()
-                          + ",".join(map(str, ids[i:i + DECODE_BLOCK])).encode())
+                          + ",".join(map(decimal, ids[i:i + DECODE_BLOCK])).encode())
         for piece in self.decode_stream(ids):
             decoded.update(piece.encode("utf-8"))
         return len(ids), listed.hexdigest(), decoded.hexdigest()
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
+_CODECS: dict[tuple, Codec] = {}
 
 
-def _codec(data: bytes, pattern: str) -> Codec:
+def _codec(data: bytes, *patterns) -> Codec:
     """One codec per Python worker and vocabulary; kept for later batches."""
-    key = (hashlib.sha1(data).hexdigest(), pattern)
+    key = (hashlib.sha1(data).hexdigest(), *patterns)
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(parse_ranks(data), pattern)
+        _CODECS[key] = Codec(parse_ranks(data), *patterns)
     return _CODECS[key]
 
 
@@ -294,31 +324,31 @@ class Tokenizer:
 
     MAX_FILE = 64 << 20
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str):
+    def __init__(self, spark: SparkSession, path: str, pattern: str, cuts: str | None = None):
         workers_see_package(spark)
         with open(path, "rb") as f:
             data = f.read(self.MAX_FILE + 1)
         if len(data) > self.MAX_FILE:
             raise ValueError(f"{path}: a vocabulary of more than {self.MAX_FILE} bytes")
-        self.spark, self.pattern, self.data = spark, pattern, spark.sparkContext.broadcast(data)
+        self.patterns, self.data = (pattern, cuts), spark.sparkContext.broadcast(data)
 
     def encode(self, text: Column) -> Column:
         """array<int>: the ids of a text column."""
-        data, pattern = self.data, self.pattern
+        data, patterns = self.data, self.patterns
 
         @F.pandas_udf("array<int>")
         def ids(texts: pd.Series) -> pd.Series:
-            codec = _codec(data.value, pattern)
+            codec = _codec(data.value, *patterns)
             return pd.Series([codec.encode(t) for t in texts], dtype=object)
         return ids(text)
 
     def decode(self, ids: Column) -> Column:
         """string: the text of an id column (null: null)."""
-        data, pattern = self.data, self.pattern
+        data, patterns = self.data, self.patterns
 
         @F.pandas_udf("string")
         def text(rows: pd.Series) -> pd.Series:
-            codec = _codec(data.value, pattern)
+            codec = _codec(data.value, *patterns)
             return pd.Series([None if r is None else "".join(codec.decode_stream(list(r)))
                               for r in rows], dtype=object)
         return text(ids)
@@ -326,31 +356,45 @@ class Tokenizer:
     def round_trip(self, text: Column) -> Column:
         """struct: number of ids, SHA-256 of the comma-joined ids, SHA-256 of
         the bytes that decoding the ids gives."""
-        data, pattern = self.data, self.pattern
+        data, patterns = self.data, self.patterns
 
         @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
         def digests(texts: pd.Series) -> pd.DataFrame:
-            codec = _codec(data.value, pattern)
+            codec = _codec(data.value, *patterns)
             return pd.DataFrame([codec.digests(codec.encode(t)) for t in texts],
                                 columns=["n_tokens", "ids_sha256", "decoded_sha256"])
         return digests(text)
 
-    def encoded(self, text: Column) -> Column:
-        """struct: the ids, and what ``round_trip`` gives."""
-        data, pattern = self.data, self.pattern
-
-        @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
-        def whole(texts: pd.Series) -> pd.DataFrame:
-            codec = _codec(data.value, pattern)
-            rows = [codec.encode(t) for t in texts]
-            return pd.DataFrame([(np.array(r, np.int32), *codec.digests(r)) for r in rows],
-                                columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
-        return whole(text)
-
-
-def round_trip_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
+    def encode_rows(self, rows: DataFrame, text_col: str = "text") -> DataFrame:
+        """The columns of ``rows`` but the text, and ids, n_tokens, ids_sha256,
+        decoded_sha256.  A few rows' ids at a time leave the worker, so it never
+        holds those of a whole batch."""
+        data, patterns = self.data, self.patterns
+        keep = [c for c in rows.columns if c != text_col]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            codec = _codec(data.value, *patterns)
+            for batch in batches:
+                for i in range(0, len(batch), SLICE_ROWS):
+                    part = batch.slice(i, SLICE_ROWS)
+                    ids, digests = [], []
+                    for text in part[text_col]:
+                        found = codec.encode(text.as_py())
+                        ids.append(np.array(found, np.int32))
+                        digests.append(codec.digests(found))
+                    n, listed, decoded = zip(*digests)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part[c] for c in keep), pa.array(ids, pa.list_(pa.int32())),
+                         pa.array(n, pa.int64()), pa.array(listed), pa.array(decoded)],
+                        [*keep, "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+        schema = rows.select(*keep).schema.add("ids", ArrayType(IntegerType())).add("n_tokens", "long") \
+            .add("ids_sha256", "string").add("decoded_sha256", "string")
+        return rows.mapInArrow(run, schema)
+
+
+def round_trip_digests(docs: DataFrame, path: str, pattern: str, cuts: str | None = None,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every row: one pass, no shuffle."""
-    tokenizer = Tokenizer(docs.sparkSession, path, pattern)
+    tokenizer = Tokenizer(docs.sparkSession, path, pattern, cuts)
     row = docs.select(F.col(id_col), tokenizer.round_trip(F.col(text_col)).alias("_r"))
     return row.select(id_col, "_r.n_tokens", "_r.ids_sha256", "_r.decoded_sha256")

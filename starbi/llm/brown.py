@@ -323,9 +323,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity)
     of every row, learning from the rows that are not held out."""
     held = F.coalesce(crc_remainder(id_col, modulus) == remainder, F.lit(False))
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"), held.alias("held_out"))
+    # the id as text: pandas would turn numbers with nulls into floats
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
+                       held.alias("held_out"))
     lm = fit(rows.where("not held_out").select("text"))
     return log_probabilities(rows, lm).select(
-        id_col, "held_out", "n_tokens", "n_known", F.lit(lm.tokens).cast("long").alias("train_tokens"),
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "held_out", "n_tokens", "n_known", F.lit(lm.tokens).cast("long").alias("train_tokens"),
         "base_score", "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

@@ -172,7 +172,6 @@ def _along(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for pid, key, text in zip(batch["pid"], batch["id"], batch["text"]):
             text = text or ""
-            key = None if pd.isna(key) else key
             now = (pid, key, text, fingerprint(text))
             if before is None:
                 first = now
@@ -204,9 +203,11 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                           F.xxhash64(F.col(text_col)).alias("h"))
               .repartitionByRange(shuffle_partitions(spark), F.col("id").desc_nulls_last(), "h")
               .withColumn("pid", F.spark_partition_id()).sortWithinPartitions(*order)
-              .select("pid", "id", "text"))
+              # ids as text: pandas would turn numbers with nulls into floats
+              .select("pid", F.col("id").cast("string").alias("id"), "text"))
     walked = stored(ranged.mapInPandas(
-        _along, f"pid int, id {kind}, {_RESULT}, edge string, text string"), "ctph-rows")
+        _along, f"pid int, id string, {_RESULT}, edge string, text string")
+        .withColumn("id", F.col("id").cast(kind)), "ctph-rows")
     inner = walked.where("edge is null").select("id", *_COLUMNS)
     # ranges in order: one row per range, its next range's first text
     lasts = walked.where("edge = 'last'").select("pid", "id", "text")

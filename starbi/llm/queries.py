@@ -20,7 +20,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"),
-                                  public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+                                  public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN,
+                                  bpe.WORD_CUTS)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
