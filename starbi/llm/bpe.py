@@ -41,9 +41,9 @@ from pyspark.sql.types import ArrayType, IntegerType
 from starbi.llm.common import workers_see_package
 
 #: bounds of what one Python worker keeps; they change speed only
-MAX_MOVES = 700_000
-MAX_PAIRS = 100_000
-MAX_WORDS = 120_000
+MAX_MOVES = 1_000_000
+MAX_PAIRS = 300_000
+MAX_WORDS = 250_000
 MEMO_CHARS = 48
 SLICE_ROWS = 128
 #: Places where a text may be cut before the pre-tokenizer pattern is applied,
