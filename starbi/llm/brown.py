@@ -5,15 +5,25 @@
 Tokens: words of the text (A-Z lower-cased, split at ASCII white space) and one
 end per document, which is also what stands before the first word.
 
-Counts.  Every training token is counted: one row per distinct word, written to
-the shared folder.  ``UNITS`` of the most frequent words are units of their own;
-every other word belongs to one of ``SHAPES`` shape units, a function of its
-last characters alone, so unseen words have a unit too.  Unit bigrams are counted
-over all training tokens; their table has at most (units)^2 cells.
-
-Exchange clustering.  Units start in ``CLASSES`` classes; passes over the units
-in order of frequency move each to the class that gives the highest likelihood
-of the class bigrams, until a pass moves none or ``PASSES`` are done.
+Counts.  Every training token is counted: one row per distinct word and one per
+distinct word bigram, written to the shared folder.  In these tables a word goes
+by a 64-bit hash; words of equal hash would share a class, nothing else.
+
+Start.  ``UNITS`` of the most frequent words are units of their own, every other
+word belongs to one of ``SHAPES`` shape units, a function of its last characters
+alone.  Units start in ``CLASSES`` classes; passes over the units in order of
+frequency move each to the class that gives the highest likelihood of the class
+bigrams, until a pass moves none or ``PASSES`` are done.
+
+Exchange clustering.  From the classes of their units, up to ``WORD_PASSES`` passes
+over all training words follow.  A pass counts each word's neighbours by class,
+and every word but the ``UNITS`` moves to its best class against the class
+bigrams of the pass's start, all at once; then the ``UNITS`` are moved one by one
+as above, the other words standing by their classes.  The passes end when none
+moves.  Where a pass does not raise the likelihood, the better classes stay and
+from then on half as many words move.  The class of every training word is a row of the word
+table.  Unseen words have the class that holds most training tokens of their
+shape (words that are units of their own aside).
 
 Smoothing.  Class transitions have ``TRANSITION`` added to each count; a class's
 words have ``EMISSION`` added to each count and to one more place, which is for
@@ -21,9 +31,10 @@ all unseen words of that class.  The log10 probability of a text is the sum
 over its tokens, and perplexity is 10 ** (-score / n_tokens).
 
 Scale.  The likelihood of a token needs its word's count.  The ``KNOWN`` most
-frequent words' counts (bounded) go to the tasks; the other words of a document
-are emitted with their frequency and joined with the count table.  Both ways
-give the same sums.
+frequent words' counts and classes (bounded) go to the tasks; the other words of
+a document are emitted with their frequency and joined with the word table, and
+the transitions from and to them are summed when their classes are known.  Both
+ways give the same sums.
 
 Cases: null and empty texts have one token, the end; a null id has no crc32 and
 its row trains; repeated rows count and score once each; without training tokens
@@ -33,6 +44,7 @@ table; only the id and text columns are read, so further columns cannot clash.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -40,6 +52,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +64,14 @@ UNITS = 1000
 SHAPES = 64
 CLASSES = 64
 PASSES = 8
+WORD_PASSES = 3
 KNOWN = 40_000
 TRANSITION = 0.1
 EMISSION = 0.5
 #: distinct words or bigrams that a task gathers before it passes them on
 FLUSH = 400_000
+#: entries of words' neighbour counts that are compared with all classes at once
+SLICE = 20_000
 #: the end token: no word holds white space
 END = b"\n"
 
@@ -73,8 +89,14 @@ def shape(word: bytes) -> int:
     return zlib.crc32(word[-2:] + bytes((min(len(word), 8) // 3,))) % SHAPES
 
 
+def word_id(word: bytes) -> int:
+    """The 64-bit hash that stands for a word in the bigram table."""
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+
+
 def _rows(seen: Counter) -> pd.DataFrame:
     return pd.DataFrame({"word": pd.Series([w.decode("utf-8") for w in seen], dtype=object),
+                         "id": np.fromiter(map(word_id, seen), np.int64, len(seen)),
                          "n": np.fromiter(seen.values(), np.int64, len(seen))})
 
 
@@ -111,18 +133,20 @@ class Lexicon:
         self.end = units.own[END]
         self.size = units.size
 
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
-        """(codes, units, positions of the words that are not known)."""
+    def read(self, words: list[bytes]) -> np.ndarray:
+        """The units of the words."""
         code = self.code
         codes = np.array([code.get(w, -1) for w in words], np.int64)
         units = self.unit[codes] if len(self.unit) else np.zeros(len(codes), np.int64)
         rare = np.flatnonzero(codes < 0)
         units[rare] = [self.end if words[i] == END else shape(words[i]) for i in rare]
-        return codes, units, rare.tolist()
+        return units
 
 
-def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
-    """The class of each unit, from a dense table of unit bigram counts.
+def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES,
+             start: np.ndarray | None = None, fixed: int = 0) -> np.ndarray:
+    """The class of each unit, from a dense table of unit bigram counts; from
+    given classes, the first ``fixed`` units staying where they are.
 
     Maximises sum N(c,d) log N(c,d) - sum left(c) log left(c) - sum right(d) log
     right(d), which is the log likelihood up to a constant.
@@ -133,6 +157,9 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
     order = np.argsort(-left, kind="stable")
     of = np.empty(units, np.int64)
     of[order] = np.arange(units) % classes
+    if start is not None:
+        of[:] = start
+        order = order[order >= fixed]
     member = np.zeros((units, classes))
     member[np.arange(units), of] = 1
     out, into = bigrams @ member, member.T @ bigrams  # unit -> class, class -> unit
@@ -191,7 +218,7 @@ def count_bigrams(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
         total = np.zeros(lex.size * lex.size, np.int64)
         for batch in batches:
             for text in batch["text"]:
-                units = lex.read(tokens(text))[1]
+                units = lex.read(tokens(text))
                 before = np.concatenate([[lex.end], units[:-1]])
                 np.add.at(total, before * lex.size + units, 1)
         at = np.flatnonzero(total)
@@ -204,31 +231,240 @@ def count_bigrams(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
     return table.reshape(lexicon.size, lexicon.size)
 
 
+def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Word bigrams (v, w, n), v before w, counted over many texts at a time."""
+    ids: dict[bytes, int] = {}
+    end = word_id(END)
+    held: list[np.ndarray] = []
+    size = 0
+
+    def counted():
+        both = np.concatenate(held, axis=1)
+        both = both[:, np.lexsort(both)]
+        first = np.flatnonzero(np.r_[True, (both[:, 1:] != both[:, :-1]).any(axis=0)])
+        return pd.DataFrame({"v": both[0, first], "w": both[1, first],
+                             "n": np.diff(first, append=both.shape[1])})
+
+    for batch in batches:
+        for text in batch["text"]:
+            words = tokens(text)
+            for w in words:
+                if w not in ids:
+                    ids[w] = word_id(w)
+            at = np.array([ids[w] for w in words], np.int64)
+            held.append(np.stack([np.concatenate([[end], at[:-1]]), at]))
+            size += len(at)
+            if len(ids) >= FLUSH:
+                ids.clear()
+            if size >= 4 * FLUSH:
+                yield counted()
+                held.clear()
+                size = 0
+    if held:
+        yield counted()
+
+
+def count_pairs(training: DataFrame) -> DataFrame:
+    """The stored word bigrams (v, w, n) of all training tokens."""
+    return stored(training.mapInPandas(_pairs, "v long, w long, n long")
+                  .groupBy("v", "w").agg(F.sum("n").alias("n")), "brown-pairs")
+
+
+def neighbours(pairs: DataFrame, units: DataFrame, size: int) -> DataFrame:
+    """(id, unit, self, slot, n) of every word, stored: its counts before each unit
+    (slots 0 to size - 1) and after each unit (the next ``size`` slots), and how
+    often it follows itself."""
+    other = units.select(F.col("id").alias("other"), F.col("unit").alias("u"))
+    own = F.when(F.col("v") == F.col("w"), F.col("n")).otherwise(0)
+    sides = pairs.select(F.col("v").alias("id"), F.col("w").alias("other"), F.lit(0).alias("from"),
+                         "n", own.alias("self")) \
+        .union(pairs.select("w", "v", F.lit(size), "n", F.lit(0).cast("long")))
+    slots = (sides.join(other, "other")
+             .groupBy("id", (F.col("from") + F.col("u")).alias("slot"))
+             .agg(F.sum("n").alias("n"), F.sum("self").alias("self")))
+    words = slots.groupBy("id").agg(F.sum("self").alias("self"),
+                                    F.collect_list(F.struct("slot", "n")).alias("s"))
+    return stored(words.join(units, "id").select(
+        "id", "unit", "self", F.col("s.slot").alias("slot"), F.col("s.n").alias("n")),
+        "brown-neighbours")
+
+
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """(id, unit, self, sizes of the words' lists, slots, counts) of a batch."""
+    slot, n = batch.column("slot"), batch.column("n")
+    return (*(batch.column(c).to_numpy() for c in ("id", "unit", "self")),
+            np.diff(slot.offsets.to_numpy()), slot.flatten().to_numpy(), n.flatten().to_numpy())
+
+
+def unit_table(around: DataFrame, size: int) -> np.ndarray:
+    """Unit bigram counts: at most size^2 rows reach the driver."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for batch in batches:
+            _, unit, _, sizes, slot, n = _entries(batch)
+            before = slot < size  # the word stands before its neighbour
+            np.add.at(total, np.repeat(unit.astype(np.int64), sizes)[before] * size + slot[before],
+                      n[before])
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"cell": at, "n": total[at]})
+
+    cells = (around.mapInArrow(add, "cell long, n long")
+             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+    table = np.zeros(size * size)
+    table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    return table.reshape(size, size)
+
+
+def _h(x: np.ndarray) -> np.ndarray:
+    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
+
+
+def likelihood(table: np.ndarray) -> float:
+    """Of class bigram counts, up to a constant."""
+    return float(_h(table).sum() - _h(table.sum(axis=0)).sum() - _h(table.sum(axis=1)).sum())
+
+
+def best_classes(table: np.ndarray, of: np.ndarray, self_n: np.ndarray, sizes: np.ndarray,
+                 slot: np.ndarray, n: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Each word's best class if it alone moves; its own unless another is better.
+    Words that find several classes equally good (as empty ones are) take one by
+    their id, so that unlike words do not all move as one."""
+    k, words = len(table), len(of)
+    at = np.repeat(np.arange(words), sizes)
+    dense = np.zeros((words, 2 * k))
+    dense[at, slot] = n
+    each = np.arange(words)
+    row, col = dense[:, :k], dense[:, k:]  # counts to and from classes
+    left, right = row.sum(axis=1, keepdims=True), col.sum(axis=1, keepdims=True)
+    row[each, of] -= self_n
+    col[each, of] -= self_n
+    gain = np.zeros((words, k))
+    for side, (mine, others, cells) in enumerate(((row, col, table.T), (col, row, table))):
+        word, d = at[slot // k == side], slot[slot // k == side] % k
+        add = mine[word, d][:, None]
+        base = cells[d].copy()  # the cells of class d and each class, the word taken out
+        base[np.arange(len(word)), of[word]] -= add[:, 0]
+        home = d == of[word]
+        base[home] -= others[word[home]]
+        inner = np.flatnonzero(home)
+        base[inner, d[inner]] -= self_n[word[inner]]
+        np.add.at(gain, word, _h(base + add) - _h(base))
+    d = np.broadcast_to(np.diagonal(table), (words, k)).copy()
+    d[each, of] -= row[each, of] + col[each, of] + self_n
+    own = self_n[:, None]
+    gain += _h(d + row + col + own) - _h(d + row) - _h(d + col) + _h(d)
+    for total, part in ((table.sum(axis=1), left), (table.sum(axis=0), right)):
+        rest = np.broadcast_to(total, (words, k)).copy()
+        rest[each, of] -= part[:, 0]
+        gain -= _h(rest + part) - _h(rest)
+    tied = gain >= gain.max(axis=1, keepdims=True) - 1e-9
+    best = np.where(tied, (np.arange(k) - ids[:, None]) % k, k).argmin(axis=1)
+    return np.where(gain[each, best] > gain[each, of] + 1e-9, best, of)
+
+
+def move_words(around: DataFrame, table: np.ndarray, of: np.ndarray, share: int,
+               turn: int) -> DataFrame:
+    """The stored (id, unit, moved) after every word that is no unit of its own,
+    or every ``share``-th of them by id, has chosen its class; ``table`` has the
+    class bigrams, ``of`` the classes of the units."""
+    shared = around.sparkSession.sparkContext.broadcast((table, of))
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, of = shared.value
+        k, size = len(table), len(of)
+        for batch in batches:
+            ids, unit, own, sizes, slot, n = _entries(batch)
+            best, ends = unit.copy(), np.cumsum(sizes)
+            may = (unit < k) & ((ids >> 8) % share == turn % share)
+            slot = of[slot % size] + k * (slot // size)
+            a = 0
+            while a < len(unit):
+                start = ends[a] - sizes[a]
+                b = max(a + 1, int(np.searchsorted(ends, start + SLICE, "right")))
+                picked = a + np.flatnonzero(may[a:b])
+                if len(picked):
+                    cells = np.repeat(np.arange(b - a), sizes[a:b]) * 2 * k + slot[start:ends[b - 1]]
+                    counts = np.bincount(cells, n[start:ends[b - 1]], (b - a) * 2 * k)
+                    counts = counts.reshape(b - a, 2 * k)[picked - a]
+                    at, where = np.nonzero(counts)
+                    best[picked] = best_classes(
+                        table, unit[picked], own[picked], np.bincount(at, minlength=len(picked)),
+                        where, counts[at, where], ids[picked])
+                a = b
+            yield pa.RecordBatch.from_pydict({"id": ids, "unit": best, "moved": best != unit})
+    return stored(around.mapInArrow(move, "id long, unit int, moved boolean"), "brown-units")
+
+
+def exchange_words(pairs: DataFrame, units: DataFrame, of: np.ndarray,
+                   passes: int = WORD_PASSES) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """The units of every word (id, unit), the classes of the units and the class
+    bigrams, from given ones.  Unit c stands for the words of class c that are no
+    units of their own; the units after these are single words."""
+    best, value, share = None, -np.inf, 1
+    classes = int(of.max()) + 1
+    for done in range(passes + 1):
+        around = neighbours(pairs, units, len(of))
+        bigrams = unit_table(around, len(of))
+        now = exchange(bigrams, classes, start=of if best is None else best[1], fixed=classes)
+        member = np.eye(classes)[now]
+        table = member.T @ bigrams @ member
+        if likelihood(table) > value:
+            best, value = (units, now, table, around), likelihood(table)
+        else:
+            share *= 2
+        if done == passes:
+            break
+        moved = move_words(best[3], best[2], best[1], share, done)
+        if share == 1 and moved.where("moved").isEmpty():
+            break
+        units = moved.drop("moved")
+    return best[:3]
+
+
 class BrownModel:
-    """Classes of the units, log10 transitions and emission denominators."""
-
-    def __init__(self, bigrams: np.ndarray, types: np.ndarray, amounts: np.ndarray):
-        """types, amounts: distinct training words and training tokens per unit."""
-        self.of = exchange(bigrams)
-        classes = int(self.of.max()) + 1
-        member = np.zeros((len(self.of), classes))
-        member[np.arange(len(self.of)), self.of] = 1
-        moves = member.T @ bigrams @ member + TRANSITION
+    """Classes of the units (shapes first, then one unit per class, which is that
+    of its training words), log10 transitions and emission denominators."""
+
+    def __init__(self, bigrams: np.ndarray, shapes: np.ndarray, types: np.ndarray,
+                 amounts: np.ndarray):
+        """shapes: classes of unseen words; types, amounts: distinct training words
+        and training tokens per class."""
+        self.of = np.concatenate([shapes, np.arange(len(bigrams))])
+        moves = bigrams + TRANSITION
         self.transition = np.log10(moves / moves.sum(axis=1, keepdims=True))
-        self.denominator = member.T @ amounts + EMISSION * (member.T @ types + 1)
+        self.denominator = amounts + EMISSION * (types + 1)
+
+
+class WordUnits:
+    """Units of single words by the word table, to look into a model.  The first
+    call reads the whole table; scoring joins it instead."""
+
+    def __init__(self, words: DataFrame):
+        self.words, self.found = words, None
+
+    def of(self, word: bytes) -> int:
+        if self.found is None:
+            self.found = {r["word"].encode("utf-8"): r["class"]
+                          for r in self.words.select("word", "class").collect()}
+        c = self.found.get(word)
+        return shape(word) if c is None else SHAPES + c
 
 
 @dataclass
 class LanguageModel:
-    """A fitted model: the count table (word, n), its totals, and what is small
-    enough for the driver: the known words' codes and counts, units and classes."""
+    """A fitted model: the word table (word, n, class), its totals, and what is
+    small enough for the driver: the known words with their counts and classes,
+    and the class model."""
 
-    counts: DataFrame
+    words: DataFrame
     tokens: int
     types: int
-    units: Units
-    lexicon: Lexicon
+    units: WordUnits
+    code: dict[bytes, int]
     known: np.ndarray
+    known_class: np.ndarray
+    end: int
     classes: BrownModel
 
 
@@ -236,86 +472,125 @@ def fit(training: DataFrame) -> LanguageModel:
     """From all rows of ``training`` (column text)."""
     spark = training.sparkSession
     workers_see_package(spark)
-    counts = stored(training.mapInPandas(_count_words, "word string, n long")
-                    .groupBy("word").agg(F.sum("n").alias("n")), "brown-counts")
+    counts = stored(training.mapInPandas(_count_words, "word string, id long, n long")
+                    .groupBy("word").agg(F.first("id").alias("id"), F.sum("n").alias("n")),
+                    "brown-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()  # bounded
+    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).select("word").toArrow()  # bounded
     known = [w.encode("utf-8") for w in top["word"].to_pylist()]
     units = Units(known[:UNITS])
-    lexicon = Lexicon(known, units)
-    shared = spark.sparkContext.broadcast(units)
+    of = exchange(count_bigrams(training, Lexicon(known, units)))
+    size = int(of.max()) + 1
+    shared = spark.sparkContext.broadcast((units, of))
 
-    def per_unit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = shared.value.size
-        types, amounts = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        units, of = shared.value
         for batch in batches:
-            at = [shared.value.of(w.encode("utf-8")) for w in batch["word"]]
-            np.add.at(types, at, 1)
-            np.add.at(amounts, at, batch["n"].to_numpy())
-        some = np.flatnonzero(types)
-        yield pd.DataFrame({"unit": some, "types": types[some], "amount": amounts[some]})
-
-    of_units = (counts.mapInPandas(per_unit, "unit long, types long, amount long")
-                .groupBy("unit").agg(F.sum("types").alias("types"), F.sum("amount").alias("amount"))
-                .toArrow())  # one row per unit
-    types, amounts = np.zeros(units.size), np.zeros(units.size)
-    types[of_units["unit"].to_numpy()] = of_units["types"].to_numpy()
-    amounts[of_units["unit"].to_numpy()] = of_units["amount"].to_numpy()
-    classes = BrownModel(count_bigrams(training, lexicon), types, amounts)
-    return LanguageModel(counts, n, v, units, lexicon, top["n"].to_numpy().astype(np.float64), classes)
+            at = np.array([units.of(w.encode("utf-8")) for w in batch["word"]], np.int64)
+            yield pd.DataFrame({"id": batch["id"], "shape": np.minimum(at, SHAPES),
+                                "unit": np.where(at < SHAPES, of[at], at - SHAPES + size)})
+
+    # words of equal hash are one
+    begun = stored(counts.select("word", "id").mapInPandas(begin, "id long, shape int, unit int")
+                   .groupBy("id").agg(F.max("shape").alias("shape"), F.max("unit").alias("unit")),
+                   "brown-start")
+    placed, of_unit, bigrams = exchange_words(
+        count_pairs(training), begun.select("id", "unit"),
+        np.concatenate([np.arange(size), of[SHAPES:]]))
+    of_word = F.get(F.array(*[F.lit(int(c)) for c in of_unit]), F.col("unit"))
+    words = stored(counts.join(placed, "id").join(begun.select("id", "shape"), "id")
+                   .select("word", "n", of_word.alias("class"), "shape"), "brown-words")
+    types, amounts = np.zeros(size), np.zeros(size)
+    shapes, most = of[:SHAPES].copy(), np.zeros(SHAPES)
+    for r in words.groupBy("class", "shape").agg(
+            F.count(F.lit(1)).alias("types"), F.sum("n").alias("n")) \
+            .orderBy("class", "shape").collect():  # at most classes * (SHAPES + 1) rows
+        types[r["class"]] += r["types"]
+        amounts[r["class"]] += r["n"]
+        if r["shape"] < SHAPES and r["n"] > most[r["shape"]]:
+            shapes[r["shape"]], most[r["shape"]] = r["class"], r["n"]
+    top = words.orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()  # bounded
+    code = {w.encode("utf-8"): i for i, w in enumerate(top["word"].to_pylist())}
+    known_class = top["class"].to_numpy().astype(np.int64)
+    end = int(of_unit[size])  # END is the first of the single words
+    return LanguageModel(words.select("word", "n", "class"), n, v, WordUnits(words), code,
+                         top["n"].to_numpy().astype(np.float64), known_class, end,
+                         BrownModel(bigrams, shapes, types, amounts))
 
 
 def log_probabilities(docs: DataFrame, lm: LanguageModel) -> DataFrame:
     """Columns of ``docs`` but text, and n_tokens, n_known, base_score, score."""
     spark = docs.sparkSession
     base = np.log10((lm.known + 1) / (lm.tokens + lm.types + 1))
-    emit = np.log10((lm.known + EMISSION) / lm.classes.denominator[lm.classes.of[lm.lexicon.unit]]) \
-        if len(lm.known) else np.zeros(0)
-    shared = spark.sparkContext.broadcast((lm.lexicon, lm.classes, base, emit))
+    emit = np.log10((lm.known + EMISSION) / lm.classes.denominator[lm.known_class])
+    classes = len(lm.classes.transition)
+    shared = spark.sparkContext.broadcast((lm.code, lm.known_class, lm.end, lm.classes, base, emit))
     keep = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lex, brown, base, emit = shared.value
+        code, known_class, end, brown, base, emit = shared.value
         for batch in batches:
             out = []
             for text in batch["text"]:
                 words = tokens(text)
-                codes, at, rare = lex.read(words)
-                of = brown.of[at]
-                start = brown.of[lex.end]
-                moves = float(brown.transition[np.concatenate([[start], of[:-1]]), of].sum())
+                codes = np.array([code.get(w, -1) for w in words], np.int64)
                 known = codes[codes >= 0]
-                seen = Counter(words[i] for i in rare)
-                where = {words[i]: int(of[i]) for i in rare}
+                at = np.empty(len(words), np.int64)
+                at[codes >= 0] = known_class[known]
+                # a word that is not known: number of classes + its number in the text
+                seen = Counter(words[i] for i in np.flatnonzero(codes < 0))
+                number = {w: classes + i for i, w in enumerate(seen)}
+                rare = np.flatnonzero(codes < 0)
+                at[rare] = [end if words[i] == END else number[words[i]] for i in rare]
+                before = np.concatenate([[end], at[:-1]])
+                here = (at < classes) & (before < classes)
+                moves = float(brown.transition[before[here], at[here]].sum())
+                there = np.stack([before[~here], at[~here]]).astype(np.int32)
                 out.append((len(words), len(known), float(base[known].sum()),
-                            moves + float(emit[known].sum()),
+                            moves + float(emit[known].sum()), there.tobytes(),
                             [w.decode("utf-8") for w in seen], list(seen.values()),
-                            [where[w] for w in seen]))
+                            [end if w == END else int(brown.of[shape(w)]) for w in seen]))
             yield pd.concat([batch.drop(columns="text").reset_index(drop=True), pd.DataFrame(
-                out, columns=["n_tokens", "__known", "__base", "__score", "__words", "__times",
-                              "__classes"])], axis=1)
+                out, columns=["n_tokens", "__known", "__base", "__score", "__moves", "__words",
+                              "__times", "__classes"])], axis=1)
 
     partial = stored(docs.withColumn("__row", F.monotonically_increasing_id()).mapInPandas(
         local, ", ".join([*keep, "__row long, n_tokens long, __known long, __base double, "
-                          "__score double, __words array<string>, __times array<long>, "
-                          "__classes array<int>"])), "brown-partial")
-    rare = partial.select("__row", F.explode(F.arrays_zip("__words", "__times", "__classes"))
-                          .alias("r")).select("__row", F.col("r.__words").alias("word"),
-                                              F.col("r.__times").alias("times"),
-                                              F.col("r.__classes").alias("class"))
+                          "__score double, __moves binary, __words array<string>, "
+                          "__times array<long>, __classes array<int>"])), "brown-partial")
+    rare = partial.select("__row", F.posexplode(F.arrays_zip("__words", "__times", "__classes"))
+                          .alias("at", "r")).select("__row", "at", F.col("r.__words").alias("word"),
+                                                    F.col("r.__times").alias("times"),
+                                                    F.col("r.__classes").alias("unseen"))
+    rare = rare.join(lm.words, "word", "left").select(
+        "__row", "at", "times", F.coalesce("n", F.lit(0)).alias("c"),
+        F.coalesce("class", "unseen").alias("class"))
     below = F.get(F.array(*[F.lit(float(x)) for x in lm.classes.denominator]), F.col("class"))
-    c = F.coalesce("n", F.lit(0))
-    found = rare.join(lm.counts, "word", "left").groupBy("__row").agg(
+    c = F.col("c")
+    found = rare.groupBy("__row").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known2"),
         F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(lm.tokens + lm.types + 1)))).alias("base2"),
-        F.sum(F.col("times") * F.log10((c + EMISSION) / below)).alias("score2"))
+        F.sum(F.col("times") * F.log10((c + EMISSION) / below)).alias("score2"),
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "class"))), lambda x: x["class"])
+        .alias("classes2"))
+
+    @F.pandas_udf("double")
+    def moved(pairs: pd.Series, found: pd.Series) -> pd.Series:
+        transition, first = shared.value[3].transition, np.arange(classes)
+        out = np.zeros(len(pairs))
+        for i, (packed, late) in enumerate(zip(pairs, found)):
+            if packed:
+                of = np.concatenate([first, late])
+                before, at = of[np.frombuffer(packed, np.int32).reshape(2, -1)]
+                out[i] = transition[before, at].sum()
+        return pd.Series(out)
     whole = partial.drop("__words", "__times", "__classes").join(found, "__row", "left")
 
     def added(name):
         return F.col(f"__{name}") + F.coalesce(f"{name}2", F.lit(0))
     return whole.select(*[f"`{f.name}`" for f in docs.schema if f.name != "text"], "n_tokens",
                         added("known").alias("n_known"), added("base").alias("base_score"),
-                        added("score").alias("score"))
+                        (added("score") + moved("__moves", "classes2")).alias("score"))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -115,3 +115,38 @@ def test_held_out_text_scores_above_the_base(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = [r for r in brown.score(docs).collect() if r.held_out]
     assert len(rows) > 40 and sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_best_classes_are_those_of_the_likelihood():
+    rng = np.random.default_rng(2)
+    bigrams = rng.poisson(0.6, (30, 30)).astype(float)
+    of = rng.integers(0, 5, 30)
+    member = np.eye(5)[of]
+    table = member.T @ bigrams @ member
+    counts = np.concatenate([bigrams @ member, bigrams.T @ member], axis=1)
+    at, slot = np.nonzero(counts)
+    got = brown.best_classes(table, of, np.diagonal(bigrams).copy(), np.bincount(at, minlength=30),
+                             slot, counts[at, slot], np.arange(30))
+    for u in range(30):
+        values = []
+        for c in range(5):
+            other = of.copy()
+            other[u] = c
+            m = np.eye(5)[other]
+            values.append(brown.likelihood(m.T @ bigrams @ m))
+        assert values[got[u]] == pytest.approx(max(values), abs=1e-6)
+
+
+def test_every_training_word_is_clustered(spark, monkeypatch):
+    """Words of one shape, none of them a unit, that differ by their neighbours alone."""
+    monkeypatch.setattr(brown, "UNITS", 4)
+    rng = random.Random(9)
+    odd, even = ([f"w{i:03d}xx" for i in range(k, 80, 2)] for k in (0, 1))
+    text = [" ".join(w for _ in range(60) for w in
+                     (rng.choice(("aa", "bb")), rng.choice(odd), rng.choice(("cc", "dd")), rng.choice(even)))
+            for _ in range(40)]
+    lm = brown.fit(spark.createDataFrame([(t,) for t in text], "text string"))
+    of = {r["word"]: r["class"] for r in lm.words.collect()}
+    assert {brown.shape(w.encode()) for w in odd + even} == {brown.shape(b"w000xx")}
+    mixed = sum(min(sum(of[w] == c for w in side) for side in (odd, even)) for c in set(of.values()))
+    assert mixed < 20  # as one shape unit all 40 were
