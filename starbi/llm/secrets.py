@@ -8,8 +8,8 @@ more), ``hex`` (24 or more hexadecimal digits).
 Kind ``novel``: a candidate is a run of 16 or more key characters with letters
 and digits that follows a sensitive word within 48 characters and touches no
 base span.  A zstandard dictionary is primed with code identifiers and with the
-text around the candidate (512 characters to each side, the candidate left
-out); the candidate's marginal bytes are its compressed size under that
+text around the candidate (512 characters to each side, the candidate and all
+its copies left out); the candidate's marginal bytes are its compressed size under that
 dictionary less the size of an empty input.  Words, numbers and paths that the
 surroundings or the identifiers already hold cost a few bytes; a candidate whose
 marginal bytes reach ``NOVELTY`` of its length is reported.
@@ -68,6 +68,15 @@ def marginal_bytes(candidate: str, around: str) -> int:
     return len(packer.compress(candidate.encode("utf-8"))) - len(packer.compress(b""))
 
 
+def _without(before: str, run: str, text: str, a: int, b: int) -> tuple[str, str]:
+    """The text to each side of text[a:b] without further copies of ``run``.  The
+    windows reach one run further, so that a copy at their ends goes too."""
+    wide = len(run) - 1
+    start = max(0, a - AROUND)
+    left = text[max(0, start - wide):a].replace(run, "")
+    return left[-len(before):] if before else "", text[b:b + AROUND + wide].replace(run, "")[:AROUND]
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the three base kinds, ordered."""
     found = []
@@ -79,8 +88,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def novel_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """(start, end, "novel") of incompressible candidates that touch no taken span."""
+def novel_spans(text: str, taken: list[tuple[int, int, str]],
+                copies: bool = True) -> list[tuple[int, int, str]]:
+    """(start, end, "novel") of incompressible candidates that touch no taken span.
+    With ``copies`` a candidate's copies count as its surroundings; a scan leaves
+    them out, so that a repeated secret is found at each place."""
     found = []
     for m in _CANDIDATE.finditer(text):
         run = m.group()
@@ -91,7 +103,10 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int,
             continue
         if any(s < b and a < e for s, e, _ in taken):
             continue
-        around = text[max(0, a - AROUND):a] + text[b:b + AROUND]
+        before, after = text[max(0, a - AROUND):a], text[b:b + AROUND]
+        if not copies:
+            before, after = _without(before, run, text, a, b)
+        around = before + after
         if marginal_bytes(run, around) >= NOVELTY * len(run):
             found.append((a, b, "novel"))
     return found
@@ -100,7 +115,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int,
 def scan_text(text: str | None) -> list[tuple[int, int, str]]:
     """All spans of one text, base and novel, ordered by start and kind."""
     base = base_spans(text or "")
-    return sorted(base + novel_spans(text or "", base), key=lambda s: (s[0], KINDS.index(s[2])))
+    return sorted(base + novel_spans(text or "", base, copies=False), key=lambda s: (s[0], KINDS.index(s[2])))
 
 
 def redact_text(text: str | None, mask: str = MASK) -> str | None:

@@ -83,3 +83,14 @@ def test_redaction(spark, docs, crowded):
         want.add((r.doc_id, t, r.n_chars if t == r.text else len(t)))
     assert rows == want
     assert ordered(secrets.redact(docs.select("doc_id", F.col("text"))).collect())
+
+
+def test_a_repeated_secret_is_found_at_each_place():
+    rng = random.Random(8)
+    for far in (0, 3, 75):
+        for _ in range(5):
+            key = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789") for _ in range(40))
+            text = f"session {key} " + prose(rng, far) + f" session {key}\n"
+            found = [(a, b) for a, b, kind in secrets.scan_text(text) if kind == "novel"]
+            assert found == [m.span() for m in re.finditer(key, text)] and len(found) == 2
+            assert key not in secrets.redact_text(text)
