@@ -6,8 +6,11 @@ key being given a value of 6 or more characters), ``access`` (AKIA ids of 20 or
 more), ``hex`` (24 or more hexadecimal digits).
 
 Kind ``novel``: a candidate is a run of 16 or more key characters with letters
-and digits that follows a sensitive word within 48 characters and touches no
-base span.  A zstandard dictionary is primed with code identifiers and with the
+and digits in a sensitive context that touches no base span.  The context is
+sensitive if a sensitive word stands in the 48 characters before, if only dots,
+blanks or line breaks part the run from one in a sensitive context (the parts of
+a token, the lines of a key), and everywhere between BEGIN ... PRIVATE KEY and
+END; there, a shorter run right after a reported one is reported with it.  A zstandard dictionary is primed with code identifiers and with the
 text around the candidate (512 characters to each side, the candidate and all
 its copies left out); the candidate's marginal bytes are its compressed size under that
 dictionary less the size of an empty input.  Words, numbers and paths that the
@@ -48,6 +51,10 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _CONTEXT = re.compile(r"key|auth|bearer|credential|private|pass|pwd|secret|token|session|signature",
                       re.IGNORECASE | re.ASCII)
 _REACH = 48
+_JOINT = re.compile(r"[.\x20\t\r\n]+")
+_KEY_BEGIN = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+_KEY_END = "-----END"
+_TAIL = re.compile(r"[A-Za-z0-9+/_=-]+")
 #: identifiers that often stand beside keys in code
 IDENTIFIERS = (
     "public private static final const var let def function return import from class string int "
@@ -88,18 +95,52 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _private_keys(text: str) -> list[tuple[int, int]]:
+    """(start, end) of what stands between BEGIN ... PRIVATE KEY and END."""
+    found, m = [], _KEY_BEGIN.search(text)
+    while m:
+        end = text.find(_KEY_END, m.end())
+        if end < 0:
+            break
+        found.append((m.end(), end))
+        m = _KEY_BEGIN.search(text, end)
+    return found
+
+
+def _tails(text: str, keys: list[tuple[int, int]], found: list[tuple[int, int, str]],
+           taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Runs in private keys that are too short to be candidates, right after found spans."""
+    ends, tails = {e for _, e, _ in found}, []
+    for s, e in keys:
+        last = None
+        for m in _TAIL.finditer(text, s, e):
+            a, b = m.span()
+            if b in ends:
+                last = b
+            elif last is not None and b - a < 16 and not text[last:a].strip("\\ \t\r\n") \
+                    and not (text[a - 1] == "\\" and m.group() in ("n", "r")) \
+                    and not any(x < b and a < y for x, y, _ in taken):
+                tails.append((a, b, "novel"))
+                last = b
+    return tails
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]],
                 copies: bool = True) -> list[tuple[int, int, str]]:
     """(start, end, "novel") of incompressible candidates that touch no taken span.
     With ``copies`` a candidate's copies count as its surroundings; a scan leaves
     them out, so that a repeated secret is found at each place."""
-    found = []
+    found, last = [], None
+    keys = _private_keys(text) if "PRIVATE KEY" in text else []
     for m in _CANDIDATE.finditer(text):
         run = m.group()
-        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
-            continue
         a, b = m.span()
-        if not _CONTEXT.search(text[max(0, a - _REACH):a]):
+        if not (_CONTEXT.search(text[max(0, a - _REACH):a])
+                or last is not None and _JOINT.fullmatch(text, last, a)
+                or any(s < b and a < e for s, e in keys)):
+            continue
+        last = b
+        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
             continue
         if any(s < b and a < e for s, e, _ in taken):
             continue
@@ -109,7 +150,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]],
         around = before + after
         if marginal_bytes(run, around) >= NOVELTY * len(run):
             found.append((a, b, "novel"))
-    return found
+    return sorted(found + _tails(text, keys, found, taken))
 
 
 def scan_text(text: str | None) -> list[tuple[int, int, str]]:
