@@ -15,7 +15,10 @@ text around the candidate (512 characters to each side, the candidate and all
 its copies left out); the candidate's marginal bytes are its compressed size under that
 dictionary less the size of an empty input.  Words, numbers and paths that the
 surroundings or the identifiers already hold cost a few bytes; a candidate whose
-marginal bytes reach ``NOVELTY`` of its length is reported.
+marginal bytes reach ``NOVELTY`` of its length is reported.  So is one whose
+marginal bytes reach ``NOVELTY`` of its compressed size without any dictionary,
+if that size is what random characters of its alphabet (hexadecimal, base32, ...)
+need: a small alphabet shortens a random string, its surroundings do not.
 
 Spans are (kind, start, end) in code points, end exclusive, ordered by start and
 then kind as listed.  Cases: a null text is scanned as the empty text and stays
@@ -28,6 +31,7 @@ and text columns are read; ``redact`` keeps every column.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import pandas as pd
@@ -40,6 +44,8 @@ from starbi.llm.common import workers_see_package
 KINDS = ("assign", "access", "hex", "novel")
 #: marginal bytes per character from which a candidate counts as incompressible
 NOVELTY = 0.75
+#: share of its alphabet's entropy that a random string's compressed size reaches
+RANDOM = 0.95
 AROUND = 512
 MASK = "[SECRET]"
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -84,6 +90,29 @@ def _without(before: str, run: str, text: str, a: int, b: int) -> tuple[str, str
     return left[-len(before):] if before else "", text[b:b + AROUND + wide].replace(run, "")[:AROUND]
 
 
+_DIGITS, _UPPER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: from the smallest: hexadecimal in one case and both, base32, one case with digits, both
+ALPHABETS = tuple(map(frozenset, (
+    _DIGITS + "ABCDEF", _DIGITS + "abcdef", _DIGITS + "ABCDEFabcdef", _UPPER + "234567=",
+    _UPPER.lower() + "234567=", _DIGITS + _UPPER, _DIGITS + _UPPER.lower(),
+    _DIGITS + _UPPER + _UPPER.lower(), _DIGITS + _UPPER + _UPPER.lower() + "+/_=-")))
+
+
+def is_novel(candidate: str, around: str) -> bool:
+    """Whether neither surroundings nor identifiers explain a candidate."""
+    marginal = marginal_bytes(candidate, around)
+    if marginal >= NOVELTY * len(candidate):
+        return True
+    letters = set(candidate)
+    size = next(len(x) for x in ALPHABETS if letters <= x)
+    random = RANDOM * len(candidate) * math.log2(size) / 8
+    if marginal < NOVELTY * random:
+        return False
+    packer = zstandard.ZstdCompressor(level=19, write_content_size=False)
+    alone = len(packer.compress(candidate.encode("utf-8"))) - len(packer.compress(b""))
+    return alone >= random and marginal >= NOVELTY * alone
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the three base kinds, ordered."""
     found = []
@@ -148,7 +177,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]],
         if not copies:
             before, after = _without(before, run, text, a, b)
         around = before + after
-        if marginal_bytes(run, around) >= NOVELTY * len(run):
+        if is_novel(run, around):
             found.append((a, b, "novel"))
     return sorted(found + _tails(text, keys, found, taken))
 

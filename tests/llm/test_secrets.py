@@ -114,3 +114,19 @@ def test_context_carries_on_through_a_secret():
     # other text between two runs ends the context
     far = f"key {parts[1]} " + "word " * 20 + parts[2]
     assert [e - a for a, e, _ in secrets.scan_text(far)] == [120]
+
+
+def test_random_strings_of_small_alphabets():
+    rng = random.Random(10)
+    for letters, sizes in (("0123456789ABCDEF", (64, 96, 128, 512)),
+                           ("0123456789ABCDEFabcdef", (64, 128, 512)),
+                           ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", (64, 256, 512, 2048)),
+                           (BASE64, (64, 512, 2048))):
+        for size in sizes:
+            for _ in range(5):
+                key = "".join(rng.choice(letters) for _ in range(size))
+                text = prose(rng, 40) + f" signature {key} " + prose(rng, 40)
+                assert [text[a:e] for a, e, k in secrets.scan_text(text) if k == "novel"] == [key]
+    # repeats and runs of words in the same alphabets are not random
+    for run in ("DEADBEEF00" * 12, "AB12" * 30, "A" * 99 + "2", "the-session-of-the-client-2-" * 8):
+        assert not secrets.scan_text(f"the session {run} ends")
