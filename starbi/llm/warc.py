@@ -3,9 +3,10 @@
 ``write_archive`` stores two tables.  ``blobs`` has every distinct payload once,
 under the SHA-256 of its bytes; rows that share an address must agree in length
 and SHA-1 too, else the write fails.  ``headers`` has each record's exact WARC
-header text and the address of its payload.  ``read_archive`` joins them: every
+header text and the address of its payload.  ``read_records`` joins them: every
 blob is hashed again and must give its address, and each record is put together
-again from its header and its payload.
+again from its header and its payload.  ``read_archive`` takes its columns from
+these records: the header is parsed and the block measured in each.
 
 Of records with equal payloads of at least ``REVISIT_BYTES`` bytes, the one with
 the largest page id is the response and the others are revisits that refer to
@@ -83,8 +84,8 @@ def _verified(blobs: DataFrame) -> DataFrame:
         .alias("address"), "payload")
 
 
-def _field(name: str) -> Column:
-    value = F.regexp_extract("header", f"\r\n{name}: ([^\r\n]*)\r\n", 1)
+def _field(name: str, header: str = "header") -> Column:
+    value = F.regexp_extract(header, f"\r\n{name}: ([^\r\n]*)\r\n", 1)
     return F.when(value != "", value)
 
 
@@ -99,18 +100,30 @@ def read_records(headers: DataFrame, blobs: DataFrame) -> DataFrame:
 
 
 def read_archive(headers: DataFrame, blobs: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """(id, payload_bytes, payload_digest, record_type, refers_to) parsed from the
-    headers and measured on the verified payloads.  A payload is measured once,
-    before its records are joined to it."""
-    measured = _verified(blobs).select(
-        "address", F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha1("payload").alias("payload_digest"))
-    rows = headers.join(measured, "address")
-    matches = _field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), "payload_digest")
-    refers = F.regexp_extract(_field("WARC-Refers-To"), "<urn:page:(.*)>", 1)
+    """(id, payload_bytes, payload_digest, record_type, refers_to) of every record
+    as it is put together again: its header ends at its first blank line, its block
+    must be as long as that says and, like the payload that a revisit refers to,
+    have the digest that it says."""
+    blank = _EOL * 2
+    head = F.concat(F.substring_index(F.col("record").cast("string"), blank, 1), F.lit(blank))
+    rows = read_records(headers, blobs).select("id", "payload", "record", head.alias("head"))
+    start, size = F.octet_length("head"), F.octet_length("record")
+    rows = rows.select("id", "payload", "head", F.substring(
+        "record", start + 1, size - start - len(blank)).alias("block"),
+        F.substring("record", size - len(blank) + 1, F.lit(len(blank))).alias("tail"))
+    whole = (_field("Content-Length", "head") == F.octet_length("block").cast("string")) \
+        & (F.col("tail") == F.lit(blank).cast("binary"))
+    kind = _field("WARC-Type", "head")
+    rows = rows.select("id", "head", kind.alias("record_type"), F.when(whole, F.when(
+        kind == "revisit", F.col("payload")).otherwise(F.col("block")))
+        .otherwise(F.raise_error("a record is not as long as its header says")).alias("payload"))
+    rows = rows.select("id", "head", "record_type", F.octet_length("payload").cast("long")
+                       .alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
+    matches = _field("WARC-Payload-Digest", "head") == F.concat(F.lit("sha1:"), "payload_digest")
+    refers = F.regexp_extract(_field("WARC-Refers-To", "head"), "<urn:page:(.*)>", 1)
     return rows.select(
         F.col("id").alias(id_col), "payload_bytes",
         F.when(matches, F.col("payload_digest"))
         .otherwise(F.raise_error("a payload does not match its header")).alias("payload_digest"),
-        _field("WARC-Type").alias("record_type"),
+        "record_type",
         F.when(refers != "", refers).cast(headers.schema["id"].dataType).alias("refers_to"))

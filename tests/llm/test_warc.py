@@ -56,3 +56,11 @@ def test_a_damaged_payload_is_found(spark):
     bad = blobs.withColumn("payload", F.concat("payload", F.lit("!").cast("binary")))
     with pytest.raises(Exception, match="does not match its address"):
         warc.read_archive(headers, bad).collect()
+
+
+def test_a_record_of_another_length_is_found(spark):
+    headers, blobs = warc.write_archive(spark.createDataFrame(PAGES, SCHEMA))
+    bad = headers.withColumn("header", F.replace("header", F.lit("Content-Length: 999"),
+                                                 F.lit("Content-Length: 998")))
+    with pytest.raises(Exception, match="not as long as its header says"):
+        warc.read_archive(bad, blobs).collect()
