@@ -10,7 +10,8 @@ gradient descent on labelled documents.
 
 Training sample.  ``sample_rows`` labelled rows (the smallest by a hash of the
 id, so the same rows on every run and machine) are chosen from the label table
-alone; their texts become sparse bags on the executors, and at most
+alone; their texts become sparse bags on the executors.  Of rows that share an
+id, one trains (the smallest by a hash of the text, then by the text), so at most
 ``sample_rows`` bags of at most ``BUCKETS`` entries reach the driver.  The
 labels are the only thing learned from; labels, language, source and id are
 never inputs of a score.
@@ -168,7 +169,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
 
     # at most sample_rows ids: a side of bounded size
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = (text.join(F.broadcast(chosen), "_id").select("_id", "_label", bags("_text").alias("b"))
+    # copies of an id collapse in each task before the shuffle; nulls only if there is no text
+    one = F.min(F.struct(F.col("_text").isNull().alias("none"), F.xxhash64("_text").alias("h"),
+                         F.col("_text").alias("text"))).alias("_one")
+    rows = (text.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(one)
+            .select("_id", "_label", bags(F.col("_one.text")).alias("b"))
             .select("_id", "_label", "b.at", "b.n").toArrow())
     order = sorted(range(len(rows)), key=lambda i: tuple(
         rows[c][i].as_py() for c in ("_id", "_label", "at", "n")))

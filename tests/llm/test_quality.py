@@ -87,3 +87,16 @@ def test_awkward_cases(spark, docs, crowded, no_docs):
     assert quality.classify(no_docs, labels).count() == 0
     none = quality.classify(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5} and {r.predicted for r in none} == {1}
+
+
+def test_copies_of_an_id_train_once(spark, monkeypatch):
+    docs, labels = labelled(spark, 60)
+    taken = []
+    real = quality.Model.fit
+    monkeypatch.setattr(quality.Model, "fit", lambda self, bags, *a, **k: (
+        taken.append(len(bags)), real(self, bags, *a, **k))[1])
+    once = quality.train(docs, labels).margins()
+    copies = docs.where("doc_id = 1").crossJoin(spark.range(200)).select("doc_id", "text")
+    many = quality.train(docs.union(copies), labels).margins()
+    assert taken[0] == taken[1] <= 60
+    assert (once[0] == many[0]).all() and once[1] == many[1]
