@@ -2,9 +2,9 @@
 ``starbi.llm`` applied to everything that its predecessor kept.
 
 Cases (each operator's module gives the details): null and empty texts, null
-ids, repeated rows, empty tables and further columns pass through; rows that
-share an id stay or go together in the near-duplicate stage, and rows without
-an id are never dropped by it.
+ids, repeated rows, empty tables and further columns pass through, but of each
+group of near duplicates one row stays: rows that share an id are one document,
+and a row without an id stays only if no row of its group has one.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id."""
-    gone = (simhash.near_duplicates(docs).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("__llm_id")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["__llm_id"], "left_anti")
+    """Of each group of near duplicates, the first row with the smallest id."""
+    rows = stored(docs.withColumn("__llm_row", F.monotonically_increasing_id()), "pipeline-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__llm_row"))
+    kept = (simhash.near_duplicates(rows, row_col="__llm_row").groupBy("component")
+            .agg(first.alias("first")).select(F.col("first.__llm_row").alias("__llm_row")))
+    return rows.join(kept, "__llm_row", "left_semi").drop("__llm_row")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,12 +115,16 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
+                    shingle: int = SHINGLE, bucket: int = BUCKET,
+                    row_col: str | None = None) -> DataFrame:
     """(id, fingerprint, component_id) of every row: ``fingerprint`` as 16
-    lower-case hex digits, ``component_id`` the smallest id reachable by links."""
+    lower-case hex digits, ``component_id`` the smallest id reachable by links.
+    With ``row_col``, that column of the rows too, and ``component``: a
+    fingerprint that names the component, also where no row of it has an id."""
     workers_see_package(docs.sparkSession)
     rows = stored(docs.select(F.col(id_col).alias("id"),
-                              fingerprint_column(F.col(text_col), shingle).alias("fp")),
+                              fingerprint_column(F.col(text_col), shingle).alias("fp"),
+                              *([F.col(row_col).alias("row")] if row_col else [])),
                   "simhash-rows")
     # equal fingerprints are one node; rows that share an id tie their fingerprints
     first = rows.groupBy("fp").agg(F.min("id").alias("least"))
@@ -133,9 +137,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = (first.join(roots, first.fp == roots.node, "inner")
                .select("fp", "least", "root"))
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = grouped.join(smallest, "root").select("fp", "component_id")
+    linked = grouped.join(smallest, "root").select("fp", "component_id", "root")
     named = (first.join(linked, "fp", "left")
-             .select("fp", F.coalesce("component_id", "least").alias("component_id")))
+             .select("fp", F.coalesce("component_id", "least").alias("component_id"),
+                     F.coalesce("root", "fp").alias("component")))
     return (rows.join(named, "fp")
             .select(F.col("id").alias(id_col),
-                    F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+                    F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+                    *([F.col("row").alias(row_col), "component"] if row_col else [])))

@@ -122,3 +122,13 @@ def test_empty_tables(spark, corpus, no_docs, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{source}/{t}.parquet").limit(0).write.parquet(f"{at}/{t}.parquet")
     assert corpus_pipeline.run(spark, at).count() == 0
+
+
+def test_one_row_of_a_group_stays(spark):
+    rng = random.Random(13)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(5, a), (5, a), (None, a), (7, a), (None, b), (None, b), (9, c)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOC_SCHEMA)
+    out = corpus_pipeline.near_dedup_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    assert ordered((r.doc_id, r.text) for r in out.collect()) == ordered([(5, a), (None, b), (9, c)])
