@@ -3,6 +3,8 @@ and not from the operators' plans."""
 
 from __future__ import annotations
 
+from starbi.llm.rules import STOP_WORDS
+
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD8 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -96,5 +98,42 @@ SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
 FROM rec
 """
 
+_STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+
+OP13 = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+word AS (SELECT r, i, w[i] AS word, w[i:i + 2] AS run, len(w) AS n
+         FROM doc, unnest(range(1, len(w) + 1)) AS t(i)),
+often AS (SELECT r, run FROM word WHERE i <= n - 2 GROUP BY r, run HAVING count(*) > 1),
+repeated AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM word JOIN often USING (r, run), unnest(range(3)) AS t(k)
+  WHERE word.i <= word.n - 2 GROUP BY r),
+by_word AS (
+  SELECT r, count(*) AS n, sum(length(word)) AS chars,
+         count(*) FILTER (trim(lower(word), '.,;:!?()[]"''') IN ({_STOPS})) AS stops
+  FROM word GROUP BY r),
+line AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM doc),
+by_line AS (
+  SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS again
+  FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+counted AS (
+  SELECT doc_id, CAST(coalesce(b.n, 0) AS BIGINT) AS n_words,
+         CAST(coalesce(b.chars, 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(l.again, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(l.n, 0) AS BIGINT) AS n_lines,
+         CAST(coalesce(b.stops, 0) AS BIGINT) AS n_stop_words
+  FROM doc LEFT JOIN by_word AS b USING (r) LEFT JOIN by_line AS l USING (r)
+       LEFT JOIN repeated AS p USING (r))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND word_chars BETWEEN 2 * n_words AND 14 * n_words AND 100 * n_symbols <= 30 * n_words
+       AND 100 * n_dup_lines <= 50 * n_lines AND 100 * n_stop_words >= 6 * n_words AS kept
+FROM counted
+"""
+
 ORACLE: dict[str, str] = {"op3_url_filter": OP3, "op6_chat_perspectives": OP6,
-                          "op8_decontamination": OP8, "op9_warc": OP9}
+                          "op8_decontamination": OP8, "op9_warc": OP9, "op13_rules": OP13}
