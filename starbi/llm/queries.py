@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbi.llm import (bpe, brown, chat, ctph, decontam, quality, rules, secrets, simhash,
-                        urlfilter, warc)
+                        urlfilter, warc, whitening)
 from starbi.llm.common import read_table
 
 #: parts of host labels that put a host on the block list
@@ -68,6 +68,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(read_table(spark, sf_dir, "documents"))
 
@@ -75,4 +79,4 @@ def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_byte_bpe, op2_simhash, op3_url_filter, op4_brown_lm, op5_quality,
                             op6_chat_perspectives, op7_ctph, op8_decontamination, op9_warc,
-                            op10_secrets, op13_rules)}
+                            op10_secrets, op11_whitening, op13_rules)}
