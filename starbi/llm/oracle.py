@@ -98,6 +98,32 @@ SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
 FROM rec
 """
 
+OP12 = """
+WITH usable AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+pair AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM usable AS a, usable AS b WHERE a.vec_id % 50 = 0 AND a.r <> b.r),
+positive AS (
+  SELECT a, b, id, score FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id) <= 5),
+negative AS (
+  SELECT n.anchor_id, p.id AS positive_id,
+         row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.id) AS place,
+         n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positive AS p JOIN pair AS n ON n.a = p.a AND NOT n.same
+   AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score,
+       negative_score
+FROM negative WHERE place <= 3
+"""
+
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 OP13 = rf"""
@@ -136,4 +162,5 @@ FROM counted
 """
 
 ORACLE: dict[str, str] = {"op3_url_filter": OP3, "op6_chat_perspectives": OP6,
-                          "op8_decontamination": OP8, "op9_warc": OP9, "op13_rules": OP13}
+                          "op8_decontamination": OP8, "op9_warc": OP9,
+                          "op12_hard_negatives": OP12, "op13_rules": OP13}

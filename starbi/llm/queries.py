@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbi.llm import (bpe, brown, chat, ctph, decontam, quality, rules, secrets, simhash,
-                        urlfilter, warc, whitening)
+from starbi.llm import (bpe, brown, chat, ctph, decontam, negatives, quality, rules, secrets,
+                        simhash, urlfilter, warc, whitening)
 from starbi.llm.common import read_table
 
 #: parts of host labels that put a host on the block list
@@ -72,6 +72,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(read_table(spark, sf_dir, "documents"))
 
@@ -79,4 +85,5 @@ def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_byte_bpe, op2_simhash, op3_url_filter, op4_brown_lm, op5_quality,
                             op6_chat_perspectives, op7_ctph, op8_decontamination, op9_warc,
-                            op10_secrets, op11_whitening, op13_rules)}
+                            op10_secrets, op11_whitening, op12_hard_negatives,
+                            op13_rules)}

@@ -44,7 +44,7 @@ from starbi.llm.common import stored, workers_see_package
 SCALE = 64
 OFFSET = 1_000_000
 COMPONENTS = 16
-_EDGE = float(1 << 45)
+EDGE = float(1 << 45)
 
 
 def usable(vector: Column) -> Column:
@@ -53,25 +53,28 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(entry_ok, F.lit(False))
 
 
-def on_grid(vector: Column, scale: int = SCALE, offset: int = OFFSET) -> Column:
-    """Each entry c as the long floor(scale * c) + offset."""
+def on_grid(vector: Column, scale: int = SCALE, offset: int = OFFSET,
+            edge: float = EDGE) -> Column:
+    """Each entry c as the long floor(scale * c) + offset, scale * c held within the edge."""
     def unit(c: Column) -> Column:
-        c = F.greatest(F.least(c.cast("double") * scale, F.lit(_EDGE)), F.lit(-_EDGE))
+        c = F.greatest(F.least(c.cast("double") * scale, F.lit(edge)), F.lit(-edge))
         return F.floor(c).cast("long") + offset
     return F.transform(vector, unit)
 
 
 def grid_points(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                scale: int = SCALE, offset: int = OFFSET) -> tuple[DataFrame, int]:
-    """Rows (vec_id, x) of the usable vectors of the most frequent length, and
-    that length (0 if there are none)."""
-    rows = embeddings.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("v")) \
+                scale: int = SCALE, offset: int = OFFSET, edge: float = EDGE,
+                **also: Column) -> tuple[DataFrame, int]:
+    """Rows (vec_id, x, and the columns of ``also``) of the usable vectors of the
+    most frequent length, and that length (0 if there are none)."""
+    rows = embeddings.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("v"),
+                             *[c.alias(name) for name, c in also.items()]) \
         .where(usable(F.col("v")))
     lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     most = lengths.orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
     width = most[0].d if most else 0
     return rows.where(F.size("v") == width).select(
-        "vec_id", on_grid(F.col("v"), scale, offset).alias("x")), width
+        "vec_id", on_grid(F.col("v"), scale, offset, edge).alias("x"), *also), width
 
 
 @dataclass(frozen=True)
