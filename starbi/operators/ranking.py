@@ -35,13 +35,13 @@ def _number(df: DataFrame, value: str) -> Column:
 
 
 def _literal(keys: list[tuple], id_type: str) -> Column:
-    """Sort keys as one array literal (``from_json`` of a literal is folded)."""
+    """Sort keys as one array literal.  ``from_json`` of a literal is folded into
+    one, and only if nothing is wrapped round it: any ``transform`` here would be
+    run again for every comparison of every row."""
+    # numbers as text: JSON numbers would lose decimal digits
     rows = [{"a": a, "v": None if v is None else str(v),
              "i": i.isoformat() if isinstance(i, datetime.date) else i} for a, v, i in keys]
-    # text for the numbers: JSON numbers would lose decimal digits
-    text = F.from_json(F.lit(json.dumps(rows)), f"array<struct<a:int,v:string,i:{id_type}>>")
-    return F.transform(text, lambda x: F.struct(x["a"].alias("a"), x["v"].cast(_VALUE).alias("v"),
-                                                x["i"].alias("i")))
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<a:int,v:{_VALUE},i:{id_type}>>")
 
 
 def _sort_key(row) -> tuple:
