@@ -19,6 +19,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 from starbi.operators import measures, quality
 from starbi.plans import analysis as A
 from starbi.plans import oracle_sql as O
+from starbi.plans import page
 from starbi.plans.star import Star, star_for
 from starbi.plans.sql import catalog_inventory, register_views
 from starbi.session import checkpoint_dir, remove_at_exit
@@ -29,7 +30,11 @@ from starbi.sources.writers import write_star_csv, write_star_table
 TEST_MONTHS = O.TEST_MONTHS
 MEASURE_SLICE = {"year": [1997, 1998]}
 
-MOM_SLICE = {"year": [1997], "state": ["BRAZIL", "CANADA", "CHINA"]}
+MOM_SLICE = {"year": [1997], "state": ["NATION_2", "NATION_3", "NATION_18"]}
+
+# year, state and category slicers of the dashboard page
+PAGE_SLICE = {"year": [1997, 1998], "state": [f"NATION_{i}" for i in range(3, 11)],
+              "category_en": [f"cat_{i}" for i in (1, 2, 3, 4, 6, 8, 9, 10, 11, 12, 13, 14)]}
 
 
 def _catalog(star: Star) -> DataFrame:
@@ -110,6 +115,19 @@ _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
     "measure_mom_calendar": (measures.measure_mom_calendar, O.MEASURE_MOM_CALENDAR),
     "measure_mom_sliced": (partial(measures.measure_mom_calendar, slicers=MOM_SLICE),
                            O.measure_mom({"state": MOM_SLICE["state"]}, "year = 1997")),
+    "page_cards_sliced": (partial(page.measures, slicers=PAGE_SLICE), O.measures_by((), PAGE_SLICE)),
+    "page_measures_by_state_sliced": (partial(page.measures, by=("state",), slicers=PAGE_SLICE),
+                                      O.measures_by(("state",), PAGE_SLICE)),
+    "page_measures_by_category": (partial(page.measures, by=("year", "category_en")),
+                                  O.measures_by(("year", "category_en"))),
+    "page_delivery_by_state_sliced": (partial(page.delivery_by_state, slicers=PAGE_SLICE),
+                                      O.page_delivery_by_state(PAGE_SLICE)),
+    "page_rating_by_band_sliced": (partial(page.rating_by_band, slicers=PAGE_SLICE),
+                                   O.page_rating_by_band(PAGE_SLICE)),
+    "page_top_categories_sliced": (partial(page.top_categories, slicers=PAGE_SLICE),
+                                   O.page_top_categories(PAGE_SLICE)),
+    "page_monthly_line_sliced": (partial(page.monthly_line, slicers=PAGE_SLICE),
+                                 O.page_monthly_line(PAGE_SLICE)),
     "audit_schema": (quality.audit_schema, O.AUDIT_SCHEMA),
     "catalog_inventory": (lambda s: _catalog(s), O.TABLE_INVENTORY),
     "io_csv_roundtrip": (lambda s: _through_csv(s), O._etl("fact_order_items")),

@@ -101,6 +101,9 @@ class Star:
     order_totals_table: DataFrame | None = None
     product_totals_table: DataFrame | None = None
     seller_totals_table: DataFrame | None = None
+    # folder of a stored star, and its dashboard page once one is written
+    path: str | None = None
+    page: object = None
 
     @property
     def fact(self) -> DataFrame:
@@ -221,7 +224,7 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
                   pool.submit(put_summary, "seller_totals", derive_seller_totals(items))]:
             f.result()
     describe_jobs(spark, None)
-    return Star(**out, **{f"{name}_table": df for name, df in aux.items()})
+    return Star(**out, **{f"{name}_table": df for name, df in aux.items()}, path=path)
 
 
 _CACHE: dict[tuple, Star] = {}
