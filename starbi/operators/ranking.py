@@ -50,7 +50,7 @@ def _sort_key(row) -> tuple:
     return a, (v is not None, v or Decimal(0)), (i is not None, i if i is not None else 0)
 
 
-def _below(key: Column, bounds: Column, count: int) -> Column:
+def rank_in(key: Column, bounds: Column, count: int) -> Column:
     """How many of the ``count`` ascending bounds are smaller than ``key``:
     a binary search, one comparison per bit."""
     bits = max(1, count).bit_length()
@@ -113,7 +113,7 @@ def ntiles(df: DataFrame, k: int, specs: list[tuple[str, str, bool]], tiebreak:
         bounds.append(ordered[step::step][:BOUNDARIES])
     tagged = base.select(F.explode(F.array(*[
         F.struct(F.lit(j).alias("spec"),
-                 (_below(c, _literal(b, id_type), len(b)) if b else F.lit(0)).alias("range"),
+                 (rank_in(c, _literal(b, id_type), len(b)) if b else F.lit(0)).alias("range"),
                  c.alias("key")) for j, (c, b) in enumerate(zip(keys, bounds))])).alias("t")) \
         .select("t.spec", "t.range", "t.key")
     sizes = {(r["spec"], r["range"]): r["count"]
@@ -137,7 +137,7 @@ def ntiles(df: DataFrame, k: int, specs: list[tuple[str, str, bool]], tiebreak:
     out = []
     for j, ((name, _, _), c) in enumerate(zip(specs, keys)):
         cuts = sorted((tuple(r["key"]) for r in picked if r["spec"] == j), key=_sort_key)
-        out.append((_at_or_below(c, _literal(cuts, id_type)) + 1).alias(name))
+        out.append((_at_orrank_in(c, _literal(cuts, id_type)) + 1).alias(name))
     return base.select("*", *out)
 
 

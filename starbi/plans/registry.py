@@ -19,7 +19,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 from starbi.operators import measures, quality
 from starbi.plans import analysis as A
 from starbi.plans import oracle_sql as O
-from starbi.plans import page
+from starbi.plans import lookups, page
 from starbi.plans.star import Star, star_for
 from starbi.plans.sql import catalog_inventory, register_views
 from starbi.session import checkpoint_dir, remove_at_exit
@@ -32,6 +32,9 @@ MEASURE_SLICE = {"year": [1997, 1998]}
 
 MOM_SLICE = {"year": [1997], "state": ["NATION_2", "NATION_3", "NATION_18"]}
 
+# one product, one seller and one customer to look up
+LOOKUP = {"product_id": 77, "seller_id": 5, "customer_id": 130}
+
 # year, state and category slicers of the dashboard page
 PAGE_SLICE = {"year": [1997, 1998], "state": [f"NATION_{i}" for i in range(3, 11)],
               "category_en": [f"cat_{i}" for i in (1, 2, 3, 4, 6, 8, 9, 10, 11, 12, 13, 14)]}
@@ -128,6 +131,12 @@ _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
                                    O.page_top_categories(PAGE_SLICE)),
     "page_monthly_line_sliced": (partial(page.monthly_line, slicers=PAGE_SLICE),
                                  O.page_monthly_line(PAGE_SLICE)),
+    "lookup_product_items": (partial(lookups.items_of, product_id=LOOKUP["product_id"]),
+                             O.lookup("product_id", LOOKUP["product_id"])),
+    "lookup_seller_items": (partial(lookups.items_of, seller_id=LOOKUP["seller_id"]),
+                            O.lookup("seller_id", LOOKUP["seller_id"])),
+    "lookup_customer_items": (partial(lookups.items_of, customer_id=LOOKUP["customer_id"]),
+                              O.lookup("customer_id", LOOKUP["customer_id"])),
     "audit_schema": (quality.audit_schema, O.AUDIT_SCHEMA),
     "catalog_inventory": (lambda s: _catalog(s), O.TABLE_INVENTORY),
     "io_csv_roundtrip": (lambda s: _through_csv(s), O._etl("fact_order_items")),

@@ -101,14 +101,27 @@ class Star:
     order_totals_table: DataFrame | None = None
     product_totals_table: DataFrame | None = None
     seller_totals_table: DataFrame | None = None
-    # folder of a stored star, and its dashboard page once one is written
+    # the stored fact with its folder column, by which scans can be pruned
+    fact_by_month: DataFrame | None = None
+    # folder of a stored star; its dashboard page and access path once written
     path: str | None = None
     page: object = None
+    items_by_keys: DataFrame | None = None
 
     @property
     def fact(self) -> DataFrame:
         return self.fact_order_items
 
+    def fact_in(self, days: DataFrame) -> DataFrame:
+        """The fact's rows on ``days`` (rows of the calendar).  On a stored fact the
+        join is also on its month folder, so the folders of other months are
+        pruned at run time, by the months that the days turn out to have."""
+        keys = ["date_key"]
+        rows = self.fact
+        if self.fact_by_month is not None:
+            rows, keys = self.fact_by_month, ["date_key", FACT_FOLDER]
+        return rows.join(days.select(*keys), keys, "left_semi").select(*self.fact.columns)
+
     @property
     def item_totals(self) -> DataFrame:
         if self.item_totals_table is not None:
@@ -178,9 +191,12 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
             fact = build()
             month = F.concat_ws("-", F.substring(F.col("date_key").cast("string"), 1, 4),
                                 F.substring(F.col("date_key").cast("string"), 5, 2))
-            out[name] = write_clustered(
+            # an order that holds a large share of the items is cut by item and row
+            out["fact_by_month"] = write_clustered(
                 spark, fact.withColumn(FACT_FOLDER, month), f"{path}/{name}",
-                partition_by=FACT_FOLDER, cluster_by=("order_id",)).select(*fact.columns)
+                partition_by=FACT_FOLDER, cluster_by=("order_id",),
+                unique_key=["order_item_id", F.xxhash64(*fact.columns)])
+            out[name] = out["fact_by_month"].select(*fact.columns)
             return
         out[name] = write_star_table(spark, build(), f"{path}/{name}", _table_name(tag, name),
                                      buckets=b, bucket_key=BUCKET_KEY)

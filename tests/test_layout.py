@@ -1,0 +1,125 @@
+"""Physical layout (K-4): month folders pruned by calendar slicers, a hot order cut
+by the writer, look-ups by product, seller and customer along the curve."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from starbi.operators import clustering
+from starbi.operators.measures import measures_by
+from starbi.plans import lookups
+from starbi.plans.star import Star, materialize_star
+from starbi.sources.readers import load_star
+from starbi.sources.testdata import load_raw_from_testdata
+from conftest import SF_ORACLE, SF_SMALL
+
+
+def scans(df):
+    """Metrics of every file scan of the plan that ran."""
+    df.collect()
+    out = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if name.startswith("Scan parquet"):
+            it, found = node.metrics().iterator(), {"on": node.toString()}
+            while it.hasNext():
+                pair = it.next()
+                found[pair._1()] = pair._2().value()
+            out.append(found)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+@pytest.mark.parametrize("slicers", [{"year": [1997]}, {"year_month": ["1996-03", "1998-01"]},
+                                     {"year": [1997], "category_en": ["cat_2"]}], ids=str)
+def test_calendar_slicers_read_only_their_months(star_small, slicers):
+    got = measures_by(star_small, ("category_en",), slicers)
+    facts = [s for s in scans(got) if "total_item_value" in s["on"]]
+    files = len(star_small.fact.inputFiles())
+    # a slicer on the month itself even prunes before the run
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    assert facts and all(s["numFiles"] < files / 3 for s in facts)
+    # a star without month folders gives the same
+    plain = Star(**star_small.tables())
+    assert sorted(map(tuple, measures_by(plain, ("category_en",), slicers).collect()), key=repr) == \
+        sorted(map(tuple, got.collect()), key=repr)
+
+
+def test_pruning_holds_on_a_star_read_back(spark, tmp_out):
+    materialize_star(spark, load_raw_from_testdata(spark, SF_SMALL), tmp_out)
+    star = load_star(spark, tmp_out)
+    got = measures_by(star, ("state",), {"year": [1997]})
+    assert any(s.get("staticFilesNum", 0) > s["numFiles"] for s in scans(got))
+    assert star.fact.columns == Star(**star.tables()).fact.columns and "year_month" not in star.fact.columns
+
+
+def test_a_hot_order_is_written_by_many_tasks(spark, tmp_out):
+    """A third of all items, on one day, in one order: its folder's files share
+    them, instead of one writer taking all."""
+    raw = load_raw_from_testdata(spark, SF_SMALL)
+    hot = raw["items"].select(F.min("order_id")).first()[0]
+    hot = raw["orders"].where("order_id > 0 AND order_id % 101 <> 0 AND order_id % 109 <> 0") \
+        .select(F.min("order_id")).first()[0] or hot
+    items = raw["items"].withColumn("order_id", F.when(F.pmod(F.xxhash64("*"), F.lit(3)) == 0, F.lit(hot))
+                                    .otherwise(F.col("order_id")))
+    star = materialize_star(spark, {**raw, "items": items}, tmp_out)
+    per_file = star.fact.where(F.col("order_id") == hot).groupBy(F.input_file_name()).count().collect()
+    total = sum(r["count"] for r in per_file)
+    assert total > star.fact.count() / 4
+    assert len(per_file) >= 3 and max(r["count"] for r in per_file) < 0.5 * total
+
+
+@pytest.fixture(scope="module")
+def by_keys(spark, tmp_path_factory):
+    from starbi.plans.star import star_for
+    fact = star_for(spark, SF_ORACLE).fact
+    path = str(tmp_path_factory.mktemp("curve") / "items")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        return fact, clustering.write_by_keys(spark, fact, path, lookups.KEYS, row_group_bytes=8 * 1024)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@pytest.mark.parametrize("key", lookups.KEYS)
+def test_a_look_up_reads_a_small_share(by_keys, key):
+    fact, path = by_keys
+    total = fact.count()
+    assert sorted(map(tuple, path.collect()), key=repr) == sorted(map(tuple, fact.collect()), key=repr)
+    shares = []
+    for r in fact.groupBy(key).count().where("count < 100").orderBy(F.xxhash64(key)).limit(6).collect():
+        found = path.where(F.col(key) == r[key])
+        [scan] = scans(found)
+        assert len(found.collect()) == r["count"]
+        shares.append(scan["numOutputRows"] / total)
+        # the same look-up in the month layout reads everything
+    assert sum(shares) / len(shares) < 0.15, shares
+
+
+def test_look_ups_by_several_keys_and_unknown_ones(star_small):
+    row = star_small.fact.orderBy("order_id", "order_item_id").first()
+    got = lookups.items_of(star_small, product_id=row.product_id, customer_id=row.customer_id)
+    want = star_small.fact.where((F.col("product_id") == row.product_id)
+                                 & (F.col("customer_id") == row.customer_id))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert lookups.items_of(star_small, seller_id=-10 ** 9).count() == 0
+    with pytest.raises(ValueError, match="look-ups are by"):
+        lookups.items_of(star_small, order_id=1)
+
+
+def test_curve_of_text_keys_with_nulls(spark, tmp_out):
+    df = spark.range(2_000).selectExpr("IF(id % 7 = 0, NULL, concat('k', id % 300)) AS a", "id % 50 AS b", "id")
+    cuts = clustering.boundaries(df, ["a", "b"], bits=3)
+    assert all(len(v) <= 7 and v == sorted(set(v)) for v in cuts.values())
+    z = {r.z for r in df.select(clustering.curve(df, cuts, bits=3).alias("z")).collect()}
+    assert min(z) >= 0 and max(z) < 64 and len(z) > 40
+    back = clustering.write_by_keys(spark, df, f"{tmp_out}/t", ["a", "b"])
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    assert clustering.write_by_keys(spark, df.limit(0), f"{tmp_out}/e", ["a", "b"]).count() == 0
