@@ -59,6 +59,29 @@ def rank_in(key: Column, bounds: Column, count: int) -> Column:
         (at + step <= count) & (F.get(bounds, at + step - 1) < key), at + step).otherwise(at))
 
 
+def sort_key_of(df: DataFrame, value: str, tiebreak: str, descending: bool) -> Column:
+    """The full sort key: nulls first ascending, last descending, then the value,
+    then the id."""
+    v = _number(df, value)
+    return F.struct((v.isNull().cast("int") if descending else F.lit(0)).alias("a"),
+                    (-v if descending else v).cast(_VALUE).alias("v"),
+                    F.col(tiebreak).alias("i"))
+
+
+def key_bounds(df: DataFrame, key: Column, tiebreak: str, sample_rows: int,
+               boundaries: int) -> tuple[list[tuple], Column | None]:
+    """Up to ``boundaries`` rising keys that cut the rows about evenly, from a hash
+    sample of ids, and the same as a folded literal."""
+    every = max(1, df.count() // sample_rows)
+    sampled = df.where(F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(every)) == 0) \
+        .select(key.alias("k")).collect()
+    ordered = sorted((tuple(r["k"]) for r in sampled), key=_sort_key)
+    step = max(1, len(ordered) // (boundaries + 1))
+    bounds = ordered[step::step][:boundaries]
+    id_type = df.schema[tiebreak].dataType.simpleString()
+    return bounds, _literal(bounds, id_type) if bounds else None
+
+
 def _at_or_below(key: Column, bounds: Column) -> Column:
     return F.size(F.filter(bounds, lambda x: x <= key))
 
@@ -94,13 +117,7 @@ def ntiles(df: DataFrame, k: int, specs: list[tuple[str, str, bool]], tiebreak:
     starts = [j * (n // k) + min(j, n % k) for j in range(1, k)]  # 0-based first rows of tiles
     starts = [s for s in starts if s < n]
 
-    def key(value: str, descending: bool) -> Column:
-        v = _number(base, value)
-        return F.struct((v.isNull().cast("int") if descending else F.lit(0)).alias("a"),
-                        (-v if descending else v).cast(_VALUE).alias("v"),
-                        F.col(tiebreak).alias("i"))
-
-    keys = [key(value, descending) for _, value, descending in specs]
+    keys = [sort_key_of(base, value, tiebreak, descending) for _, value, descending in specs]
     if not starts:  # k = 1, or no rows
         return base.select("*", *[F.lit(1).alias(name) for name, _, _ in specs])
     every = max(1, n // SAMPLE_ROWS)

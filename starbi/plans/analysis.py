@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from starbi.functions import cents, hround, ratio
 from starbi.operators.ranking import ntiles, topk_dense_rank
+from starbi.operators.scan import ranked
 from starbi.plans.star import Star
 
 DELIVERED = "delivered"
@@ -203,6 +204,32 @@ def q04_pareto(star: Star) -> DataFrame:
                     ).orderBy(F.col("receita").desc(), "category_en")
 
 
+def pareto_products(star: Star) -> DataFrame:
+    """Q4 per product instead of per category: as many rows as there are products, so
+    the running RANGE share comes from the distributed scan."""
+    per = star.fact.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
+        F.sum("total_item_value").alias("receita"))
+    total = per.agg(F.sum("receita").alias("total"))  # one row
+    scanned = ranked(per, "receita", "product_id", descending=True, sums=["receita"])
+    return scanned.crossJoin(F.broadcast(total)).select(
+        "product_id", _dbl("receita").alias("receita"),
+        hround(cents("running_receita") * 100, cents("total"), 1).alias("pct_acumulado"),
+        F.col("rank").cast("long").alias("posicao"))
+
+
+def product_ranks(star: Star) -> DataFrame:
+    """Q3's rank for every product with delivered items, by items sold (many ties) and
+    id: rank, dense rank, row number, and the items of the product before."""
+    per = (star.product_totals.where((F.col("order_status") == DELIVERED) & F.col("product_id").isNotNull())
+           .groupBy("product_id").agg(F.sum("items").alias("itens")))
+    scanned = ranked(per, "itens", "product_id", descending=True, sums=["itens"], lags=["itens"])
+    return scanned.select(
+        "product_id", F.col("itens").cast("long").alias("itens"),
+        *[F.col(a).cast("long").alias(b) for a, b in (
+            ("row_number", "linha"), ("rank", "posicao"), ("dense_rank", "posicao_densa"),
+            ("running_itens", "itens_acumulados"), ("lag_itens", "itens_anterior"))])
+
+
 # -------------------------------------------------------------------- Q5 / N5
 def customer_base(star: Star) -> DataFrame:
     """Per person (customer_unique_id) over delivered orders: last purchase

@@ -85,6 +85,8 @@ _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
     "q02_monthly_mom": (A.q02_monthly_mom, O.Q02),
     "q03_top_categories": (A.q03_top_categories, O.Q03),
     "q04_pareto": (A.q04_pareto, O.Q04),
+    "q04_pareto_products": (A.pareto_products, O.PARETO_PRODUCTS),
+    "q03_product_ranks": (A.product_ranks, O.PRODUCT_RANKS),
     "q05_rfm_segments": (A.q05_rfm_segments, O.q05_rfm_segments()),
     "q05_rfm_segments_recent_high": (partial(A.q05_rfm_segments, recency="recent_high"),
                                      O.q05_rfm_segments("recent_high")),
