@@ -8,8 +8,10 @@ is absent (local tests).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import threading
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -92,6 +94,17 @@ def remove_at_exit(spark: SparkSession, path: str) -> None:
         p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
+def workers_see_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it (on a
+    cluster it is installed or passed with ``--py-files`` as usual)."""
+    sc = _context(spark)
+    if sc is not None:
+        root = str(Path(__file__).resolve().parents[1])
+        have = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in have:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def describe_jobs(spark: SparkSession, text: str | None) -> None:
     """Label the jobs this thread submits (shown in event logs)."""
     sc = _context(spark)
