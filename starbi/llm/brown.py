@@ -15,15 +15,22 @@ alone.  Units start in ``CLASSES`` classes; passes over the units in order of
 frequency move each to the class that gives the highest likelihood of the class
 bigrams, until a pass moves none or ``PASSES`` are done.
 
-Exchange clustering.  From the classes of their units, up to ``WORD_PASSES`` passes
-over all training words follow.  A pass counts each word's neighbours by class,
-and every word but the ``UNITS`` moves to its best class against the class
-bigrams of the pass's start, all at once; then the ``UNITS`` are moved one by one
-as above, the other words standing by their classes.  The passes end when none
-moves.  Where a pass does not raise the likelihood, the better classes stay and
-from then on half as many words move.  The class of every training word is a row of the word
-table.  Unseen words have the class that holds most training tokens of their
-shape (words that are units of their own aside).
+Exchange clustering.  From the classes of their units, passes over all training
+words follow.  Every word's neighbours are counted and written once, as packed
+lists of (neighbour, count).  A pass sums them by class: every word but the
+``UNITS`` moves to its best class against the class bigrams of the pass's start,
+all at once; then the ``UNITS`` are moved one by one as above, the other words
+standing by their classes.  The passes end when none moves or one raises the
+likelihood by less than ``GAIN`` of its size.  Where a pass does not raise it, the
+better classes stay and from then on half as many words move (``HALVINGS`` times at
+most).  The class of every training word is a row of the word table.  Unseen words
+have the class that holds most training tokens of their shape (words that are units
+of their own aside).
+
+Up to ``LISTED`` distinct words, their hashes and units go to the tasks as arrays
+(10 bytes a word, of a counted number): a pass reads the lists and shuffles
+nothing.  Beyond it the units are a table that each pass joins with the bigrams.
+Both forms choose the same classes.
 
 Smoothing.  Class transitions have ``TRANSITION`` added to each count; a class's
 words have ``EMISSION`` added to each count and to one more place, which is for
@@ -53,6 +60,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,8 +72,18 @@ UNITS = 1000
 SHAPES = 64
 CLASSES = 64
 PASSES = 8
-WORD_PASSES = 3
+#: the passes over all words end with one that raises the likelihood by less than this share
+GAIN = 0.002
+#: and the words that move at once are halved at most so often
+HALVINGS = 3
 KNOWN = 40_000
+#: distinct words whose hashes and units are held as arrays (10 bytes each); more are joined
+LISTED = 12_000_000
+#: words, and entries before merging, of a stored block of neighbour lists
+BLOCK_WORDS = 50_000
+BLOCK_ENTRIES = 1_500_000
+#: counts up to here have their gains in a table
+SMALL = 16
 TRANSITION = 0.1
 EMISSION = 0.5
 #: distinct words or bigrams that a task gathers before it passes them on
@@ -325,44 +343,102 @@ def likelihood(table: np.ndarray) -> float:
     return float(_h(table).sum() - _h(table.sum(axis=0)).sum() - _h(table.sum(axis=1)).sum())
 
 
-def best_classes(table: np.ndarray, of: np.ndarray, self_n: np.ndarray, sizes: np.ndarray,
-                 slot: np.ndarray, n: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Each word's best class if it alone moves; its own unless another is better.
-    Words that find several classes equally good (as empty ones are) take one by
-    their id, so that unlike words do not all move as one."""
+def class_gains(table: np.ndarray, of: np.ndarray, self_n: np.ndarray, sizes: np.ndarray,
+                slot: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The likelihood (up to a constant of the word) of each word in each class, the
+    word taken out of its own class ``of`` first.
+
+    Per word ``sizes`` entries (slot, n), by slot: its counts before class ``slot``
+    and, from the number of classes on, after class ``slot - classes``.  An entry
+    changes one row or column of ``table``; the changes by counts up to ``SMALL`` are
+    read off tables, and only the cells of the word's own class are worked out."""
     k, words = len(table), len(of)
-    at = np.repeat(np.arange(words), sizes)
+    each = np.arange(words)
+    at = np.repeat(each, sizes)
     dense = np.zeros((words, 2 * k))
     dense[at, slot] = n
-    each = np.arange(words)
+    left, right = dense[:, :k].sum(axis=1), dense[:, k:].sum(axis=1)
+    dense[each, of] -= self_n
+    dense[each, k + of] -= self_n
+    n = dense[at, slot]
     row, col = dense[:, :k], dense[:, k:]  # counts to and from classes
-    left, right = row.sum(axis=1, keepdims=True), col.sum(axis=1, keepdims=True)
-    row[each, of] -= self_n
-    col[each, of] -= self_n
     gain = np.zeros((words, k))
-    for side, (mine, others, cells) in enumerate(((row, col, table.T), (col, row, table))):
-        word, d = at[slot // k == side], slot[slot // k == side] % k
-        add = mine[word, d][:, None]
-        base = cells[d].copy()  # the cells of class d and each class, the word taken out
-        base[np.arange(len(word)), of[word]] -= add[:, 0]
-        home = d == of[word]
-        base[home] -= others[word[home]]
-        inner = np.flatnonzero(home)
-        base[inner, d[inner]] -= self_n[word[inner]]
-        np.add.at(gain, word, _h(base + add) - _h(base))
-    d = np.broadcast_to(np.diagonal(table), (words, k)).copy()
-    d[each, of] -= row[each, of] + col[each, of] + self_n
-    own = self_n[:, None]
-    gain += _h(d + row + col + own) - _h(d + row) - _h(d + col) + _h(d)
+    cells = np.concatenate([table.T, table])  # a slot's cells with every class
+    steps = _h(cells[None] + np.arange(SMALL + 1)[:, None, None]) - _h(cells)
+    small = n <= SMALL
+    change = np.empty((len(n), k))
+    change[small] = steps[n[small].astype(np.int64), slot[small]]
+    # larger counts, and the word's own class as neighbour, whose cells lose the word too
+    d, mine = slot % k, of[at]
+    home = d == mine
+    others = np.concatenate([col, row], axis=1).reshape(words, 2, k)  # by side
+    odd = np.flatnonzero(~small | home)
+    if len(odd):
+        base = cells[slot[odd]]
+        inner = np.flatnonzero(home[odd])
+        base[inner] -= others[at[odd[inner]], slot[odd[inner]] // k]
+        base[inner, d[odd[inner]]] -= self_n[at[odd[inner]]]
+        change[odd] = _h(base + n[odd, None]) - _h(base)
+    # a cell with the word's own class already holds the word's count
+    base = cells[slot, mine] - n
+    base[home] -= others[at[home], slot[home] // k, mine[home]] + self_n[at[home]]
+    change[np.arange(len(n)), mine] = _h(base + n) - _h(base)
+    if len(n):
+        have = sizes > 0
+        gain[have] = np.add.reduceat(change, (np.cumsum(sizes) - sizes)[have], axis=0)
+    # the diagonal is in a row and in a column; it adds up unless one of them is empty
+    w, c = np.nonzero((row > 0) & (col > 0) | (self_n > 0)[:, None])
+    x, r, l, own = np.diagonal(table)[c].copy(), row[w, c], col[w, c], self_n[w]
+    here = c == of[w]
+    x[here] -= (r + l + own)[here]
+    gain[w, c] += _h(x + r + l + own) - _h(x + r) - _h(x + l) + _h(x)
     for total, part in ((table.sum(axis=1), left), (table.sum(axis=0), right)):
-        rest = np.broadcast_to(total, (words, k)).copy()
-        rest[each, of] -= part[:, 0]
-        gain -= _h(rest + part) - _h(rest)
+        sizes_, which = np.unique(part, return_inverse=True)
+        gain -= (_h(total + sizes_[:, None]) - _h(total))[which]
+        own_total = total[of]
+        gain[each, of] += (_h(own_total + part) - _h(own_total)) - (_h(own_total) - _h(own_total - part))
+    return gain
+
+
+def best_classes(table: np.ndarray, of: np.ndarray, self_n: np.ndarray, sizes: np.ndarray,
+                 slot: np.ndarray, n: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Each word's best class if it alone moves; its own unless another is better.
+    Words that find several classes equally good (as empty ones are) take one by
+    their id, so that unlike words do not all move as one."""
+    k = len(table)
+    each = np.arange(len(of))
+    gain = class_gains(table, of, self_n, sizes, slot, n)
     tied = gain >= gain.max(axis=1, keepdims=True) - 1e-9
     best = np.where(tied, (np.arange(k) - ids[:, None]) % k, k).argmin(axis=1)
     return np.where(gain[each, best] > gain[each, of] + 1e-9, best, of)
 
 
+def chosen_units(table: np.ndarray, of: np.ndarray, ids: np.ndarray, unit: np.ndarray,
+                 self_n: np.ndarray, sizes: np.ndarray, slot: np.ndarray, n: np.ndarray, share: int,
+                 turn: int) -> np.ndarray:
+    """The units of words after those that are no units of their own, or every
+    ``share``-th of them by id, have chosen their classes; slots are units."""
+    k, size = len(table), len(of)
+    best, ends = unit.copy(), np.cumsum(sizes)
+    may = (unit < k) & ((ids >> 8) % share == turn % share)
+    slot = of[slot % size] + k * (slot // size)
+    a = 0
+    while a < len(unit):
+        start = ends[a] - sizes[a]
+        b = max(a + 1, int(np.searchsorted(ends, start + SLICE, "right")))
+        picked = a + np.flatnonzero(may[a:b])
+        if len(picked):
+            cells = np.repeat(np.arange(b - a), sizes[a:b]) * 2 * k + slot[start:ends[b - 1]]
+            counts = np.bincount(cells, n[start:ends[b - 1]], (b - a) * 2 * k)
+            counts = counts.reshape(b - a, 2 * k)[picked - a]
+            at, where = np.nonzero(counts)
+            best[picked] = best_classes(
+                table, unit[picked].astype(np.int64), self_n[picked],
+                np.bincount(at, minlength=len(picked)), where, counts[at, where], ids[picked])
+        a = b
+    return best
+
+
 def move_words(around: DataFrame, table: np.ndarray, of: np.ndarray, share: int,
                turn: int) -> DataFrame:
     """The stored (id, unit, moved) after every word that is no unit of its own,
@@ -371,55 +447,231 @@ def move_words(around: DataFrame, table: np.ndarray, of: np.ndarray, share: int,
     shared = around.sparkSession.sparkContext.broadcast((table, of))
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, of = shared.value
-        k, size = len(table), len(of)
         for batch in batches:
             ids, unit, own, sizes, slot, n = _entries(batch)
-            best, ends = unit.copy(), np.cumsum(sizes)
-            may = (unit < k) & ((ids >> 8) % share == turn % share)
-            slot = of[slot % size] + k * (slot // size)
-            a = 0
-            while a < len(unit):
-                start = ends[a] - sizes[a]
-                b = max(a + 1, int(np.searchsorted(ends, start + SLICE, "right")))
-                picked = a + np.flatnonzero(may[a:b])
-                if len(picked):
-                    cells = np.repeat(np.arange(b - a), sizes[a:b]) * 2 * k + slot[start:ends[b - 1]]
-                    counts = np.bincount(cells, n[start:ends[b - 1]], (b - a) * 2 * k)
-                    counts = counts.reshape(b - a, 2 * k)[picked - a]
-                    at, where = np.nonzero(counts)
-                    best[picked] = best_classes(
-                        table, unit[picked], own[picked], np.bincount(at, minlength=len(picked)),
-                        where, counts[at, where], ids[picked])
-                a = b
+            best = chosen_units(*shared.value, ids, unit, own, sizes, slot, n, share, turn)
             yield pa.RecordBatch.from_pydict({"id": ids, "unit": best, "moved": best != unit})
     return stored(around.mapInArrow(move, "id long, unit int, moved boolean"), "brown-units")
 
 
-def exchange_words(pairs: DataFrame, units: DataFrame, of: np.ndarray,
-                   passes: int = WORD_PASSES) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """The units of every word (id, unit), the classes of the units and the class
-    bigrams, from given ones.  Unit c stands for the words of class c that are no
-    units of their own; the units after these are single words."""
-    best, value, share = None, -np.inf, 1
+class JoinedWords:
+    """Units of words as a table (id, unit); each pass joins the stored bigrams with
+    it and stores the words' neighbours by unit."""
+
+    def __init__(self, training: DataFrame, units: DataFrame):
+        self.pairs, self.units = count_pairs(training), units
+
+    def around(self, units: DataFrame, size: int) -> tuple[np.ndarray, DataFrame]:
+        near = neighbours(self.pairs, units, size)
+        return unit_table(near, size), near
+
+    def move(self, units: DataFrame, near: DataFrame, table: np.ndarray, of: np.ndarray, share: int,
+             turn: int) -> tuple[DataFrame, bool]:
+        moved = move_words(near, table, of, share, turn)
+        return moved.drop("moved"), not moved.where("moved").isEmpty()
+
+    def classified(self, counts: DataFrame, units: DataFrame, begin, of: np.ndarray) -> DataFrame:
+        of_word = F.get(F.array(*[F.lit(int(c)) for c in of]), F.col("unit"))
+        shapes = counts.select("word", "id").mapInPandas(
+            lambda batches: (b[["word", "shape"]] for b in begin(batches)),
+            "word string, shape int")
+        return counts.join(units, "id").join(shapes, "word").select(
+            "word", "n", of_word.alias("class"), "shape")
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of 32-bit numbers, byte planes apart, compressed."""
+    planes = [np.ascontiguousarray(a.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes() for a in arrays]
+    sizes = np.array([len(arrays), *map(len, arrays)], "<i4").tobytes()
+    return sizes + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _unpack(blob: bytes) -> list[np.ndarray]:
+    count = int.from_bytes(blob[:4], "little")
+    sizes = np.frombuffer(blob, "<i4", count, 4)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(
+        blob[4 + 4 * count:], max_output_size=4 * int(sizes.sum()) or 1), np.uint8)
+    out, at = [], 0
+    for n in sizes:
+        out.append(np.ascontiguousarray(raw[at:at + 4 * n].reshape(4, n).T).view("<i4").reshape(-1))
+        at += 4 * n
+    return out
+
+
+def _merged(word: np.ndarray, slot: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Entries by word and slot, equal ones added up."""
+    order = np.lexsort((slot, word))
+    word, slot, n = word[order], slot[order], n[order]
+    first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (slot[1:] != slot[:-1])]) \
+        if len(word) else np.zeros(0, np.int64)
+    return word[first], slot[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def neighbour_lists(training: DataFrame, ids: np.ndarray, tokens_: int) -> DataFrame:
+    """(block, lists): every word's neighbours, written once.  Words go by their place
+    among the sorted hashes ``ids``.  An entry is (word, slot, n): how often the word
+    stands before word ``slot`` or, from ``len(ids)`` on, after word ``slot - len(ids)``.
+    Tasks send their counts packed per block of words; a block's parts are merged."""
+    spark = training.sparkSession
+    v = len(ids)
+    blocks = max(1, -(-v // BLOCK_WORDS), -(-2 * tokens_ // BLOCK_ENTRIES))
+    width = -(-v // blocks)
+    shared = spark.sparkContext.broadcast(ids)
+
+    def entries(held: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(held), return_counts=True)
+        left, right = key // v, key % v
+        turned = np.argsort(right, kind="stable")
+        out: dict[str, list] = {"block": [], "part": []}
+        for word, slot, times in ((left, right, n), (right[turned], left[turned] + v, n[turned])):
+            cuts = np.searchsorted(word, np.arange(0, v + width, width))
+            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                if b > a:
+                    out["block"].append(i)
+                    out["part"].append(_pack(word[a:b] - i * width, slot[a:b], times[a:b]))
+        return pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()),
+                                           pa.array(out["part"], pa.binary())], names=["block", "part"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = shared.value
+        place: dict[bytes, int] = {}
+        held: list[np.ndarray] = []
+        size = 0
+        end = int(np.searchsorted(ids, word_id(END)))
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words = tokens(text)
+                new = list({w for w in words if w not in place})
+                if new:
+                    found = np.searchsorted(ids, np.fromiter(map(word_id, new), np.int64, len(new)))
+                    place.update(zip(new, found.tolist()))
+                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+                held.append(np.concatenate([[end], at[:-1]]) * v + at)
+                size += len(at)
+                if len(place) >= FLUSH:
+                    place.clear()
+                if size >= 4 * FLUSH:
+                    yield entries(held)
+                    held.clear()
+                    size = 0
+        if held:
+            yield entries(held)
+
+    def merge(rows: pa.Table) -> pa.Table:
+        parts = [_unpack(b) for b in rows.column("part").to_pylist()]
+        packed = _pack(*_merged(*[np.concatenate(x) for x in zip(*parts)]))
+        return pa.table({"block": rows.column("block")[:1], "lists": pa.array([packed], pa.binary())})
+
+    return stored(training.mapInArrow(count, "block int, part binary").groupBy("block")
+                  .applyInArrow(merge, "block int, lists binary"), "brown-lists")
+
+
+class ListedWords:
+    """Units of words as an array beside their sorted hashes; the neighbour lists
+    are written once, and a pass over them shuffles nothing."""
+
+    def __init__(self, training: DataFrame, ids: np.ndarray, tokens_: int):
+        self.ids = ids
+        self.lists = neighbour_lists(training, ids, tokens_)
+        blocks = max(1, -(-len(ids) // BLOCK_WORDS), -(-2 * tokens_ // BLOCK_ENTRIES))
+        self.width = -(-len(ids) // blocks)
+
+    def around(self, units: np.ndarray, size: int) -> tuple[np.ndarray, None]:
+        spark, v, width = self.lists.sparkSession, len(self.ids), self.width
+        shared = spark.sparkContext.broadcast(units)
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size * size, np.int64)
+            for batch in batches:
+                for block, lists in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    word, slot, n = _unpack(lists)
+                    before = slot < v  # each bigram once: as its first word's entry
+                    cell = shared.value[word[before] + block * width].astype(np.int64) * size \
+                        + shared.value[slot[before]]
+                    total += np.bincount(cell, n[before], size * size).astype(np.int64)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({"cell": at, "n": total[at]})
+
+        cells = (self.lists.mapInArrow(add, "cell long, n long")
+                 .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())  # at most size^2 rows
+        shared.unpersist()
+        table = np.zeros(size * size)
+        table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+        return table.reshape(size, size), None
+
+    def move(self, units: np.ndarray, near: None, table: np.ndarray, of: np.ndarray, share: int,
+             turn: int) -> tuple[np.ndarray, bool]:
+        spark, v, width = self.lists.sparkSession, len(self.ids), self.width
+        shared = spark.sparkContext.broadcast((units, self.ids, table, of))
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            units, ids, table, of = shared.value
+            size = len(of)
+            for batch in batches:
+                out: dict[str, list] = {"block": [], "units": []}
+                for block, lists in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    first = block * width
+                    word, slot, n = _unpack(lists)
+                    mine = units[first:first + width]
+                    after = slot >= v
+                    by_unit = units[slot - v * after].astype(np.int64) + size * after
+                    own = np.zeros(len(mine))
+                    itself = slot == word + first
+                    own[word[itself]] = n[itself]
+                    best = chosen_units(table, of, ids[first:first + width], mine, own,
+                                        np.bincount(word, minlength=len(mine)), by_unit, n, share, turn)
+                    out["block"].append(block)
+                    out["units"].append(best.astype("<u2").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()),
+                                                  pa.array(out["units"], pa.binary())],
+                                                 names=["block", "units"])
+
+        got = self.lists.mapInArrow(choose, "block int, units binary").toArrow()  # 2 bytes a word
+        shared.unpersist()
+        moved = units.copy()
+        for block, packed in zip(got["block"].to_pylist(), got["units"].to_pylist()):
+            best = np.frombuffer(packed, "<u2")
+            moved[block * width:block * width + len(best)] = best
+        return moved, bool((moved != units).any())
+
+    def classified(self, counts: DataFrame, units: np.ndarray, begin, of: np.ndarray) -> DataFrame:
+        shared = counts.sparkSession.sparkContext.broadcast((self.ids, of[units].astype(np.int32)))
+
+        def give(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, classes = shared.value
+            for batch in batches:
+                batch["class"] = classes[np.searchsorted(ids, batch["id"].to_numpy())]
+                batch["shape"] = next(begin(iter([batch])))["shape"]
+                yield batch[["word", "n", "class", "shape"]]
+        return counts.mapInPandas(give, "word string, n long, class int, shape int")
+
+
+def exchange_words(words: JoinedWords | ListedWords, units, of: np.ndarray) -> tuple:
+    """The units of every word, the classes of the units, the class bigrams, and the
+    likelihood after each pass, from given units and classes.  Unit c stands for the
+    words of class c that are no units of their own; the units after these are single
+    words."""
+    best, value, share, turn, values = None, -np.inf, 1, 0, []
     classes = int(of.max()) + 1
-    for done in range(passes + 1):
-        around = neighbours(pairs, units, len(of))
-        bigrams = unit_table(around, len(of))
+    while True:
+        bigrams, near = words.around(units, len(of))
         now = exchange(bigrams, classes, start=of if best is None else best[1], fixed=classes)
         member = np.eye(classes)[now]
         table = member.T @ bigrams @ member
-        if likelihood(table) > value:
-            best, value = (units, now, table, around), likelihood(table)
-        else:
+        reached = likelihood(table)
+        values.append(reached)
+        rise = reached - value
+        if rise > 0:
+            best, value = (units, now, table, near), reached
+        if rise <= 0:
             share *= 2
-        if done == passes:
+        if share > 1 << HALVINGS or 0 <= rise < GAIN * abs(value):
             break
-        moved = move_words(best[3], best[2], best[1], share, done)
-        if share == 1 and moved.where("moved").isEmpty():
+        units, any_moved = words.move(best[0], best[3], best[2], best[1], share, turn)
+        turn += 1
+        if not any_moved and share == 1:
             break
-        units = moved.drop("moved")
-    return best[:3]
+    return (*best[:3], values)
 
 
 class BrownModel:
@@ -466,6 +718,8 @@ class LanguageModel:
     known_class: np.ndarray
     end: int
     classes: BrownModel
+    #: the likelihood of the class bigrams after each pass over all words
+    likelihoods: list[float]
 
 
 def fit(training: DataFrame) -> LanguageModel:
@@ -487,19 +741,27 @@ def fit(training: DataFrame) -> LanguageModel:
         units, of = shared.value
         for batch in batches:
             at = np.array([units.of(w.encode("utf-8")) for w in batch["word"]], np.int64)
-            yield pd.DataFrame({"id": batch["id"], "shape": np.minimum(at, SHAPES),
+            yield pd.DataFrame({"id": batch["id"], "word": batch["word"], "shape": np.minimum(at, SHAPES),
                                 "unit": np.where(at < SHAPES, of[at], at - SHAPES + size)})
 
+    start = np.concatenate([np.arange(size), of[SHAPES:]])
     # words of equal hash are one
-    begun = stored(counts.select("word", "id").mapInPandas(begin, "id long, shape int, unit int")
-                   .groupBy("id").agg(F.max("shape").alias("shape"), F.max("unit").alias("unit")),
-                   "brown-start")
-    placed, of_unit, bigrams = exchange_words(
-        count_pairs(training), begun.select("id", "unit"),
-        np.concatenate([np.arange(size), of[SHAPES:]]))
-    of_word = F.get(F.array(*[F.lit(int(c)) for c in of_unit]), F.col("unit"))
-    words = stored(counts.join(placed, "id").join(begun.select("id", "shape"), "id")
-                   .select("word", "n", of_word.alias("class"), "shape"), "brown-words")
+    begun = (counts.select("word", "id").mapInPandas(begin, "id long, word string, shape int, unit int")
+             .groupBy("id").agg(F.max("unit").alias("unit")))
+    if v <= LISTED:  # a bounded number of words: arrays
+        held = begun.toArrow()
+        ids, unit = held["id"].to_numpy(), held["unit"].to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids, unit = ids[order], unit[order].astype(np.uint16)
+        form = ListedWords(training, ids, n)
+    else:
+        unit = stored(begun, "brown-start")
+        form = JoinedWords(training, unit)
+    if v:
+        placed, of_unit, bigrams, values = exchange_words(form, unit, start)
+    else:
+        placed, of_unit, bigrams, values = unit, start, np.zeros((size, size)), []
+    words = stored(form.classified(counts, placed, begin, of_unit), "brown-words")
     types, amounts = np.zeros(size), np.zeros(size)
     shapes, most = of[:SHAPES].copy(), np.zeros(SHAPES)
     for r in words.groupBy("class", "shape").agg(
@@ -515,7 +777,7 @@ def fit(training: DataFrame) -> LanguageModel:
     end = int(of_unit[size])  # END is the first of the single words
     return LanguageModel(words.select("word", "n", "class"), n, v, WordUnits(words), code,
                          top["n"].to_numpy().astype(np.float64), known_class, end,
-                         BrownModel(bigrams, shapes, types, amounts))
+                         BrownModel(bigrams, shapes, types, amounts), values)
 
 
 def log_probabilities(docs: DataFrame, lm: LanguageModel) -> DataFrame:

@@ -150,3 +150,37 @@ def test_every_training_word_is_clustered(spark, monkeypatch):
     assert {brown.shape(w.encode()) for w in odd + even} == {brown.shape(b"w000xx")}
     mixed = sum(min(sum(of[w] == c for w in side) for side in (odd, even)) for c in set(of.values()))
     assert mixed < 20  # as one shape unit all 40 were
+
+
+def test_both_forms_choose_the_same_classes(spark, docs, monkeypatch):
+    monkeypatch.setattr(brown, "UNITS", 20)
+    monkeypatch.setattr(brown, "BLOCK_WORDS", 700)
+    training = docs.select("text")
+    found = []
+    for listed in (10 ** 9, 0):
+        monkeypatch.setattr(brown, "LISTED", listed)
+        lm = brown.fit(training)
+        found.append(({r["word"]: r["class"] for r in lm.words.collect()}, lm.likelihoods))
+    assert found[0][0] == found[1][0] and found[0][1] == pytest.approx(found[1][1])
+    assert len(found[0][1]) >= 2 and max(found[0][1]) > found[0][1][0]
+
+
+def test_packed_lists_hold_every_neighbour(spark, docs):
+    rows = [t for (t,) in docs.select("text").collect()]
+    want = {}
+    for t in rows:
+        words = [brown.word_id(w) for w in brown.tokens(t)]
+        for v, w in zip([brown.word_id(brown.END), *words], words):
+            want[v, w] = want.get((v, w), 0) + 1
+    ids = np.array(sorted({i for pair in want for i in pair}), np.int64)
+    lists = brown.neighbour_lists(docs.select("text"), ids, 100_000_000)
+    v, got, blocks = len(ids), {}, lists.collect()
+    assert len(blocks) > 3
+    width = -(-v // max(1, -(-v // brown.BLOCK_WORDS), -(-200_000_000 // brown.BLOCK_ENTRIES)))
+    for r in blocks:
+        for word, slot, n in zip(*brown._unpack(r["lists"])):
+            word += r["block"] * width
+            key = (ids[word], ids[slot]) if slot < v else (ids[slot - v], ids[word], "after")
+            got[key] = got.get(key, 0) + n
+    assert {k: n for k, n in got.items() if len(k) == 2} == want
+    assert {k[:2]: n for k, n in got.items() if len(k) == 3} == want
