@@ -5,9 +5,10 @@
 Tokens: words of the text (A-Z lower-cased, split at ASCII white space) and one
 end per document, which is also what stands before the first word.
 
-Counts.  Every training token is counted: one row per distinct word and one per
-distinct word bigram, written to the shared folder.  In these tables a word goes
-by a 64-bit hash; words of equal hash would share a class, nothing else.
+Counts.  Every training token is counted: one row per distinct word, and every
+distinct word bigram, written to the shared folder.  For its class a word goes by
+a 64-bit hash; words of equal hash (of 12 million words, two in a run of 250,000)
+would share a class and, where words are held as arrays, a count.
 
 Start.  ``UNITS`` of the most frequent words are units of their own, every other
 word belongs to one of ``SHAPES`` shape units, a function of its last characters
@@ -37,11 +38,11 @@ words have ``EMISSION`` added to each count and to one more place, which is for
 all unseen words of that class.  The log10 probability of a text is the sum
 over its tokens, and perplexity is 10 ** (-score / n_tokens).
 
-Scale.  The likelihood of a token needs its word's count.  The ``KNOWN`` most
-frequent words' counts and classes (bounded) go to the tasks; the other words of
-a document are emitted with their frequency and joined with the word table, and
-the transitions from and to them are summed when their classes are known.  Both
-ways give the same sums.
+Scale.  Texts are split into words once and stored as chunks of documents with
+their words and token codes, which every later step reads.  Up to ``LISTED`` words
+the tasks that score hold all words' hashes, counts and classes; beyond it they hold
+those of the ``KNOWN`` most frequent words, and the other words of a document are
+joined with the word table.  Both ways give the same sums.
 
 Cases: null and empty texts have one token, the end; a null id has no crc32 and
 its row trains; repeated rows count and score once each; without training tokens
@@ -86,8 +87,8 @@ BLOCK_ENTRIES = 1_500_000
 SMALL = 16
 TRANSITION = 0.1
 EMISSION = 0.5
-#: distinct words or bigrams that a task gathers before it passes them on
-FLUSH = 400_000
+#: tokens of a stored chunk of documents, about
+CHUNK = 1_000_000
 #: entries of words' neighbour counts that are compared with all classes at once
 SLICE = 20_000
 #: the end token: no word holds white space
@@ -112,21 +113,92 @@ def word_id(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
 
 
-def _rows(seen: Counter) -> pd.DataFrame:
-    return pd.DataFrame({"word": pd.Series([w.decode("utf-8") for w in seen], dtype=object),
-                         "id": np.fromiter(map(word_id, seen), np.int64, len(seen)),
-                         "n": np.fromiter(seen.values(), np.int64, len(seen))})
+@dataclass
+class Chunk:
+    """Some documents as token codes: their ids and marks, the words by code, the
+    codes of all their tokens, and how many tokens each has."""
+
+    ids: list[str | None]
+    held: np.ndarray
+    words: list[bytes]
+    codes: np.ndarray
+    sizes: np.ndarray
+
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def before(self, of: np.ndarray) -> np.ndarray:
+        """What stands before each token, ``of`` giving a number for every token; the
+        end stands before a document's first."""
+        out = np.concatenate([of[:1], of[:-1]])
+        out[self.starts()] = of[self.sizes[0] - 1]  # every document ends with the end
+        return out
+
+    def training(self) -> np.ndarray:
+        return np.repeat(~self.held, self.sizes)
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(word_id, self.words), np.int64, len(self.words))
+
+
+_CHUNK = "ids array<string>, held array<boolean>, words binary, codes binary"
+
+
+def tokenised(rows: DataFrame) -> DataFrame:
+    """The texts of ``rows`` (id string, text, held_out), read once and stored as
+    chunks of about ``CHUNK`` tokens, which all later steps read."""
+    workers_see_package(rows.sparkSession)
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code: dict[bytes, int] = {}
+        ids, held, sizes, codes, size = [], [], [], [], 0
 
-def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen: Counter[bytes] = Counter()
+        def chunk() -> pa.RecordBatch:
+            words = zstandard.ZstdCompressor(level=1).compress(b" ".join(code))
+            packed = _pack(np.concatenate(codes), np.array(sizes, np.int32))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([ids], pa.list_(pa.string())), pa.array([held], pa.list_(pa.bool_())),
+                 pa.array([words], pa.binary()), pa.array([packed], pa.binary())],
+                names=["ids", "held", "words", "codes"])
+
+        for batch in batches:
+            for name, text, out in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "held_out"))):
+                words = tokens(text)
+                # a new word gets the next code
+                codes.append(np.array([code.setdefault(w, len(code)) for w in words], np.int32))
+                ids.append(name)
+                held.append(out)
+                sizes.append(len(words))
+                size += len(words)
+                if size >= CHUNK:
+                    yield chunk()
+                    code.clear()
+                    ids, held, sizes, codes, size = [], [], [], [], 0
+        if ids:
+            yield chunk()
+
+    return stored(rows.select("id", "text", "held_out").mapInArrow(pack, _CHUNK), "brown-chunks")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     for batch in batches:
-        for text in batch["text"]:
-            seen.update(tokens(text))
-            if len(seen) >= FLUSH:
-                yield _rows(seen)
-                seen.clear()
-    yield _rows(seen)
+        for i in range(len(batch)):
+            ids, held, words, packed = (batch.column(c)[i] for c in ("ids", "held", "words", "codes"))
+            codes, sizes = _unpack(packed.as_py())
+            raw = zstandard.ZstdDecompressor().decompress(words.as_py())
+            yield Chunk(ids.as_py(), np.array(held.as_py(), bool), raw.split(b" "), codes, sizes)
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training words (word, id, n) of each chunk."""
+    for c in _chunks(batches):
+        n = np.bincount(c.codes[c.training()], minlength=len(c.words))
+        have = np.flatnonzero(n)
+        words = [c.words[i] for i in have]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([w.decode("utf-8") for w in words], pa.string()),
+             pa.array(np.fromiter(map(word_id, words), np.int64, len(words))),
+             pa.array(n[have].astype(np.int64))], names=["word", "id", "n"])
 
 
 class Units:
@@ -142,25 +214,6 @@ class Units:
         return shape(word) if unit is None else unit
 
 
-class Lexicon:
-    """Array views of the known words: a word's code, and its unit by code."""
-
-    def __init__(self, known: list[bytes], units: Units):
-        self.code = {w: i for i, w in enumerate(known)}
-        self.unit = np.array([units.of(w) for w in known], np.int64)
-        self.end = units.own[END]
-        self.size = units.size
-
-    def read(self, words: list[bytes]) -> np.ndarray:
-        """The units of the words."""
-        code = self.code
-        codes = np.array([code.get(w, -1) for w in words], np.int64)
-        units = self.unit[codes] if len(self.unit) else np.zeros(len(codes), np.int64)
-        rare = np.flatnonzero(codes < 0)
-        units[rare] = [self.end if words[i] == END else shape(words[i]) for i in rare]
-        return units
-
-
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES,
              start: np.ndarray | None = None, fixed: int = 0) -> np.ndarray:
     """The class of each unit, from a dense table of unit bigram counts; from
@@ -227,64 +280,40 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES,
     return of
 
 
-def count_bigrams(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
-    """Dense unit bigram counts; at most (units)^2 rows reach the driver."""
-    shared = training.sparkSession.sparkContext.broadcast(lexicon)
+def count_bigrams(chunks: DataFrame, units: Units) -> np.ndarray:
+    """Dense unit bigram counts of training tokens; at most (units)^2 rows reach the
+    driver."""
+    shared = chunks.sparkSession.sparkContext.broadcast(units)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lex = shared.value
-        total = np.zeros(lex.size * lex.size, np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                units = lex.read(tokens(text))
-                before = np.concatenate([[lex.end], units[:-1]])
-                np.add.at(total, before * lex.size + units, 1)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = shared.value
+        total = np.zeros(units.size * units.size, np.int64)
+        for c in _chunks(batches):
+            of = np.fromiter(map(units.of, c.words), np.int64, len(c.words))[c.codes]
+            cell = (c.before(of) * units.size + of)[c.training()]
+            total += np.bincount(cell, minlength=len(total))
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"cell": at, "n": total[at]})
+        yield pa.RecordBatch.from_pydict({"cell": at, "n": total[at]})
 
-    cells = (training.mapInPandas(count, "cell long, n long")
+    cells = (chunks.mapInArrow(count, "cell long, n long")
              .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
-    table = np.zeros(lexicon.size * lexicon.size)
+    table = np.zeros(units.size * units.size)
     table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    return table.reshape(lexicon.size, lexicon.size)
+    return table.reshape(units.size, units.size)
 
 
-def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Word bigrams (v, w, n), v before w, counted over many texts at a time."""
-    ids: dict[bytes, int] = {}
-    end = word_id(END)
-    held: list[np.ndarray] = []
-    size = 0
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training word bigrams (v, w, n), v before w, of each chunk."""
+    for c in _chunks(batches):
+        ids, v = c.hashes(), len(c.words)
+        of = c.codes.astype(np.int64)
+        key, n = np.unique((c.before(of) * v + of)[c.training()], return_counts=True)
+        yield pa.RecordBatch.from_pydict({"v": ids[key // v], "w": ids[key % v], "n": n})
 
-    def counted():
-        both = np.concatenate(held, axis=1)
-        both = both[:, np.lexsort(both)]
-        first = np.flatnonzero(np.r_[True, (both[:, 1:] != both[:, :-1]).any(axis=0)])
-        return pd.DataFrame({"v": both[0, first], "w": both[1, first],
-                             "n": np.diff(first, append=both.shape[1])})
 
-    for batch in batches:
-        for text in batch["text"]:
-            words = tokens(text)
-            for w in words:
-                if w not in ids:
-                    ids[w] = word_id(w)
-            at = np.array([ids[w] for w in words], np.int64)
-            held.append(np.stack([np.concatenate([[end], at[:-1]]), at]))
-            size += len(at)
-            if len(ids) >= FLUSH:
-                ids.clear()
-            if size >= 4 * FLUSH:
-                yield counted()
-                held.clear()
-                size = 0
-    if held:
-        yield counted()
-
-
-def count_pairs(training: DataFrame) -> DataFrame:
+def count_pairs(chunks: DataFrame) -> DataFrame:
     """The stored word bigrams (v, w, n) of all training tokens."""
-    return stored(training.mapInPandas(_pairs, "v long, w long, n long")
+    return stored(chunks.mapInArrow(_pairs, "v long, w long, n long")
                   .groupBy("v", "w").agg(F.sum("n").alias("n")), "brown-pairs")
 
 
@@ -458,8 +487,8 @@ class JoinedWords:
     """Units of words as a table (id, unit); each pass joins the stored bigrams with
     it and stores the words' neighbours by unit."""
 
-    def __init__(self, training: DataFrame, units: DataFrame):
-        self.pairs, self.units = count_pairs(training), units
+    def __init__(self, chunks: DataFrame):
+        self.pairs = count_pairs(chunks)
 
     def around(self, units: DataFrame, size: int) -> tuple[np.ndarray, DataFrame]:
         near = neighbours(self.pairs, units, size)
@@ -476,7 +505,7 @@ class JoinedWords:
             lambda batches: (b[["word", "shape"]] for b in begin(batches)),
             "word string, shape int")
         return counts.join(units, "id").join(shapes, "word").select(
-            "word", "n", of_word.alias("class"), "shape")
+            "word", "id", "n", of_word.alias("class"), "shape")
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -507,62 +536,47 @@ def _merged(word: np.ndarray, slot: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
     return word[first], slot[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def neighbour_lists(training: DataFrame, ids: np.ndarray, tokens_: int) -> DataFrame:
-    """(block, lists): every word's neighbours, written once.  Words go by their place
-    among the sorted hashes ``ids``.  An entry is (word, slot, n): how often the word
-    stands before word ``slot`` or, from ``len(ids)`` on, after word ``slot - len(ids)``.
-    Tasks send their counts packed per block of words; a block's parts are merged."""
-    spark = training.sparkSession
+def list_width(words: int, tokens_: int) -> int:
+    """Words of a block of neighbour lists."""
+    blocks = max(1, -(-words // BLOCK_WORDS), -(-2 * tokens_ // BLOCK_ENTRIES))
+    return max(1, -(-words // blocks))
+
+
+def neighbour_lists(chunks: DataFrame, ids: np.ndarray, width: int) -> DataFrame:
+    """(block, lists): every training word's neighbours, written once.  Words go by
+    their place among the sorted hashes ``ids``; ``width`` of them make a block.  An
+    entry is (word, slot, n): how often the word stands before word ``slot`` or, from
+    ``len(ids)`` on, after word ``slot - len(ids)``.  Chunks send their counts packed
+    per block; a block's parts are merged."""
     v = len(ids)
-    blocks = max(1, -(-v // BLOCK_WORDS), -(-2 * tokens_ // BLOCK_ENTRIES))
-    width = -(-v // blocks)
-    shared = spark.sparkContext.broadcast(ids)
-
-    def entries(held: list[np.ndarray]) -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(held), return_counts=True)
-        left, right = key // v, key % v
-        turned = np.argsort(right, kind="stable")
-        out: dict[str, list] = {"block": [], "part": []}
-        for word, slot, times in ((left, right, n), (right[turned], left[turned] + v, n[turned])):
-            cuts = np.searchsorted(word, np.arange(0, v + width, width))
-            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                if b > a:
-                    out["block"].append(i)
-                    out["part"].append(_pack(word[a:b] - i * width, slot[a:b], times[a:b]))
-        return pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()),
-                                           pa.array(out["part"], pa.binary())], names=["block", "part"])
+    shared = chunks.sparkSession.sparkContext.broadcast(ids)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = shared.value
-        place: dict[bytes, int] = {}
-        held: list[np.ndarray] = []
-        size = 0
-        end = int(np.searchsorted(ids, word_id(END)))
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = tokens(text)
-                new = list({w for w in words if w not in place})
-                if new:
-                    found = np.searchsorted(ids, np.fromiter(map(word_id, new), np.int64, len(new)))
-                    place.update(zip(new, found.tolist()))
-                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-                held.append(np.concatenate([[end], at[:-1]]) * v + at)
-                size += len(at)
-                if len(place) >= FLUSH:
-                    place.clear()
-                if size >= 4 * FLUSH:
-                    yield entries(held)
-                    held.clear()
-                    size = 0
-        if held:
-            yield entries(held)
+        for c in _chunks(batches):
+            # words of held-out documents may have no place; they are not looked at
+            of = np.minimum(np.searchsorted(ids, c.hashes()), v - 1)[c.codes]
+            chosen = c.training()
+            key, n = np.unique((c.before(of) * v + of)[chosen], return_counts=True)
+            left, right = key // v, key % v
+            turned = np.argsort(right, kind="stable")
+            out: dict[str, list] = {"block": [], "part": []}
+            for word, slot, times in ((left, right, n), (right[turned], left[turned] + v, n[turned])):
+                cuts = np.searchsorted(word, np.arange(0, v + width, width))
+                for i in np.flatnonzero(np.diff(cuts)):
+                    a, b = cuts[i], cuts[i + 1]
+                    out["block"].append(i)
+                    out["part"].append(_pack(word[a:b] - i * width, slot[a:b], times[a:b]))
+            yield pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()),
+                                              pa.array(out["part"], pa.binary())],
+                                             names=["block", "part"])
 
     def merge(rows: pa.Table) -> pa.Table:
         parts = [_unpack(b) for b in rows.column("part").to_pylist()]
         packed = _pack(*_merged(*[np.concatenate(x) for x in zip(*parts)]))
         return pa.table({"block": rows.column("block")[:1], "lists": pa.array([packed], pa.binary())})
 
-    return stored(training.mapInArrow(count, "block int, part binary").groupBy("block")
+    return stored(chunks.mapInArrow(count, "block int, part binary").groupBy("block")
                   .applyInArrow(merge, "block int, lists binary"), "brown-lists")
 
 
@@ -570,11 +584,9 @@ class ListedWords:
     """Units of words as an array beside their sorted hashes; the neighbour lists
     are written once, and a pass over them shuffles nothing."""
 
-    def __init__(self, training: DataFrame, ids: np.ndarray, tokens_: int):
-        self.ids = ids
-        self.lists = neighbour_lists(training, ids, tokens_)
-        blocks = max(1, -(-len(ids) // BLOCK_WORDS), -(-2 * tokens_ // BLOCK_ENTRIES))
-        self.width = -(-len(ids) // blocks)
+    def __init__(self, chunks: DataFrame, ids: np.ndarray, tokens_: int):
+        self.ids, self.width = ids, list_width(len(ids), tokens_)
+        self.lists = neighbour_lists(chunks, ids, self.width)
 
     def around(self, units: np.ndarray, size: int) -> tuple[np.ndarray, None]:
         spark, v, width = self.lists.sparkSession, len(self.ids), self.width
@@ -642,8 +654,8 @@ class ListedWords:
             for batch in batches:
                 batch["class"] = classes[np.searchsorted(ids, batch["id"].to_numpy())]
                 batch["shape"] = next(begin(iter([batch])))["shape"]
-                yield batch[["word", "n", "class", "shape"]]
-        return counts.mapInPandas(give, "word string, n long, class int, shape int")
+                yield batch[["word", "id", "n", "class", "shape"]]
+        return counts.mapInPandas(give, "word string, id long, n long, class int, shape int")
 
 
 def exchange_words(words: JoinedWords | ListedWords, units, of: np.ndarray) -> tuple:
@@ -705,35 +717,36 @@ class WordUnits:
 
 @dataclass
 class LanguageModel:
-    """A fitted model: the word table (word, n, class), its totals, and what is
-    small enough for the driver: the known words with their counts and classes,
-    and the class model."""
+    """A fitted model: the word table (word, n, class), its totals, the class model,
+    and up to ``LISTED`` words their sorted hashes, counts and classes."""
 
     words: DataFrame
     tokens: int
     types: int
     units: WordUnits
-    code: dict[bytes, int]
-    known: np.ndarray
-    known_class: np.ndarray
     end: int
     classes: BrownModel
     #: the likelihood of the class bigrams after each pass over all words
     likelihoods: list[float]
+    arrays: tuple[np.ndarray, ...] | None = None
 
 
 def fit(training: DataFrame) -> LanguageModel:
     """From all rows of ``training`` (column text)."""
-    spark = training.sparkSession
-    workers_see_package(spark)
-    counts = stored(training.mapInPandas(_count_words, "word string, id long, n long")
+    return fit_chunks(tokenised(training.select(
+        F.lit(None).cast("string").alias("id"), "text", F.lit(False).alias("held_out"))))
+
+
+def fit_chunks(chunks: DataFrame) -> LanguageModel:
+    """From the documents of the chunks that are not held out."""
+    spark = chunks.sparkSession
+    counts = stored(chunks.mapInArrow(_count_words, "word string, id long, n long")
                     .groupBy("word").agg(F.first("id").alias("id"), F.sum("n").alias("n")),
                     "brown-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).select("word").toArrow()  # bounded
-    known = [w.encode("utf-8") for w in top["word"].to_pylist()]
-    units = Units(known[:UNITS])
-    of = exchange(count_bigrams(training, Lexicon(known, units)))
+    units = Units([w.encode("utf-8") for w in top["word"].to_pylist()[:UNITS]])
+    of = exchange(count_bigrams(chunks, units))
     size = int(of.max()) + 1
     shared = spark.sparkContext.broadcast((units, of))
 
@@ -753,15 +766,17 @@ def fit(training: DataFrame) -> LanguageModel:
         ids, unit = held["id"].to_numpy(), held["unit"].to_numpy()
         order = np.argsort(ids, kind="stable")
         ids, unit = ids[order], unit[order].astype(np.uint16)
-        form = ListedWords(training, ids, n)
+        del held, order
+        form = ListedWords(chunks, ids, n) if v else None
     else:
         unit = stored(begun, "brown-start")
-        form = JoinedWords(training, unit)
+        form = JoinedWords(chunks)
     if v:
         placed, of_unit, bigrams, values = exchange_words(form, unit, start)
     else:
         placed, of_unit, bigrams, values = unit, start, np.zeros((size, size)), []
-    words = stored(form.classified(counts, placed, begin, of_unit), "brown-words")
+    words = stored(form.classified(counts, placed, begin, of_unit), "brown-words") if v else \
+        counts.select("*", F.lit(0).alias("class"), F.lit(0).alias("shape"))
     types, amounts = np.zeros(size), np.zeros(size)
     shapes, most = of[:SHAPES].copy(), np.zeros(SHAPES)
     for r in words.groupBy("class", "shape").agg(
@@ -771,55 +786,114 @@ def fit(training: DataFrame) -> LanguageModel:
         amounts[r["class"]] += r["n"]
         if r["shape"] < SHAPES and r["n"] > most[r["shape"]]:
             shapes[r["shape"]], most[r["shape"]] = r["class"], r["n"]
-    top = words.orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()  # bounded
+    end = int(of_unit[size])  # END is the first of the single words
+    classes = BrownModel(bigrams, shapes, types, amounts)
+    lm = LanguageModel(words.select("word", "n", "class"), n, v, WordUnits(words), end, classes, values)
+    if v <= LISTED:
+        rows = words.groupBy("id").agg(F.sum("n").alias("n"), F.min("class").alias("class")).toArrow()
+        order = np.argsort(rows["id"].to_numpy(), kind="stable")
+        lm.arrays = tuple(rows[c].to_numpy()[order].astype(t) for c, t in (
+            ("id", np.int64), ("n", np.int64), ("class", np.int16)))
+    return lm
+
+
+def _sums(values: np.ndarray, c: Chunk) -> np.ndarray:
+    """Per document (each has a token)."""
+    return np.add.reduceat(values, c.starts())
+
+
+_SCORED = "id string, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def log_probabilities(chunks: DataFrame, lm: LanguageModel) -> DataFrame:
+    """(id, held_out, n_tokens, n_known, base_score, score) of every document."""
+    return _score_by_arrays(chunks, lm) if lm.arrays is not None else _score_by_join(chunks, lm)
+
+
+def _score_by_arrays(chunks: DataFrame, lm: LanguageModel) -> DataFrame:
+    """Counts and classes of all training words go to the tasks (18 bytes a word, of
+    at most ``LISTED``).  A word is looked up by its 64-bit hash."""
+    shared = chunks.sparkSession.sparkContext.broadcast(
+        (*lm.arrays, lm.classes, lm.end, lm.tokens + lm.types + 1))
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts, class_of, brown, end, below = shared.value
+        for c in _chunks(batches):
+            mine = c.hashes()
+            at = np.searchsorted(ids, mine)
+            n, of = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64)
+            found = np.zeros(len(mine), bool)
+            if len(ids):
+                at = np.minimum(at, len(ids) - 1)
+                found = ids[at] == mine
+                n[found], of[found] = counts[at[found]], class_of[at[found]]
+            for i in np.flatnonzero(~found):
+                of[i] = end if c.words[i] == END else brown.of[shape(c.words[i])]
+            base = np.log10((n + 1) / below)
+            emit = np.log10((n + EMISSION) / brown.denominator[of])
+            classes = of[c.codes]
+            moves = brown.transition[c.before(classes), classes]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c.ids, pa.string()), pa.array(c.held), pa.array(c.sizes.astype(np.int64)),
+                 pa.array(_sums((n > 0)[c.codes].astype(np.int64), c)), pa.array(_sums(base[c.codes], c)),
+                 pa.array(_sums(moves + emit[c.codes], c))],
+                names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    return chunks.mapInArrow(local, _SCORED)
+
+
+def _score_by_join(chunks: DataFrame, lm: LanguageModel) -> DataFrame:
+    """The most frequent words' counts and classes (``KNOWN``) go to the tasks; other
+    words are joined with the word table, and what hangs on their classes is summed
+    when those are known."""
+    spark = chunks.sparkSession
+    top = lm.words.orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()  # bounded
     code = {w.encode("utf-8"): i for i, w in enumerate(top["word"].to_pylist())}
+    known = top["n"].to_numpy().astype(np.float64)
     known_class = top["class"].to_numpy().astype(np.int64)
-    end = int(of_unit[size])  # END is the first of the single words
-    return LanguageModel(words.select("word", "n", "class"), n, v, WordUnits(words), code,
-                         top["n"].to_numpy().astype(np.float64), known_class, end,
-                         BrownModel(bigrams, shapes, types, amounts), values)
-
-
-def log_probabilities(docs: DataFrame, lm: LanguageModel) -> DataFrame:
-    """Columns of ``docs`` but text, and n_tokens, n_known, base_score, score."""
-    spark = docs.sparkSession
-    base = np.log10((lm.known + 1) / (lm.tokens + lm.types + 1))
-    emit = np.log10((lm.known + EMISSION) / lm.classes.denominator[lm.known_class])
+    base = np.log10((known + 1) / (lm.tokens + lm.types + 1))
+    emit = np.log10((known + EMISSION) / lm.classes.denominator[known_class])
     classes = len(lm.classes.transition)
-    shared = spark.sparkContext.broadcast((lm.code, lm.known_class, lm.end, lm.classes, base, emit))
-    keep = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
+    shared = spark.sparkContext.broadcast((code, known_class, lm.end, lm.classes, base, emit))
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         code, known_class, end, brown, base, emit = shared.value
-        for batch in batches:
+        for c in _chunks(batches):
+            place = np.fromiter((code.get(w, -1) for w in c.words), np.int64, len(c.words))
             out = []
-            for text in batch["text"]:
-                words = tokens(text)
-                codes = np.array([code.get(w, -1) for w in words], np.int64)
-                known = codes[codes >= 0]
-                at = np.empty(len(words), np.int64)
-                at[codes >= 0] = known_class[known]
+            for name, held, start, size in zip(c.ids, c.held.tolist(), c.starts(), c.sizes):
+                codes = c.codes[start:start + size]
+                at = place[codes]
+                here = at[at >= 0]
                 # a word that is not known: number of classes + its number in the text
-                seen = Counter(words[i] for i in np.flatnonzero(codes < 0))
-                number = {w: classes + i for i, w in enumerate(seen)}
-                rare = np.flatnonzero(codes < 0)
-                at[rare] = [end if words[i] == END else number[words[i]] for i in rare]
-                before = np.concatenate([[end], at[:-1]])
-                here = (at < classes) & (before < classes)
-                moves = float(brown.transition[before[here], at[here]].sum())
-                there = np.stack([before[~here], at[~here]]).astype(np.int32)
-                out.append((len(words), len(known), float(base[known].sum()),
-                            moves + float(emit[known].sum()), there.tobytes(),
-                            [w.decode("utf-8") for w in seen], list(seen.values()),
-                            [end if w == END else int(brown.of[shape(w)]) for w in seen]))
-            yield pd.concat([batch.drop(columns="text").reset_index(drop=True), pd.DataFrame(
-                out, columns=["n_tokens", "__known", "__base", "__score", "__moves", "__words",
-                              "__times", "__classes"])], axis=1)
-
-    partial = stored(docs.withColumn("__row", F.monotonically_increasing_id()).mapInPandas(
-        local, ", ".join([*keep, "__row long, n_tokens long, __known long, __base double, "
-                          "__score double, __moves binary, __words array<string>, "
-                          "__times array<long>, __classes array<int>"])), "brown-partial")
+                rare, number, times = np.unique(codes[at < 0], return_inverse=True, return_counts=True)
+                of = np.empty(size, np.int64)
+                of[at >= 0] = known_class[here]
+                of[at < 0] = classes + number
+                words = [c.words[i] for i in rare]
+                before = np.concatenate([of[-1:], of[:-1]])  # the end
+                both = (of < classes) & (before < classes)
+                moves = float(brown.transition[before[both], of[both]].sum())
+                there = np.stack([before[~both], of[~both]]).astype(np.int32)
+                out.append((name, held, int(size), len(here), float(base[here].sum()),
+                            moves + float(emit[here].sum()), there.tobytes(),
+                            [w.decode("utf-8") for w in words], times.tolist(),
+                            [end if w == END else int(brown.of[shape(w)]) for w in words]))
+            yield pd.DataFrame(out, columns=["id", "held_out", "n_tokens", "__known", "__base",
+                                             "__score", "__moves", "__words", "__times", "__classes"])
+
+    def as_arrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("id", pa.string()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+                            ("__known", pa.int64()), ("__base", pa.float64()), ("__score", pa.float64()),
+                            ("__moves", pa.binary()), ("__words", pa.list_(pa.string())),
+                            ("__times", pa.list_(pa.int64())), ("__classes", pa.list_(pa.int32()))])
+        for frame in local(batches):
+            yield pa.RecordBatch.from_pandas(frame, schema, preserve_index=False)
+
+    partial = stored(chunks.mapInArrow(
+        as_arrow, "id string, held_out boolean, n_tokens long, __known long, __base double, __score double, "
+                  "__moves binary, __words array<string>, __times array<long>, __classes array<int>")
+        .withColumn("__row", F.monotonically_increasing_id()), "brown-partial")
     rare = partial.select("__row", F.posexplode(F.arrays_zip("__words", "__times", "__classes"))
                           .alias("at", "r")).select("__row", "at", F.col("r.__words").alias("word"),
                                                     F.col("r.__times").alias("times"),
@@ -850,8 +924,8 @@ def log_probabilities(docs: DataFrame, lm: LanguageModel) -> DataFrame:
 
     def added(name):
         return F.col(f"__{name}") + F.coalesce(f"{name}2", F.lit(0))
-    return whole.select(*[f"`{f.name}`" for f in docs.schema if f.name != "text"], "n_tokens",
-                        added("known").alias("n_known"), added("base").alias("base_score"),
+    return whole.select("id", "held_out", "n_tokens", added("known").alias("n_known"),
+                        added("base").alias("base_score"),
                         (added("score") + moved("__moves", "classes2")).alias("score"))
 
 
@@ -863,8 +937,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the id as text: pandas would turn numbers with nulls into floats
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
                        held.alias("held_out"))
-    lm = fit(rows.where("not held_out").select("text"))
-    return log_probabilities(rows, lm).select(
-        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "held_out", "n_tokens", "n_known", F.lit(lm.tokens).cast("long").alias("train_tokens"),
+    chunks = tokenised(rows)
+    lm = fit_chunks(chunks)
+    return log_probabilities(chunks, lm).select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "held_out", "n_tokens",
+        "n_known", F.lit(lm.tokens).cast("long").alias("train_tokens"),
         "base_score", "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

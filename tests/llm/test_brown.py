@@ -73,14 +73,18 @@ def check(got, want):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
 
 
-@pytest.fixture()
-def small(monkeypatch):
-    """Few known words, so that both ways of scoring a word are met; keeps the model."""
+@pytest.fixture(params=["arrays", "join"])
+def small(request, monkeypatch):
+    """Few known words, so that both ways of scoring a word are met; small chunks;
+    keeps the model."""
     kept = {}
+    monkeypatch.setattr(brown, "CHUNK", 500)
+    if request.param == "join":
+        monkeypatch.setattr(brown, "LISTED", 0)
     monkeypatch.setattr(brown, "KNOWN", 12)
     monkeypatch.setattr(brown, "UNITS", 8)
-    real = brown.fit
-    monkeypatch.setattr(brown, "fit", lambda training: kept.setdefault("lm", real(training)))
+    real = brown.fit_chunks
+    monkeypatch.setattr(brown, "fit_chunks", lambda chunks: kept.setdefault("lm", real(chunks)))
     return kept
 
 
@@ -173,10 +177,11 @@ def test_packed_lists_hold_every_neighbour(spark, docs):
         for v, w in zip([brown.word_id(brown.END), *words], words):
             want[v, w] = want.get((v, w), 0) + 1
     ids = np.array(sorted({i for pair in want for i in pair}), np.int64)
-    lists = brown.neighbour_lists(docs.select("text"), ids, 100_000_000)
+    chunks = brown.tokenised(docs.selectExpr("CAST(NULL AS string) AS id", "text", "false AS held_out"))
+    width = brown.list_width(len(ids), 100_000_000)
+    lists = brown.neighbour_lists(chunks, ids, width)
     v, got, blocks = len(ids), {}, lists.collect()
     assert len(blocks) > 3
-    width = -(-v // max(1, -(-v // brown.BLOCK_WORDS), -(-200_000_000 // brown.BLOCK_ENTRIES)))
     for r in blocks:
         for word, slot, n in zip(*brown._unpack(r["lists"])):
             word += r["block"] * width
