@@ -52,7 +52,6 @@ table; only the id and text columns are read, so further columns cannot clash.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -61,6 +60,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,7 +110,11 @@ def shape(word: bytes) -> int:
 
 def word_id(word: bytes) -> int:
     """The 64-bit hash that stands for a word in the bigram table."""
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+    return int(word_ids([word])[0])
+
+
+def word_ids(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
 @dataclass
@@ -138,7 +142,7 @@ class Chunk:
         return np.repeat(~self.held, self.sizes)
 
     def hashes(self) -> np.ndarray:
-        return np.fromiter(map(word_id, self.words), np.int64, len(self.words))
+        return word_ids(self.words)
 
 
 _CHUNK = "ids array<string>, held array<boolean>, words binary, codes binary"
@@ -197,7 +201,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = [c.words[i] for i in have]
         yield pa.RecordBatch.from_arrays(
             [pa.array([w.decode("utf-8") for w in words], pa.string()),
-             pa.array(np.fromiter(map(word_id, words), np.int64, len(words))),
+             pa.array(word_ids(words)),
              pa.array(n[have].astype(np.int64))], names=["word", "id", "n"])
 
 
