@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 
 import pandas as pd
 import zstandard
@@ -124,6 +125,24 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+class Regions:
+    """The union of some spans, to ask in logarithmic time whether one touches it."""
+
+    def __init__(self, spans: list[tuple]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b, *_ in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(b, self.ends[-1])
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def touch(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, b)  # the first that begins at or after the end
+        return i > 0 and self.ends[i - 1] > a
+
+
 def _private_keys(text: str) -> list[tuple[int, int]]:
     """(start, end) of what stands between BEGIN ... PRIVATE KEY and END."""
     found, m = [], _KEY_BEGIN.search(text)
@@ -137,7 +156,7 @@ def _private_keys(text: str) -> list[tuple[int, int]]:
 
 
 def _tails(text: str, keys: list[tuple[int, int]], found: list[tuple[int, int, str]],
-           taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+           taken: Regions) -> list[tuple[int, int, str]]:
     """Runs in private keys that are too short to be candidates, right after found spans."""
     ends, tails = {e for _, e, _ in found}, []
     for s, e in keys:
@@ -148,7 +167,7 @@ def _tails(text: str, keys: list[tuple[int, int]], found: list[tuple[int, int, s
                 last = b
             elif last is not None and b - a < 16 and not text[last:a].strip("\\ \t\r\n") \
                     and not (text[a - 1] == "\\" and m.group() in ("n", "r")) \
-                    and not any(x < b and a < y for x, y, _ in taken):
+                    and not taken.touch(a, b):
                 tails.append((a, b, "novel"))
                 last = b
     return tails
@@ -161,17 +180,18 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]],
     them out, so that a repeated secret is found at each place."""
     found, last = [], None
     keys = _private_keys(text) if "PRIVATE KEY" in text else []
+    in_keys, base = Regions(keys), Regions(taken)
     for m in _CANDIDATE.finditer(text):
         run = m.group()
         a, b = m.span()
         if not (_CONTEXT.search(text[max(0, a - _REACH):a])
                 or last is not None and _JOINT.fullmatch(text, last, a)
-                or any(s < b and a < e for s, e in keys)):
+                or in_keys.touch(a, b)):
             continue
         last = b
         if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
             continue
-        if any(s < b and a < e for s, e, _ in taken):
+        if base.touch(a, b):
             continue
         before, after = text[max(0, a - AROUND):a], text[b:b + AROUND]
         if not copies:
@@ -179,7 +199,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]],
         around = before + after
         if is_novel(run, around):
             found.append((a, b, "novel"))
-    return sorted(found + _tails(text, keys, found, taken))
+    return sorted(found + _tails(text, keys, found, base))
 
 
 def scan_text(text: str | None) -> list[tuple[int, int, str]]:

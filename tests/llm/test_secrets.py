@@ -130,3 +130,27 @@ def test_random_strings_of_small_alphabets():
     # repeats and runs of words in the same alphabets are not random
     for run in ("DEADBEEF00" * 12, "AB12" * 30, "A" * 99 + "2", "the-session-of-the-client-2-" * 8):
         assert not secrets.scan_text(f"the session {run} ends")
+
+
+def test_long_texts_full_of_spans_take_linear_time():
+    """A log of hashes, and one of hashes that each stand in a sensitive context."""
+    import time
+    rng = random.Random(3)
+    plain = "\n".join(f"{i} sha {rng.getrandbits(256):064x} ok" for i in range(60_000))
+    t0 = time.perf_counter()
+    assert len(secrets.scan_text(plain)) == 60_000  # 5 MB
+    assert time.perf_counter() - t0 < 20
+    marked = "\n".join(f"token {rng.getrandbits(256):064x} ok" for _ in range(20_000))
+    t0 = time.perf_counter()
+    assert len(secrets.scan_text(marked)) == 20_000
+    assert time.perf_counter() - t0 < 20
+
+
+def test_regions():
+    rng = random.Random(6)
+    for _ in range(300):
+        spans = [(a, a + rng.randint(1, 9), "x") for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 6)))]
+        union = secrets.Regions(spans)
+        for a in range(70):
+            for b in (a + 1, a + 4):
+                assert union.touch(a, b) == any(s < b and a < e for s, e, _ in spans)
