@@ -21,10 +21,12 @@ from starbi.operators.digest import column_digests, md5_number, verify_tables
 from starbi.plans import analysis as A
 from starbi.plans import oracle_sql as O
 from starbi.plans import lookups, page
+from starbi.plans.pipeline import open_star, publish_star
 from starbi.plans.star import Star, build_star, star_for
-from starbi.plans.sql import catalog_inventory, register_views
+from starbi.plans.sql import ask, catalog_inventory, register_views
 from starbi.schemas import RAW_FILES
 from starbi.session import checkpoint_dir, remove_at_exit
+from starbi.sources.publish import current
 from starbi.sources.readers import audit_raw_numbers, load_raw_csv, load_star
 from starbi.sources.testdata import load_raw_from_testdata, raw_as_text, raw_csv_tables
 from starbi.sources.writers import write_csv, write_star_csv, write_star_table
@@ -97,6 +99,20 @@ def _from_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-3: a version of the star built and published; rows and hash of each table of
+    the version that readers open."""
+    path = _folder(spark, "published")
+    publish_star(spark, load_raw_from_testdata(spark, sf_dir), path, "v1", md5_number)
+    _, _, manifest = current(spark, path)
+    star = open_star(spark, path)
+    parts = [column_digests(star[n], _KEYS[n], 1, md5_number).agg(
+        F.max("linhas").alias("linhas"), F.sum("resumo").cast("string").alias("resumo"))
+        .select(F.lit(n).alias("tabela"), "*", F.lit(manifest[n]["rows"]).cast("long").alias("linhas_manifesto"))
+        for n in star.tables()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 # name -> (function of the star, oracle SQL or None)
 _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
     "etl_dim_customer": (lambda s: s.dim_customer, O._etl("dim_customer")),
@@ -164,6 +180,11 @@ _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
                             O.lookup("seller_id", LOOKUP["seller_id"])),
     "lookup_customer_items": (partial(lookups.items_of, customer_id=LOOKUP["customer_id"]),
                               O.lookup("customer_id", LOOKUP["customer_id"])),
+    "sql_q01_overview": (partial(ask, question="q01_overview"), O.Q01),
+    "sql_q02_monthly_mom": (partial(ask, question="q02_monthly_mom"), O.Q02),
+    "sql_q04_pareto": (partial(ask, question="q04_pareto"), O.Q04),
+    "sql_q06_logistics_by_state": (partial(ask, question="q06_logistics_by_state", min_orders=200),
+                                   O.q06_logistics_by_state(200)),
     "audit_schema": (quality.audit_schema, O.AUDIT_SCHEMA),
     "catalog_inventory": (lambda s: _catalog(s), O.TABLE_INVENTORY),
     "io_csv_roundtrip": (lambda s: _through_csv(s), O.round_trip(O.PRELUDE)),
@@ -176,6 +197,7 @@ _SPEC: dict[str, tuple[Callable[[Star], DataFrame], str | None]] = {
 
 # audits over the raw tables: (spark, sf_dir) -> DataFrame, oracle SQL
 _RAW_SPEC: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
+    "publish_star": (_published, O.PUBLISHED),
     "etl_from_raw_csv": (_from_raw_csv, O.digests(O.WHOLE_SECONDS)),
     "audit_dropped_items": (
         lambda spark, sf: quality.audit_dropped_items(load_raw_from_testdata(spark, sf)["items"],

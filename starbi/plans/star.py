@@ -172,18 +172,27 @@ def _table_name(tag: str, name: str) -> str:
 
 
 def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
-                     buckets: int | None = None, tag: str = "star") -> Star:
+                     buckets: int | None = None, tag: str = "star", journal=None) -> Star:
     """Run the ETL and persist the star under ``path`` (optionally with the
     two order-grain tables bucketed by ``order_id``); return the star read
-    back from storage."""
+    back from storage.  With a ``journal`` (:mod:`starbi.sources.publish`)
+    tables that it holds are taken as they are, and the others are entered."""
     # Independent tables are written by concurrent jobs (Spark schedules
     # their tasks side by side).  dim_order comes first in its wave; the
     # fact and the calendar are derived from the written copy (it has three
     # consumers), and the order summary from the written fact.
     out: dict[str, DataFrame] = {}
 
+    def journaled(name, write):
+        table = journal.read(name) if journal is not None else None
+        if table is None:
+            describe_jobs(spark, f"star build: {name}")
+            table = write()
+            if journal is not None:
+                journal.finish(name, table)
+        return table
+
     def put(name, build):
-        describe_jobs(spark, f"star build: {name}")
         b = buckets if name in BUCKETED else None
         if name == "fact_order_items" and not b:
             # one folder per month, rows of an order side by side; the month is
@@ -192,14 +201,14 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
             month = F.concat_ws("-", F.substring(F.col("date_key").cast("string"), 1, 4),
                                 F.substring(F.col("date_key").cast("string"), 5, 2))
             # an order that holds a large share of the items is cut by item and row
-            out["fact_by_month"] = write_clustered(
+            out["fact_by_month"] = journaled(name, lambda: write_clustered(
                 spark, fact.withColumn(FACT_FOLDER, month), f"{path}/{name}",
                 partition_by=FACT_FOLDER, cluster_by=("order_id",),
-                unique_key=["order_item_id", F.xxhash64(*fact.columns)])
+                unique_key=["order_item_id", F.xxhash64(*fact.columns)]))
             out[name] = out["fact_by_month"].select(*fact.columns)
             return
-        out[name] = write_star_table(spark, build(), f"{path}/{name}", _table_name(tag, name),
-                                     buckets=b, bucket_key=BUCKET_KEY)
+        out[name] = journaled(name, lambda: write_star_table(
+            spark, build(), f"{path}/{name}", _table_name(tag, name), buckets=b, bucket_key=BUCKET_KEY))
 
     def wave(jobs):
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
@@ -217,22 +226,19 @@ def materialize_star(spark: SparkSession, raw: dict[str, DataFrame], path: str,
     wave([("fact_order_items", lambda: etl.build_fact(raw["items"], out["dim_order"])),
           ("dim_date", lambda: etl.build_dim_date(out["dim_order"].select("purchase_date")))])
     # the item-grain join once, written; the other summaries reduce it
-    describe_jobs(spark, "star build: item_totals")
-    items = write_star_table(spark, derive_item_totals(out["fact_order_items"], out["dim_order"]),
-                             f"{path}/item_totals")
+    items = journaled("item_totals", lambda: write_star_table(
+        spark, derive_item_totals(out["fact_order_items"], out["dim_order"]), f"{path}/item_totals"))
     aux: dict[str, DataFrame] = {"item_totals": items}
 
     def put_order_totals():
         # one folder per month (month-range reports prune folders), rows
         # clustered by status inside each file
-        describe_jobs(spark, "star build: order_totals")
-        aux["order_totals"] = write_clustered(
+        aux["order_totals"] = journaled("order_totals", lambda: write_clustered(
             spark, derive_order_totals(items, out["dim_date"]), f"{path}/order_totals",
-            partition_by="year_month", cluster_by=("order_status",), unique_key="order_id")
+            partition_by="year_month", cluster_by=("order_status",), unique_key="order_id"))
 
     def put_summary(name, df):
-        describe_jobs(spark, f"star build: {name}")
-        aux[name] = write_star_table(spark, df, f"{path}/{name}")
+        aux[name] = journaled(name, lambda: write_star_table(spark, df, f"{path}/{name}"))
 
     with ThreadPoolExecutor(max_workers=3) as pool:
         for f in [pool.submit(put_order_totals),
