@@ -12,9 +12,14 @@ the assistant's words and the end marker after them.
 A rendered dialogue is cut, between messages, into parts: part k holds the
 messages that start in characters [k * part_chars, (k + 1) * part_chars), so a
 conversation of any length is kept whole and no group outgrows a part and one
-message.  Ordinary conversations are one part.  Character offsets come from
-running sums inside contiguous ranges of the sorted turns plus the sums of the
-ranges before, so a conversation with a third of all rows is spread over tasks.
+message.  Ordinary conversations are one part.  ``part_chars=None`` gives whole renderings, however long.
+
+A text is moved once.  Conversations that one part holds in every view (known from
+sums of lengths, which move no text) are gathered by id, and their views are built
+from the gathered row.  The others go a longer way: character offsets come from
+running sums of lengths inside contiguous ranges of the sorted turns plus the sums of
+the ranges before, so a conversation with a third of all rows is spread over tasks;
+texts join their places last and meet in their parts.
 
 Order: turn (nulls first), then speaker, then text; equal rows are all rendered.
 Cases: a null role is the participant ``unknown``; a null text is empty; a
@@ -37,37 +42,67 @@ SYSTEM = "system"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
-def _header(speaker: str, view: str) -> Column:
-    s = F.col(speaker)
-    name = F.regexp_replace(s, "[^A-Za-z0-9_-]", "_")
-    who = (F.when(s == SYSTEM, F.lit("system")).when(s == F.col(view), F.lit("assistant"))
+#: ids of long conversations that are broadcast; more are joined
+BROADCAST_IDS = 100_000
+
+
+def _header(speaker: Column, view: Column) -> Column:
+    name = F.regexp_replace(speaker, "[^A-Za-z0-9_-]", "_")
+    who = (F.when(speaker == SYSTEM, F.lit("system")).when(speaker == view, F.lit("assistant"))
            .otherwise(F.concat(F.lit("user name="), name)))
     return F.concat(F.lit(OPEN), who, F.lit("\n"))
 
 
-def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
-                 role_col: str = "role", text_col: str = "text",
-                 part_chars: int = PART_CHARS) -> DataFrame:
-    """(conv_id, speaker, part, n_turns, text, masks) of every participant's
-    rendering; masks: array<struct<start, end>> of characters of that part."""
-    rows = turns.select(
-        F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
-        F.coalesce(F.col(role_col), F.lit("unknown")).alias("speaker"),
-        F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("<|im_"), F.lit("<\\|im_"))
-        .alias("text"),
-        F.monotonically_increasing_id().alias("nth"))
+def _rendered(messages: Column, view: Column) -> Column:
+    """Struct (text, masks) of a conversation's messages in order, seen by ``view``."""
+    lines = F.transform(messages, lambda m: F.struct(
+        _header(m["speaker"], view).alias("head"), F.concat(m["text"], F.lit(CLOSE + "\n")).alias("body"),
+        (m["speaker"] == view).alias("learn")))
+
+    def add(so_far: Column, line: Column) -> Column:
+        start = so_far["at"] + F.char_length(line["head"])
+        end = start + F.char_length(line["body"])
+        mask = F.array(F.struct(start.cast("long").alias("start"), (end - 1).cast("long").alias("end")))
+        return F.struct(end.alias("at"), F.when(line["learn"], F.concat(so_far["masks"], mask))
+                        .otherwise(so_far["masks"]).alias("masks"))
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("masks"))
+
+    # bound once, so that the lines are not built again for each use
+    def both(line_list: Column) -> Column:
+        return F.struct(
+            F.array_join(F.transform(line_list, lambda x: F.concat(x["head"], x["body"])), "").alias("text"),
+            F.aggregate(line_list, nothing, add)["masks"].alias("masks"))
+    return F.get(F.transform(F.array(lines), both), 0)
+
+
+def _short(rows: DataFrame) -> DataFrame:
+    """Conversations that one part holds: gathered by id, every view from one row."""
+    talks = rows.groupBy("conv").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("m"))
+    speakers = F.array_distinct(F.transform("m", lambda x: x["speaker"]))
+    views = talks.select("conv", "m", F.explode(F.filter(speakers, lambda x: x != SYSTEM)).alias("view"))
+    return views.select("conv", "view", F.lit(0).cast("long").alias("part"),
+                        F.size("m").cast("long").alias("n_turns"),
+                        _rendered(F.col("m"), F.col("view")).alias("r")) \
+        .select("conv", "view", "part", "n_turns", "r.text", "r.masks")
+
+
+def _long(rows: DataFrame, part_chars: int) -> DataFrame:
+    """Conversations over several parts: places are worked out without the texts."""
     order = ["turn", "speaker", "text", "nth"]
     # contiguous ranges of the whole order; a hot conversation spans many
-    ranged = stored(rows.repartitionByRange("conv", *order)
-                    .withColumn("block", F.spark_partition_id()), "chat-turns")
-    views = (ranged.where(F.col("speaker") != SYSTEM).groupBy("conv", "speaker").count()
+    ranged = stored(rows.withColumn("nth", F.monotonically_increasing_id())
+                    .repartitionByRange("conv", *order).sortWithinPartitions("conv", *order)
+                    .withColumn("block", F.spark_partition_id())
+                    .withColumn("pos", F.monotonically_increasing_id()), "chat-turns")
+    light = ranged.select("conv", "speaker", "block", "pos", F.char_length("text").alias("length"))
+    views = (light.where(F.col("speaker") != SYSTEM).groupBy("conv", "speaker").count()
              .select(F.col("conv").alias("c1"), F.col("speaker").alias("view")))
-    body = F.concat("text", F.lit(CLOSE))
-    said = (ranged.join(views, F.col("conv").eqNullSafe(F.col("c1")))
-            .select("conv", "view", *order, "block", "speaker",
-                    _header("speaker", "view").alias("head"))
-            .withColumn("chars", F.char_length("head") + F.char_length(body) + 1))
-    in_block = (Window.partitionBy("conv", "view", "block").orderBy(*order)
+    head = F.char_length(_header(F.col("speaker"), F.col("view")))
+    said = (light.join(views, F.col("conv").eqNullSafe(F.col("c1")))
+            .select("conv", "view", "block", "pos",
+                    (head + F.col("length") + len(CLOSE) + 1).alias("chars")))
+    in_block = (Window.partitionBy("conv", "view", "block").orderBy("pos")
                 .rowsBetween(Window.unboundedPreceding, -1))
     placed = said.withColumn("at", F.coalesce(F.sum("chars").over(in_block), F.lit(0)))
     # what the blocks before hold: one row per conversation, view and block
@@ -78,25 +113,49 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                .select(F.col("conv").alias("c2"), F.col("view").alias("v2"),
                        F.col("block").alias("b2"), "before"))
     start = F.coalesce("before", F.lit(0)) + F.col("at")
-    whole = placed.join(offsets, F.col("conv").eqNullSafe(F.col("c2"))
-                        & (F.col("view") == F.col("v2")) & (F.col("block") == F.col("b2")), "left")
-    whole = whole.select("conv", "view", start.alias("start"),
-                         (F.col("speaker") == F.col("view")).alias("learn"),
-                         F.concat("head", body, F.lit("\n")).alias("message"),
-                         F.char_length("head").alias("skip"), "chars")
-    part = F.floor(F.col("start") / part_chars)
-    parts = whole.groupBy("conv", "view", part.alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "message", "skip", "chars", "learn")))
-        .alias("m"))
-    first = F.col("m")[0]["start"]
-    masks = F.transform(F.filter("m", lambda x: x["learn"]), lambda x: F.struct(
-        (x["start"] - first + x["skip"]).alias("start"),
-        (x["start"] - first + x["chars"] - 1).alias("end")))
-    return parts.select(
-        F.col("conv").alias(conv_col), F.col("view").alias("speaker"), "part",
-        F.size("m").cast("long").alias("n_turns"),
-        F.array_join(F.transform("m", lambda x: x["message"]), "").alias("text"),
-        masks.alias("masks"))
+    # a message's places in all views: one row per message meets its text
+    places = (placed.join(offsets, F.col("conv").eqNullSafe(F.col("c2"))
+                          & (F.col("view") == F.col("v2")) & (F.col("block") == F.col("b2")), "left")
+              .groupBy("pos").agg(F.collect_list(F.struct("view", start.alias("start"))).alias("places")))
+    whole = (ranged.select("conv", "pos", "speaker", "text").join(places, "pos")
+             .select("conv", "speaker", "text", F.explode("places").alias("p"))
+             .select("conv", F.col("p.view").alias("view"), F.col("p.start").alias("start"),
+                     F.struct(F.col("p.start").alias("start"), "speaker", "text").alias("message")))
+    parts = whole.groupBy("conv", "view", F.floor(F.col("start") / part_chars).alias("part")).agg(
+        F.sort_array(F.collect_list("message")).alias("m"))
+    return parts.select("conv", "view", "part", F.size("m").cast("long").alias("n_turns"),
+                        _rendered(F.col("m"), F.col("view")).alias("r")) \
+        .select("conv", "view", "part", "n_turns", "r.text", "r.masks")
+
+
+def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
+                 role_col: str = "role", text_col: str = "text",
+                 part_chars: int | None = PART_CHARS) -> DataFrame:
+    """(conv_id, speaker, part, n_turns, text, masks) of every participant's
+    rendering; masks: array<struct<start, end>> of characters of that part."""
+    rows = turns.select(
+        F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
+        F.coalesce(F.col(role_col), F.lit("unknown")).alias("speaker"),
+        F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("<|im_"), F.lit("<\\|im_"))
+        .alias("text"))
+    if part_chars is None:
+        out = _short(rows)
+    else:
+        # no view's rendering of a message is longer
+        most = F.char_length("text") + F.char_length("speaker") + len(f"{OPEN}user name=\n{CLOSE}\n")
+        sizes = rows.select("conv", most.alias("most")).groupBy("conv").agg(F.sum("most").alias("most"))
+        long = stored(sizes.where(F.col("most") > part_chars).select(F.col("conv").alias("c0"),
+                                                                     F.lit(True).alias("is_long")), "chat-long")
+        many = long.count()
+        if many:
+            ids = F.broadcast(long) if many <= BROADCAST_IDS else long
+            same = F.col("conv").eqNullSafe(F.col("c0"))
+            out = _short(rows.join(ids, same, "left_anti")).unionByName(
+                _long(rows.join(ids, same, "left_semi"), part_chars))
+        else:
+            out = _short(rows)
+    return out.select(F.col("conv").alias(conv_col), F.col("view").alias("speaker"), "part", "n_turns",
+                      "text", "masks")
 
 
 def mask_text(masks: Column) -> Column:

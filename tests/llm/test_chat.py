@@ -51,6 +51,30 @@ def test_against_brute_force(spark):
     more = turns.select("*", *[F.lit("x").alias(c) for c in ("speaker", "view", "block", "nth", "part")])
     assert rows_of(more, 1 << 16) == brute(TURNS, 1 << 16)
     assert chat.perspectives(turns.limit(0)).count() == 0
+    assert rows_of(turns, None) == brute(TURNS, 1 << 40)
+
+
+def test_many_long_conversations_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BROADCAST_IDS", 0)
+    assert rows_of(spark.createDataFrame(TURNS, SCHEMA), 500) == brute(TURNS, 500)
+
+
+def test_a_conversation_with_a_third_of_the_rows(spark):
+    """It is cut over tasks, and its parts are those of the whole."""
+    hot = [(99, i, ["ann", "bob", "system"][i % 3], f"{i} " + "x" * (i % 40)) for i in range(3_000)]
+    rest = [(i % 1_500, i, "user" if i % 2 else "assistant", f"says {i}") for i in range(6_000)]
+    turns = spark.createDataFrame(hot + rest, SCHEMA).repartition(9)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = chat.perspectives(turns, part_chars=4_096)
+        got = ordered(rows.withColumn("masks", chat.mask_text(F.col("masks"))).collect())
+        per_task = rows.where("conv_id = 99").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == brute(hot + rest, 4_096)
+    assert len(per_task) > 3
 
 
 def test_masks_cover_the_assistants_words(spark):
