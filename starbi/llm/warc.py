@@ -30,6 +30,8 @@ REVISIT_BYTES = 1000
 #: the crawl's date is a parameter: the table has none
 DATE = "2024-01-01T00:00:00Z"
 _EOL = "\r\n"
+#: fixed value: the profile of revisits that have their response's payload
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _line(name: str, value: Column) -> Column:
@@ -37,39 +39,47 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(_EOL)), F.lit(""))
 
 
+def _record_name(id_: Column, url: Column, address: Column) -> Column:
+    """A record's URI, from its id, its address and its payload's: rows that differ in
+    any of them have records of different names."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(id_.cast("string"), F.lit("")), F.lit(":"),
+                    F.lower(F.hex(F.xxhash64(url))), F.lit(":"), address, F.lit(">"))
+
+
 def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                   body_col: str = "html", date: str = DATE) -> tuple[DataFrame, DataFrame]:
     """The stored tables (headers, blobs) of one record per row."""
     payload = F.coalesce(F.col(body_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                         payload.alias("payload"), F.sha2(payload, 256).alias("address"))
+    rows = rows.withColumn("named", _record_name(F.col("id"), F.col("url"), F.col("address")))
     # copies collapse in each task before the shuffle
-    each = rows.select("id", "address", "payload", F.sha1("payload").alias("sha1"),
+    each = rows.select("id", "named", "address", "payload", F.sha1("payload").alias("sha1"),
                        F.octet_length("payload").cast("long").alias("bytes"))
     blobs = each.groupBy("address").agg(
         F.first("payload").alias("payload"), F.min("sha1").alias("sha1"),
         F.max("sha1").alias("sha1b"), F.min("bytes").alias("bytes"),
-        F.max("bytes").alias("bytesb"), F.max("id").alias("newest"))
+        F.max("bytes").alias("bytesb"), F.max("id").alias("newest"),
+        F.max(F.when(F.col("id").isNotNull(), F.struct("id", "named"))).alias("response"))
     agree = (F.col("sha1") == F.col("sha1b")) & (F.col("bytes") == F.col("bytesb"))
     blobs = stored(blobs.select(
         F.when(agree, F.col("address")).otherwise(F.raise_error("two payloads share an address"))
-        .alias("address"), "payload", "sha1", "bytes", "newest"), "warc-blobs")
-    meta = rows.select("id", "url", "address").join(
-        blobs.select("address", "sha1", "bytes", "newest"), "address")
+        .alias("address"), "payload", "sha1", "bytes", "newest",
+        F.col("response.named").alias("response")), "warc-blobs")
+    meta = rows.select("id", "url", "named", "address").join(
+        blobs.select("address", "sha1", "bytes", "newest", "response"), "address")
     revisit = (F.col("bytes") >= REVISIT_BYTES) & F.col("newest").isNotNull() \
         & ~F.col("id").eqNullSafe(F.col("newest"))
     uri = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-
-    def urn(col):
-        return F.concat(F.lit("<urn:page:"), F.col(col).cast("string"), F.lit(">"))
     header = F.concat(
         F.lit(f"WARC/1.1{_EOL}"),
         _line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        _line("WARC-Record-ID", urn("id")),
+        _line("WARC-Record-ID", F.col("named")),
         _line("WARC-Date", F.lit(date)),
         _line("WARC-Target-URI", uri),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "sha1")),
-        _line("WARC-Refers-To", F.when(revisit, urn("newest"))),
+        _line("WARC-Profile", F.when(revisit, F.lit(REVISIT_PROFILE))),
+        _line("WARC-Refers-To", F.when(revisit, F.col("response"))),
         _line("Content-Type", F.lit("text/html; charset=utf-8")),
         _line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("bytes")).cast("string")),
         F.lit(_EOL))
@@ -120,7 +130,7 @@ def read_archive(headers: DataFrame, blobs: DataFrame, id_col: str = "page_id")
     rows = rows.select("id", "head", "record_type", F.octet_length("payload").cast("long")
                        .alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
     matches = _field("WARC-Payload-Digest", "head") == F.concat(F.lit("sha1:"), "payload_digest")
-    refers = F.regexp_extract(_field("WARC-Refers-To", "head"), "<urn:page:(.*)>", 1)
+    refers = F.regexp_extract(_field("WARC-Refers-To", "head"), "<urn:page:(.*):[0-9a-f]*:[0-9a-f]*>", 1)
     return rows.select(
         F.col("id").alias(id_col), "payload_bytes",
         F.when(matches, F.col("payload_digest"))

@@ -64,3 +64,32 @@ def test_a_record_of_another_length_is_found(spark):
                                                  F.lit("Content-Length: 998")))
     with pytest.raises(Exception, match="not as long as its header says"):
         warc.read_archive(bad, blobs).collect()
+
+
+def test_record_names_and_profiles(spark):
+    """Every record is named, rows that differ are named apart, and a revisit has the
+    profile and names the record of its response."""
+    pages = spark.createDataFrame(PAGES, SCHEMA)
+    heads = [(r.id, r.header) for r in warc.write_archive(pages)[0].collect()]
+    def field(h, name):
+        found = [x.split(": ", 1)[1] for x in h.split("\r\n") if x.startswith(name + ": ")]
+        assert len(found) <= 1
+        return found[0] if found else None
+    names = [field(h, "WARC-Record-ID") for _, h in heads]
+    assert all(n.startswith("<urn:") and n.endswith(">") for n in names)
+    assert len(set(names)) == len(set(PAGES))
+    responses = {field(h, "WARC-Record-ID"): i for i, h in heads if field(h, "WARC-Type") == "response"}
+    revisits = [(i, h) for i, h in heads if field(h, "WARC-Type") == "revisit"]
+    assert revisits
+    for i, h in revisits:
+        assert field(h, "WARC-Profile") == warc.REVISIT_PROFILE
+        assert responses[field(h, "WARC-Refers-To")] is not None
+    assert all(field(h, "WARC-Profile") is None for _, h in heads if field(h, "WARC-Type") == "response")
+
+
+def test_a_payload_that_a_third_of_the_rows_share(spark):
+    pages = [(i, f"u{i}", "z" * 1_500 if i % 3 == 0 else f"{i} " * 300) for i in range(1_500)]
+    df = spark.createDataFrame(pages, SCHEMA).repartition(8)
+    headers, blobs = warc.write_archive(df)
+    assert blobs.count() == 1_001
+    assert ordered(warc.read_archive(headers, blobs).collect()) == brute(pages)
