@@ -53,11 +53,15 @@ best AS (
   SELECT page.*, (
     SELECT arg_max(struct_pack(r := h || p, v := v), length(h || p)) FROM rule
     WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS b
-  FROM page)
+  FROM page),
+listed AS (
+  SELECT host FROM best GROUP BY host
+  HAVING 10 * count(*) FILTER (b.v = 'block') >= count(*)
+      OR list_has_any(string_split_regex(host, '[.-]'),
+                      ['ads', 'adult', 'bets', 'casino', 'pills', 'spam']))
 SELECT page_id, host, path, b.r AS rule,
-       coalesce(b.v, CASE WHEN list_has_any(string_split_regex(host, '[.-]'),
-                ['ads', 'adult', 'bets', 'casino', 'pills', 'spam'])
-                THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(b.v, CASE WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END)
+         AS verdict
 FROM best
 """
 

@@ -15,6 +15,8 @@ from starbi.llm.common import read_table
 
 #: parts of host labels that put a host on the block list
 BLOCKED_HOST_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
+#: percent of a host's pages blocked by rules from which it is on the list
+BLOCKED_SHARE = 10
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -29,11 +31,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hosts with one of the blocked words as a part of a label are listed."""
+    """Listed are the hosts of whose pages a tenth or more is blocked by a rule, and
+    those with one of the blocked words as a part of a label."""
     pages = read_table(spark, sf_dir, "pages")
-    words = "|".join(BLOCKED_HOST_WORDS)
-    listed = (pages.select(urlfilter.host(F.col("url")).alias("host")).distinct()
-              .where(F.col("host").rlike(f"(^|[.-])({words})([.-]|$)")))
+    listed = urlfilter.suspect_hosts(pages, BLOCKED_HOST_WORDS, BLOCKED_SHARE)
     return urlfilter.filter_urls(pages, listed).drop("listed")
 
 

@@ -9,8 +9,10 @@ the first level that it fails, which is exact for every key of the universe.
 The levels' bits become array literals of the filter expression, so judging a
 page is a projection: no join, no shuffle.
 
-The bits of all levels together are bounded by ``MAX_BITS``; a longer list (tens
-of millions of keys) is joined by its key instead, with the same result.
+The bits of all levels together are bounded by ``MAX_BITS``.  A longer list (tens of
+millions of keys) is split by a hash of the key into as many shards as that takes;
+each has its own cascade, and judges the pages of its keys by a projection of its own
+scan.
 
 Cases: a null url, or one without ``://``, has an empty host and path and fits no
 rule; the empty host is a key like any other; repeated rows are repeated; an
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import json
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,10 +99,10 @@ class BloomCascade:
             at = encode.select(F.explode(F.array(*cls._places(F.col("key"), level, bits))).alias("p"))
             # at most bits / 64 rows
             rows = (at.groupBy(F.floor(F.col("p") / 64).alias("w"))
-                    .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).collect())
+                    .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).toArrow())
             words = [0] * (bits // 64)
-            for row in rows:
-                words[row["w"]] = row["b"]
+            for w, b in zip(rows["w"].to_pylist(), rows["b"].to_pylist()):
+                words[w] = b
             levels.append((bits, words))
             wrong = stored(against.where(cls._passes(F.col("key"), level, bits, words)),
                            "cascade-level")
@@ -115,6 +118,28 @@ class BloomCascade:
         return F.coalesce(answer, F.lit(False))
 
 
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shards)).cast("int")
+
+
+def cascades(universe: DataFrame, max_bits: int = MAX_BITS) -> list[BloomCascade]:
+    """One cascade per shard of the keys, as few as keep each within ``max_bits``."""
+    universe = stored(universe.select("key", "listed"), "cascade-universe")
+    shards = 1
+    while True:
+        built = []
+        for i in range(shards):
+            cascade = BloomCascade.build(universe.where(shard_of(F.col("key"), shards) == i), max_bits)
+            if cascade is None:
+                break
+            built.append(cascade)
+        if len(built) == shards:
+            return built
+        if max_bits < 64 * HASHES:
+            raise ValueError(f"{max_bits} bits hold no cascade")
+        shards *= 2
+
+
 def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str = "page_id",
                 url_col: str = "url", max_bits: int = MAX_BITS) -> DataFrame:
     """(id, host, path, rule, verdict, listed) of every row.  ``listed`` has the
@@ -126,13 +151,24 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str =
     universe = (rows.groupBy(F.col("host").alias("key")).agg(F.lit(1).alias("one"))
                 .join(blocked, "key", "left")
                 .select("key", F.coalesce("found", F.lit(False)).alias("listed")))
-    cascade = BloomCascade.build(universe, max_bits)
-    if cascade is not None:
-        rows = rows.withColumn("listed", cascade.contains(F.col("host")))
-    else:
-        rows = (rows.join(blocked.withColumnRenamed("key", "host"), "host", "left")
-                .select(id_col, "host", "path", F.coalesce("found", F.lit(False)).alias("listed")))
+    shards = cascades(universe, max_bits)
+    parts = [(rows if len(shards) == 1 else rows.where(shard_of(F.col("host"), len(shards)) == i))
+             .withColumn("listed", cascade.contains(F.col("host"))) for i, cascade in enumerate(shards)]
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
     rule, verdict = rule_column(F.col("host"), F.col("path"), rules)
     return rows.select(id_col, "host", "path", rule.alias("rule"), F.coalesce(
         verdict, F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow")))
         .alias("verdict"), "listed")
+
+
+def suspect_hosts(pages: DataFrame, words: tuple[str, ...], share: int, rules=RULES,
+                  url_col: str = "url") -> DataFrame:
+    """A block list from the pages themselves (column host): hosts of whose pages at
+    least ``share`` percent are blocked by a rule, and hosts with one of ``words`` as a
+    part of a label."""
+    h, p = host(F.col(url_col)), path(F.col(url_col))
+    _, verdict = rule_column(h, p, rules)
+    per = pages.select(h.alias("host"), verdict.eqNullSafe("block").cast("long").alias("bad")) \
+        .groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+    named = F.col("host").rlike(f"(^|[.-])({'|'.join(words)})([.-]|$)")
+    return per.where((100 * F.col("bad") >= share * F.col("n")) | named).select("host")

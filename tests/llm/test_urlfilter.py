@@ -40,7 +40,7 @@ URLS = ["https://a.example.org/es/1", "https://EXAMPLE.org/en/12?x", "http://exa
         "http://bad.net", "http://BAD.net/x", "http://good.net/\n/y", "http://bad.net"]
 
 
-@pytest.mark.parametrize("max_bits", [urlfilter.MAX_BITS, 0])
+@pytest.mark.parametrize("max_bits", [urlfilter.MAX_BITS, 256])
 def test_rules_and_awkward_cases(spark, max_bits):
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(URLS)] + [(None, URLS[0], "", "")],
                                   "page_id long, url string, host string, verdict string")
@@ -55,3 +55,28 @@ def test_rules_and_awkward_cases(spark, max_bits):
     assert ordered(got.collect()) == ordered(want)
     assert urlfilter.filter_urls(pages.limit(0), listed).count() == 0
     assert urlfilter.filter_urls(pages, listed.limit(0)).where("listed").count() == 0
+
+
+def test_a_long_list_is_sharded(spark):
+    """Beyond the bound the keys are split over cascades, and no page is joined."""
+    rng = random.Random(2)
+    hosts = [f"h{i}.net" for i in range(400)]
+    bad = {h for h in hosts if rng.random() < 0.3}
+    pages = spark.createDataFrame([(i, f"http://{rng.choice(hosts)}/p") for i in range(900)],
+                                  "page_id long, url string")
+    listed = spark.createDataFrame([(h,) for h in bad], "host string")
+    got = urlfilter.filter_urls(pages, listed, max_bits=640)
+    assert {(r.host, r.listed) for r in got.collect()} == \
+        {(r.url[7:-2], r.url[7:-2] in bad) for r in pages.collect()} and got.count() == 900
+    assert "Join" not in got._jdf.queryExecution().toString()
+    assert got._jdf.queryExecution().toString().count("Union") > 0
+    with pytest.raises(ValueError, match="hold no cascade"):
+        urlfilter.filter_urls(pages, listed, max_bits=8)
+
+
+def test_suspect_hosts(spark):
+    urls = ["http://a.com/de/1"] + ["http://a.com/x"] * 9 + ["http://b.com/de/1"] + ["http://b.com/x"] * 10 \
+        + ["http://cheap-spam.net/", "http://spammy.net/", "http://c.org/de/", None]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r.host for r in urlfilter.suspect_hosts(pages, ("spam",), 10).collect()}
+    assert got == {"a.com", "cheap-spam.net"}
