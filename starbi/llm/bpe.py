@@ -387,6 +387,7 @@ class Tokenizer:
                         [*(part[c] for c in keep), pa.array(ids, pa.list_(pa.int32())),
                          pa.array(n, pa.int64()), pa.array(listed), pa.array(decoded)],
                         [*keep, "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+            _CODECS.clear()  # the worker may serve other stages next
         schema = rows.select(*keep).schema.add("ids", ArrayType(IntegerType())).add("n_tokens", "long") \
             .add("ids_sha256", "string").add("decoded_sha256", "string")
         return rows.mapInArrow(run, schema)
