@@ -18,7 +18,7 @@ from starbi.llm.oracle import ORACLE
 from starbi.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 
 def plain(df):
@@ -37,9 +37,9 @@ def test_query_matches_sql(spark, name):
     assert plain(got) == plain(want)
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     numbers = {int(m[1]) for k in E.queries() if (m := re.match(r"op(\d+)_", k))}
-    assert numbers == set(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.fixture(scope="module")
