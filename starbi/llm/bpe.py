@@ -41,9 +41,9 @@ from pyspark.sql.types import ArrayType, IntegerType
 from starbi.llm.common import workers_see_package
 
 #: bounds of what one Python worker keeps; they change speed only
-MAX_MOVES = 1_000_000
+MAX_MOVES = 750_000
 MAX_PAIRS = 300_000
-MAX_WORDS = 250_000
+MAX_WORDS = 125_000
 MEMO_CHARS = 48
 SLICE_ROWS = 128
 #: Places where a text may be cut before the pre-tokenizer pattern is applied,
@@ -387,7 +387,6 @@ class Tokenizer:
                         [*(part[c] for c in keep), pa.array(ids, pa.list_(pa.int32())),
                          pa.array(n, pa.int64()), pa.array(listed), pa.array(decoded)],
                         [*keep, "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
-            _CODECS.clear()  # the worker may serve other stages next
         schema = rows.select(*keep).schema.add("ids", ArrayType(IntegerType())).add("n_tokens", "long") \
             .add("ids_sha256", "string").add("decoded_sha256", "string")
         return rows.mapInArrow(run, schema)
