@@ -41,9 +41,12 @@ from pyspark.sql.types import ArrayType, IntegerType
 from starbi.llm.common import workers_see_package
 
 #: bounds of what one Python worker keeps; they change speed only
-MAX_MOVES = 750_000
+MAX_MOVES = 1_000_000
 MAX_PAIRS = 300_000
-MAX_WORDS = 125_000
+MAX_WORDS = 250_000
+#: the same where rows leave with their ids, in workers that other stages share
+ROW_MOVES = 750_000
+ROW_WORDS = 125_000
 MEMO_CHARS = 48
 SLICE_ROWS = 128
 #: Places where a text may be cut before the pre-tokenizer pattern is applied,
@@ -258,6 +261,7 @@ class Codec:
         self._decimal = [str(i) for i in range(size)]
         # ids of words seen lately, in two generations: a full one ages, and
         # words that come again move to the young one
+        self.max_words: int | None = None
         self._memo: dict[str, tuple[int, ...]] = {}
         self._aged: dict[str, tuple[int, ...]] = {}
 
@@ -280,7 +284,7 @@ class Codec:
         return ids
 
     def encode(self, text: str | None) -> list[int]:
-        if len(self._memo) >= MAX_WORDS:
+        if len(self._memo) >= (self.max_words or MAX_WORDS):
             self._memo, self._aged = {}, self._memo
         known, word = self._memo.get, self._word
         out: list[int] = []
@@ -374,6 +378,7 @@ class Tokenizer:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(data.value, *patterns)
+            codec.max_words, codec.machine.max_moves = ROW_WORDS, ROW_MOVES
             for batch in batches:
                 for i in range(0, len(batch), SLICE_ROWS):
                     part = batch.slice(i, SLICE_ROWS)
