@@ -69,8 +69,9 @@ class MergeTransducer:
 
     The vocabulary is a trie.  A state is the tuple of live boundaries, the
     farthest first: (trie node of the bytes read since the boundary, last token
-    before it).  A transition yields the next state and the one token that
-    ends at the new position.
+    before it).  The nearest boundary is the position just reached, so a state's
+    last entry is the one token that ends there, and a transition need only
+    yield the next state.
     """
 
     def __init__(self, ranks: dict[bytes, int], max_moves: int = MAX_MOVES):
@@ -101,8 +102,8 @@ class MergeTransducer:
         self._reset()
 
     def _reset(self) -> None:
-        # A state is the dictionary of its transitions: byte -> (next state,
-        # token); under LIVE it holds its tuple of live boundaries.
+        # A state is the dictionary of its transitions: byte -> next state;
+        # under LIVE it holds its tuple of live boundaries.
         self._start = {LIVE: (0, -1)}
         self._states = {(0, -1): self._start}
         self._count = 0  # transitions
@@ -148,7 +149,7 @@ class MergeTransducer:
             else:
                 until, y = y + 1, b[0]
 
-    def _move(self, state: dict, byte: int) -> tuple[dict, int]:
+    def _move(self, state: dict, byte: int) -> dict:
         """The transition of ``state`` on ``byte``: live boundaries whose bytes
         still begin a token stay, and the token that ends here opens a new one."""
         live, key, ending = state[LIVE], [], -1
@@ -175,21 +176,21 @@ class MergeTransducer:
         following = self._states.get(key)
         if following is None:
             following = self._states[key] = {LIVE: key}
-        move = state[byte] = (following, ending)
+        state[byte] = following
         self._count += 1
-        return move
+        return following
 
-    def _chain(self, ends: list[int], at: int) -> list[int]:
-        """Tokens that lead to position ``at``, from the last token of each prefix."""
+    def _chain(self, ends: list[dict], at: int) -> list[int]:
+        """Tokens that lead to position ``at``, from the state after each prefix."""
         out, width = [], self.width
         while at:
-            token = ends[at - 1]
+            token = ends[at - 1][LIVE][-1]
             out.append(token)
             at -= width[token]
         out.reverse()
         return out
 
-    def _decided(self, ends: list[int], state: dict) -> list[int]:
+    def _decided(self, ends: list[dict], state: dict) -> list[int]:
         """The tokens that the chains to all live boundaries share."""
         chains = [self._chain(ends, len(ends) - self._depth[node]) for node in state[LIVE][::2]]
         shared = 0
@@ -202,12 +203,12 @@ class MergeTransducer:
         if self._count > self.max_moves:
             self._reset()
         out: list[int] = []
-        ends: list[int] = []
+        ends: list[dict] = []
         state, move, put = self._start, self._move, ends.append
         for i in range(0, len(data), self.lookahead):
             for byte in data[i:i + self.lookahead]:
-                state, token = state.get(byte) or move(state, byte)
-                put(token)
+                state = state.get(byte) or move(state, byte)
+                put(state)
             if i + self.lookahead < len(data):
                 tokens = self._decided(ends, state)
                 out += tokens
