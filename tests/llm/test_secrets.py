@@ -154,3 +154,60 @@ def test_regions():
         for a in range(70):
             for b in (a + 1, a + 4):
                 assert union.touch(a, b) == any(s < b and a < e for s, e, _ in spans)
+
+
+def slow_novel(text):
+    """Spans of kind novel outside private keys, character by character and without
+    the operator's helpers (its constants are the definition)."""
+    import math
+
+    import zstandard
+    letters = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+    base = {i for a, e, _ in brute_base(text) for i in range(a, e)}
+
+    def size(data, primer=None):
+        how = {"dict_data": zstandard.ZstdCompressionDict(primer.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)} \
+            if primer else {}
+        packer = zstandard.ZstdCompressor(level=19, write_content_size=False, **how)
+        return len(packer.compress(data.encode())) - len(packer.compress(b""))
+
+    found, a, last = [], 0, None
+    while a < len(text):
+        b = a
+        while b < len(text) and text[b] in letters:
+            b += 1
+        run, at, a = text[a:b], a, max(b, a + 1)
+        if len(run) < 16:
+            continue
+        words = ("key", "auth", "bearer", "credential", "private", "pass", "pwd", "secret", "token", "session",
+                 "signature")
+        near = any(w in text[max(0, at - 48):at].lower() for w in words)
+        if not near and (last is None or set(text[last:at]) - set(". \t\r\n")):
+            continue
+        last = b
+        kinds = {"digit" if c.isdigit() else "letter" if c.isalpha() else "other" for c in run}
+        if not {"digit", "letter"} <= kinds or base & set(range(at, b)):
+            continue
+        wide = 512 + len(run) - 1
+        left = text[max(0, at - wide):at].replace(run, "")
+        right = text[b:b + wide].replace(run, "")
+        cost = size(run, secrets.IDENTIFIERS + "\n" + left[len(left) - min(512, at, len(left)):] + right[:512])
+        alphabet = min((x for x in secrets.ALPHABETS if set(run) <= x), key=len)
+        random_size = 0.95 * len(run) * math.log2(len(alphabet)) / 8
+        if cost >= 0.75 * len(run) or size(run) >= random_size and cost >= 0.75 * max(size(run), random_size):
+            found.append((at, b, "novel"))
+    return found
+
+
+def test_novel_spans_by_a_slow_version():
+    rng, hits = random.Random(11), 0
+    for _ in range(150):
+        keys = ["".join(rng.choice(rng.choice((BASE64, BASE64[:62]))) for _ in range(rng.randint(14, 90)))
+                for _ in range(3)]
+        keys += ["".join(rng.choice("0123456789ABCDEF") for _ in range(64)), "AB12" * 9, "client_id-2-client_id-2"]
+        pieces = [*keys, "session", "bearer ", "Key:", " ", ".", "\n", ", ", "token=", prose(rng, 12), prose(rng, 3)]
+        text = " ".join(rng.choice(pieces) + rng.choice(("", " ", ".")) for _ in range(rng.randint(1, 40)))
+        got = [s for s in secrets.scan_text(text) if s[2] == "novel"]
+        assert got == slow_novel(text)
+        hits += len(got)
+    assert hits > 100
