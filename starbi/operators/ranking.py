@@ -69,10 +69,10 @@ def sort_key_of(df: DataFrame, value: str, tiebreak: str, descending: bool) -> C
 
 
 def key_bounds(df: DataFrame, key: Column, tiebreak: str, sample_rows: int,
-               boundaries: int) -> tuple[list[tuple], Column | None]:
+               boundaries: int, rows: int | None = None) -> tuple[list[tuple], Column | None]:
     """Up to ``boundaries`` rising keys that cut the rows about evenly, from a hash
     sample of ids, and the same as a folded literal."""
-    every = max(1, df.count() // sample_rows)
+    every = max(1, (df.count() if rows is None else rows) // sample_rows)
     sampled = df.where(F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(every)) == 0) \
         .select(key.alias("k")).collect()
     ordered = sorted((tuple(r["k"]) for r in sampled), key=_sort_key)

@@ -36,6 +36,7 @@ from starbi.operators.ranking import BOUNDARIES, SAMPLE_ROWS, key_bounds, rank_i
 from starbi.session import checkpoint_dir
 
 _SUM = "decimal(38,{scale})"
+TASK_ROWS = 100_000  # rows that a task sorts, on average
 
 
 def _scale(df: DataFrame, column: str) -> int:
@@ -65,13 +66,19 @@ def ranked(df: DataFrame, value: str, tiebreak: str, descending: bool = False,
     checkpoint_dir(spark)
     base = df.checkpoint(eager=True)
     key = sort_key_of(base, value, tiebreak, descending)
+    rows = base.count()
     bounds, literal = key_bounds(base, key, tiebreak, SAMPLE_ROWS,
-                                 BOUNDARIES if boundaries is None else boundaries)
+                                 BOUNDARIES if boundaries is None else boundaries, rows)
     place = rank_in(key, literal, len(bounds)) if bounds else F.lit(0)
-    tagged = base.withColumn("_key", key).withColumn("_range", place)
-    at_value = F.struct(F.col("_key.a"), F.col("_key.v"))
+    # tasks of a bounded number of rows, whatever they compress to; the key in columns of
+    # its own, so that one sort serves the windows by row and by value
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // TASK_ROWS)
+    tagged = (base.withColumn("_key", key).withColumn("_range", place)
+              .select("*", F.col("_key.a").alias("_a"), F.col("_key.v").alias("_v")).drop("_key")
+              .repartition(max(1, tasks), "_range"))
+    at_value = F.struct(F.col("_a").alias("a"), F.col("_v").alias("v"))
     inside = Window.partitionBy("_range")
-    by_row, by_value = inside.orderBy("_key"), inside.orderBy(at_value)
+    by_row, by_value = inside.orderBy("_a", "_v", tiebreak), inside.orderBy("_a", "_v")
     through = by_value.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     kinds = {c: _SUM.format(scale=_scale(base, c)) for c in sums}
     scanned = tagged.select(
@@ -110,17 +117,19 @@ def ranked(df: DataFrame, value: str, tiebreak: str, descending: bool = False,
 def _carry(scanned: DataFrame, sums: Sequence[str], lags: Sequence[str]) -> list[dict]:
     """What comes before (and, for RANGE sums, after) each range: one entry per
     range, in order; ranges without rows are never looked up."""
-    at_value = F.struct(F.col("_key.a").alias("a"), F.col("_key.v").alias("v"))
     ends = scanned.groupBy("_range").agg(
         F.count(F.lit(1)).alias("n"), F.max("_dense").alias("dense"),
-        F.min(at_value).alias("first"), F.max(at_value).alias("last"),
+        *[pick(c, "_n").alias(f"{side}{c}") for side, pick in (("first", F.min_by), ("last", F.max_by))
+          for c in ("_a", "_v")],
         # rows of the first value have rank 1: its RANGE sum is that of the value
         F.max(F.when(F.col("_rank") == 1, F.col("_n"))).alias("on_first"),
         F.max("_rank").alias("last_begins"),
-        *[F.max_by(f"_sum_{c}", "_key").alias(f"sum_{c}") for c in sums],
-        *[F.min_by(f"_sum_{c}", "_key").alias(f"first_{c}") for c in sums],
-        *[F.max_by(F.struct(c), "_key")[c].alias(f"lag_{c}") for c in lags]) \
+        *[F.max_by(f"_sum_{c}", "_n").alias(f"sum_{c}") for c in sums],
+        *[F.min_by(f"_sum_{c}", "_n").alias(f"first_{c}") for c in sums],
+        *[F.max_by(c, "_n").alias(f"lag_{c}") for c in lags]) \
         .orderBy("_range").collect()  # at most BOUNDARIES + 1 rows
+    ends = [{**r.asDict(), **{side: {"a": r[f"{side}_a"], "v": r[f"{side}_v"]} for side in ("first", "last")}}
+            for r in ends]
     out: list[dict] = [{} for _ in range(max((r["_range"] for r in ends), default=-1) + 1)]
     n = dense = 0
     before, begins = None, None  # the range before, and the rank at which its last value begins
@@ -129,8 +138,8 @@ def _carry(scanned: DataFrame, sums: Sequence[str], lags: Sequence[str]) -> list
         tied = before is not None and before["last"] == r["first"]
         entry = out[r["_range"]]
         entry.update(n=n, rank=begins if tied else None, dense=dense - tied,
-                     first={k: _plain(v) for k, v in r["first"].asDict().items()},
-                     last={k: _plain(v) for k, v in r["last"].asDict().items()})
+                     first={k: _plain(v) for k, v in r["first"].items()},
+                     last={k: _plain(v) for k, v in r["last"].items()})
         for c in sums:
             entry[f"sum_{c}"] = str(total[c])
             total[c] += r[f"sum_{c}"] or 0

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from starbi.operators import scan
 from starbi.operators.scan import ranked
 from starbi.plans import analysis
 
@@ -76,3 +77,18 @@ def test_the_plan_has_no_single_task(spark, star_small):
 def test_inexact_sums_are_refused(spark):
     with pytest.raises(TypeError, match="exact"):
         ranked(spark.range(3).selectExpr("id", "id * 0.5D AS v"), "id", "id", sums=["v"])
+
+
+def test_one_sort_of_bounded_tasks_serves_all_windows(spark, monkeypatch):
+    df = spark.range(900).select("id", (F.col("id") % 7).alias("v"))
+    kept, checkpoint = [], type(df).checkpoint
+
+    def seen(self, eager=True):
+        kept.append(self)
+        return checkpoint(self, eager)
+    monkeypatch.setattr(type(df), "checkpoint", seen)
+    monkeypatch.setattr(scan, "TASK_ROWS", 30)
+    ranked(df, "v", "id", sums=["v"], lags=["v"])
+    plan = kept[-1]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Sort [") == 1
+    assert "hashpartitioning(_range" in plan and ", 30)" in plan
