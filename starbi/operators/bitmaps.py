@@ -10,7 +10,7 @@ group and bucket:
   sum of a measure over any set of orders is the sum over b of 2^b times the number
   of orders in both.
 
-Merging moves bitmaps, never orders: no shuffle is keyed by order.  Size: at most
+Making them moves each row once, to its bucket; merging moves bitmaps, never orders.  Size: at most
 groups x (orders / 32,768 + 1) bitmaps of 4 KB for each kind, and a bucket that
 holds few orders compresses to little more than those.
 """
@@ -44,10 +44,19 @@ def dense_numbers(rows: DataFrame, write, order_by: Sequence[str], out: str = "n
             .withColumn(out, F.col("_before") + F.col("_at") + 1).drop("_range", "_at", "_before"))
 
 
+def _by_bucket(rows: DataFrame, number: str, *columns) -> DataFrame:
+    """The ``columns`` and number of the rows of each bucket in one task.  A bucket has at
+    most 32,768 orders; combined where they are, tasks that each hold a few orders of every
+    bucket would each make a bitmap per group and bucket."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.select(*columns, number, F.bitmap_bucket_number(number).alias("bucket"))
+            .repartition(max(1, n), "bucket"))
+
+
 def order_sets(rows: DataFrame, keys: Sequence[str], number: str = "number") -> DataFrame:
     """The orders of each group as bitmaps (keys, bucket, bits)."""
-    return (rows.where(F.col(number).isNotNull())
-            .groupBy(*keys, F.bitmap_bucket_number(number).alias("bucket"))
+    return (_by_bucket(rows.where(F.col(number).isNotNull()), number, *keys)
+            .groupBy(*keys, "bucket")
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(number))).alias("bits")))
 
 
@@ -56,17 +65,20 @@ def bit_slices(rows: DataFrame, keys: Sequence[str], measures: dict[str, Column]
     """Whole-number measures of orders as bit slices (keys, name, weight, bucket,
     bits); a negative value is kept as its size under a negative weight.  A row
     must be the only one of its order and keys."""
-    named = F.array(*[F.struct(F.lit(n).alias("name"), c.cast("long").alias("value"))
-                      for n, c in measures.items()])
-    # every bit of a long's size
-    size = F.abs(F.col("m.value"))
-    bit = F.explode(F.filter(F.sequence(F.lit(0), F.lit(62)), lambda b: F.getbit(size, b) == 1))
-    return (rows.select(*keys, number, F.explode(named).alias("m"))
-            .where((F.col("m.value") != 0) & F.col(number).isNotNull())
-            .select(*keys, number, F.col("m.name").alias("name"),
-                    F.signum(F.col("m.value")).cast("long").alias("_sign"), bit.alias("_bit"))
+    named = F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"_m{i}").alias("value"))
+                      for i, n in enumerate(measures)])
+    placed = _by_bucket(rows.where(F.col(number).isNotNull()), number, *keys,
+                        *[c.cast("long").alias(f"_m{i}") for i, c in enumerate(measures.values())])
+    # the bits up to the size's highest
+    bits = F.sequence(F.lit(0), F.length(F.bin("_size")) - 1)
+    return (placed.select(*keys, number, "bucket", F.explode(named).alias("m"))
+            .where(F.col("m.value") != 0)
+            .select(*keys, number, "bucket", F.col("m.name").alias("name"),
+                    F.signum(F.col("m.value")).cast("long").alias("_sign"),
+                    F.abs(F.col("m.value")).alias("_size"))
+            .select("*", F.explode(bits).alias("_bit")).where(F.getbit("_size", "_bit") == 1)
             .withColumn("weight", F.col("_sign") * F.expr("shiftleft(1L, _bit)"))
-            .groupBy(*keys, "name", "weight", F.bitmap_bucket_number(number).alias("bucket"))
+            .groupBy(*keys, "name", "weight", "bucket")
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(number))).alias("bits")))
 
 

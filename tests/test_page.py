@@ -187,3 +187,21 @@ def test_lattice_levels_and_routing(spark, tmp_out):
     assert lat.read(["y"], {"s": ["a"]}).agg(F.sum("v")).first()[0] == sum(r[3] for r in data if r[2] == "a")
     with pytest.raises(ValueError, match="no level has"):
         lat.route(["city"])
+
+
+def test_bitmaps_are_made_where_a_whole_bucket_is(spark):
+    rows = spark.range(40).select(F.col("id").alias("number"), (F.col("id") % 3).alias("g"))
+    for made in (bitmaps.order_sets(rows, ["g"]), bitmaps.bit_slices(rows, ["g"], {"m": F.col("g")})):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("partial_bitmap_construct_agg") < plan.index("hashpartitioning(bucket")
+        assert plan.count("hashpartitioning(") == 1
+
+
+def test_slices_of_large_and_negative_values(spark):
+    values = [0, 1, -1, 5, 2**62, -2**62 - 3, 2**63 - 1, None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "number long, v long")
+    got = {}
+    for r in bitmaps.bit_slices(rows, [], {"v": F.col("v")}).select(
+            "weight", F.bitmap_count("bits").alias("n")).collect():
+        got[r.weight] = r.n
+    assert sum(w * n for w, n in got.items()) == sum(v for v in values if v)
