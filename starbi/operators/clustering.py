@@ -19,17 +19,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbi.operators.ranking import rank_in
-from starbi.sources.writers import write_clustered
+from starbi.sources.writers import RANGE_ROWS, write_clustered
 
 SAMPLE_ROWS = 16_384
 BITS = 8
 CURVE = "_curve"
 
 
-def boundaries(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> dict[str, list]:
+def boundaries(df: DataFrame, keys: Sequence[str], bits: int = BITS, rows: int | None = None) -> dict[str, list]:
     """Up to ``2 ** bits - 1`` rising values per key, cutting the rows evenly (a key
     value that many rows share is a boundary once)."""
-    n = df.count()
+    n = df.count() if rows is None else rows
     every = max(1, n // SAMPLE_ROWS)
     sample = df.where(F.pmod(F.xxhash64(*df.columns), F.lit(every)) == 0).select(*keys) \
         .limit(4 * SAMPLE_ROWS).collect()  # a hash deals evenly; copies of one row are the exception
@@ -58,14 +58,14 @@ def curve(df: DataFrame, cuts: dict[str, list], bits: int = BITS) -> Column:
 def write_by_keys(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
                   row_group_bytes: int | None = None) -> DataFrame:
     """``df`` laid out along the curve of ``keys``, with Bloom filters on them."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = max(1, df.count())
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // RANGE_ROWS)
     options = {}
     for key in keys:
         options[f"parquet.bloom.filter.enabled#{key}"] = "true"
         options[f"parquet.bloom.filter.expected.ndv#{key}"] = str(max(1_000, min(rows // n, 1_000_000)))
     if row_group_bytes:
         options["parquet.block.size"] = str(row_group_bytes)
-    laid = df.withColumn(CURVE, curve(df, boundaries(df, keys)))
+    laid = df.withColumn(CURVE, curve(df, boundaries(df, keys, rows=rows)))
     return write_clustered(spark, laid, path, cluster_by=(CURVE, *keys),
-                           unique_key=F.xxhash64(*df.columns), options=options).drop(CURVE)
+                           unique_key=F.xxhash64(*df.columns), options=options, rows=rows).drop(CURVE)

@@ -8,6 +8,7 @@ from starbi.operators import clustering
 from starbi.operators.measures import measures_by
 from starbi.plans import lookups
 from starbi.plans.star import Star, materialize_star
+from starbi.sources import writers
 from starbi.sources.readers import load_star
 from starbi.sources.testdata import load_raw_from_testdata
 from conftest import SF_ORACLE, SF_SMALL
@@ -123,3 +124,11 @@ def test_curve_of_text_keys_with_nulls(spark, tmp_out):
     back = clustering.write_by_keys(spark, df, f"{tmp_out}/t", ["a", "b"])
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
     assert clustering.write_by_keys(spark, df.limit(0), f"{tmp_out}/e", ["a", "b"]).count() == 0
+
+
+def test_ranges_hold_a_bounded_number_of_rows(spark, tmp_out, monkeypatch):
+    monkeypatch.setattr(writers, "RANGE_ROWS", 100)
+    rows = spark.range(4000).select("id", (F.col("id") % 50).alias("k"))
+    clustering.write_by_keys(spark, rows, tmp_out, ["id", "k"])
+    sizes = [r["count"] for r in spark.read.parquet(tmp_out).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 30 and max(sizes) < 400
