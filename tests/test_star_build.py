@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from starbi.operators import etl
 from starbi.plans import star as S
 from starbi.sources import testdata
 from starbi.sources.writers import write_clustered
@@ -121,3 +122,15 @@ def test_derived_columns_are_not_shuffled(spark, tmp_out):
                                    "twice": F.col("v") * 2}, columns=["k", "twice", "day", "v", "folder"])
     assert Counter(map(tuple, out.select("k", "twice", "day", "v", "folder").collect())) == Counter(
         [(1, 4, 10, 2, "1"), (2, 6, 20, 3, "2"), (3, None, 10, None, "1")])
+
+def test_payments_are_summed_in_cents(spark):
+    rows = [(1, "card", 1, Decimal("0.10")), (1, "slip", 2, Decimal("0.20")), (1, "slip", 1, None),
+            (2, "card", 1, None), (3, "card", 1, Decimal("-9999999999999999.99")),
+            (3, "slip", 1, Decimal("9999999999999999.98"))]
+    pay = spark.createDataFrame(rows, "order_id long, payment_type string, payment_installments int, "
+                                      "payment_value decimal(18,2)")
+    got = etl.payment_summary(pay)
+    assert {r.order_id: (r.payment_value, r.max_installments, r.payment_type) for r in got.collect()} == {
+        1: (Decimal("0.30"), 2, "slip"), 2: (Decimal("0.00"), 1, "card"),
+        3: (Decimal("-0.01"), 1, "slip")}
+    assert "sum(cast" in _plan(got) and got.schema["payment_value"].dataType == etl.MONEY
