@@ -45,8 +45,8 @@ MAX_MOVES = 1_000_000
 MAX_PAIRS = 300_000
 MAX_WORDS = 250_000
 #: the same where rows leave with their ids, in workers that other stages share
-ROW_MOVES = 750_000
-ROW_WORDS = 125_000
+ROW_MOVES = 250_000
+ROW_WORDS = 40_000
 MEMO_CHARS = 48
 SLICE_ROWS = 128
 #: Places where a text may be cut before the pre-tokenizer pattern is applied,

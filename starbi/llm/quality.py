@@ -34,6 +34,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,13 +190,14 @@ def score_column(model: Model, spark, text: Column) -> Column:
     margins, bias = model.margins()
     shared = spark.sparkContext.broadcast(margins)  # BUCKETS doubles: half a megabyte
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    # one text at a time becomes a Python string, never a whole batch of them
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         share, out = shared.value, np.empty(len(texts))
         for i, t in enumerate(texts):
-            at = features(t)
+            at = features(t.as_py())
             out[i] = bias + (share[at].mean() if len(at) else 0.0)
-        return pd.Series(1 / (1 + np.exp(-np.clip(out, -500, 500))))
+        return pa.array(1 / (1 + np.exp(-np.clip(out, -500, 500))))
     return score(text)
 
 

@@ -31,7 +31,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,10 +71,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
     """long: the fingerprint's bits of a text column."""
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64)
-                         .view(np.int64))
+    # one text at a time becomes a Python string, never a whole batch of them
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
+                        .view(np.int64))
     return of(text)
 
 
