@@ -36,6 +36,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a sort-merge join, neither side of which is broadcast.
+
+    For rows whose size Spark takes too low: it counts an explode's rows as those
+    before it, and a written table's as the bytes of its files.
+    """
+    return df.hint("merge")
+
+
 def workers_see_package(spark: SparkSession) -> None:
     """Python workers import this package from where the driver has it.  (On a
     cluster it is installed or passed with ``--py-files`` as usual.)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starbi.llm.common import stored
+from starbi.llm.common import by_shuffle, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -37,11 +37,11 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         both = _both_ways(edges)
         lowest = both.groupBy("u").agg(F.min("v").alias("m"))
         # large star: neighbours above u go to the least of u and its neighbours
-        large = (both.where("v > u").join(lowest, "u")
+        large = (by_shuffle(both.where("v > u")).join(lowest, "u")
                  .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         # small star: neighbours below u, and u itself, go to the least of them
-        joined = large.join(lowest, "u")
+        joined = by_shuffle(large).join(lowest, "u")
         small = (joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(lowest.select("u", F.col("m").alias("v"))).distinct())
         edges = stored(small, label)

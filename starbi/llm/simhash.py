@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starbi.llm.common import ASCII_LOWER, stored, workers_see_package
+from starbi.llm.common import ASCII_LOWER, by_shuffle, stored, workers_see_package
 from starbi.llm.components import components
 
 SHINGLE = 3
@@ -96,10 +96,11 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
               .union(segments.where("part = 1").select("fp", "part", "value")))
     sizes = segments.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
     # probes that meet a bucket, with the bucket's size
-    met = stored(probes.join(sizes.where("n > 1 or part = 0"), ["part", "value"]), "simhash-met")
-    small = segments.join(sizes.where(F.col("n") <= bucket).select("part", "value"),
-                          ["part", "value"]).select("part", "value", F.col("fp").alias("other"))
-    pairs = (met.where(F.col("n") <= bucket).join(small, ["part", "value"])
+    met = stored(by_shuffle(probes).join(sizes.where("n > 1 or part = 0"), ["part", "value"]),
+                 "simhash-met")
+    small = by_shuffle(segments).join(sizes.where(F.col("n") <= bucket).select("part", "value"),
+                                      ["part", "value"]).select("part", "value", F.col("fp").alias("other"))
+    pairs = (by_shuffle(met.where(F.col("n") <= bucket)).join(small, ["part", "value"])
              .where("fp < other")
              .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= DISTANCE)
              .select(F.col("fp").alias("u"), F.col("other").alias("v")))
@@ -110,7 +111,7 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     crowd = (met.where(F.col("n") > bucket).select("fp").distinct()
              .select("fp", F.explode(near).alias("centre")))
     least = crowd.groupBy("centre").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n"))
-    tied = (crowd.join(least.where("n > 1").select("centre", "v"), "centre")
+    tied = (by_shuffle(crowd).join(least.where("n > 1").select("centre", "v"), "centre")
             .where("fp <> v").select(F.col("fp").alias("u"), "v"))
     return pairs.union(tied)
 

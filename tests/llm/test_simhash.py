@@ -40,6 +40,23 @@ def test_fingerprint():
             assert simhash.fingerprint(t) == brute_fingerprint(t)
 
 
+def test_exploded_and_written_sides_are_not_broadcast(spark, monkeypatch):
+    # Spark takes an explode's rows for as many as went in, a table for its files' bytes
+    plans, write = [], simhash.stored
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+    monkeypatch.setattr(simhash, "stored", seen)
+    monkeypatch.setattr("starbi.llm.components.stored", seen)
+    fps = spark.range(100).selectExpr("xxhash64(id) as fp")
+    linked = simhash.links(fps)
+    plans.append(linked._jdf.queryExecution().executedPlan().toString())
+    components(linked, "test-edges")
+    assert sum("SortMergeJoin" in p for p in plans) >= 3
+    assert not any("Broadcast" in p for p in plans)
+
+
 @pytest.mark.parametrize("bucket", [0, 2, simhash.BUCKET])
 def test_links_connect_as_brute_force_does(spark, bucket):
     rng = random.Random(bucket)
