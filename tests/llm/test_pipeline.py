@@ -132,3 +132,17 @@ def test_one_row_of_a_group_stays(spark):
     out = corpus_pipeline.near_dedup_stage(spark, docs, "")
     assert out.columns == docs.columns
     assert ordered((r.doc_id, r.text) for r in out.collect()) == ordered([(5, a), (None, b), (9, c)])
+
+
+def test_near_dedup_does_not_broadcast_exploded_rows(spark, monkeypatch):
+    plans, write = {}, corpus_pipeline.simhash.stored
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label)
+    monkeypatch.setattr(corpus_pipeline.simhash, "stored", seen)
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 30), "en", "s", 1) for i in range(20)] + [(20, None, "en", "s", 0)] * 2
+    kept = corpus_pipeline.near_dedup_stage(spark, spark.createDataFrame(rows, DOC_SCHEMA), SF)
+    assert kept.count() == 21
+    assert "Generate" in plans["simhash-met"] and "Broadcast" not in plans["simhash-met"]
