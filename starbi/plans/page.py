@@ -34,7 +34,7 @@ from starbi.operators import bitmaps, lattice
 from starbi.operators.lattice import Lattice
 from starbi.plans.analysis import BAND_LABELS_SHORT, DELIVERED
 from starbi.plans.star import Star
-from starbi.session import checkpoint_dir, describe_jobs, remove_at_exit
+from starbi.session import checkpoint_dir, describe_jobs, freeing_shuffles, remove_at_exit
 from starbi.sources.writers import write_clustered, write_star_table
 
 YEAR, MONTH, STATE, CATEGORY, BAND = "year", "year_month", "state", "category_en", "faixa"
@@ -175,7 +175,8 @@ def page_for(star: Star) -> Page:
             spark = star.fact.sparkSession
             root = star.path or f"{checkpoint_dir(spark).rstrip('/')}/starbi-page-{uuid.uuid4().hex}"
             remove_at_exit(spark, f"{root}/page")
-            star.page = materialize_page(star, f"{root}/page")
+            with freeing_shuffles(spark):
+                star.page = materialize_page(star, f"{root}/page")
         return star.page
 
 

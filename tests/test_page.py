@@ -1,6 +1,9 @@
 """The sliced dashboard page: bitmap states, lattice levels, and each visual
 against the plain queries and against counting by hand."""
+import glob
 import random
+import time
+from dataclasses import replace
 from decimal import Decimal
 from itertools import combinations
 
@@ -205,3 +208,17 @@ def test_slices_of_large_and_negative_values(spark):
             "weight", F.bitmap_count("bits").alias("n")).collect():
         got[r.weight] = r.n
     assert sum(w * n for w, n in got.items()) == sum(v for v in values if v)
+
+
+def test_building_leaves_no_shuffle_files(spark, star_small):
+    jvm = spark.sparkContext._jvm
+    folders = list(jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+    before = files()
+    page.page_for(replace(star_small, page=None, path=None))
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:  # removed a little after the job's end
+        time.sleep(0.5)
+    assert files() <= before
